@@ -61,6 +61,15 @@ def year_int(c) -> Column:
     return _col(c).cast("string").try_cast("double").try_cast("int")
 
 
+def year_of(df: DataFrame, name: str) -> Column:
+    """:func:`year_int` for column ``name`` of ``df``, without the text round
+    trip when the column is already numeric."""
+    dtype = df.schema[name].dataType
+    if isinstance(dtype, NumericType):
+        return F.col(name).try_cast("int")
+    return year_int(name)
+
+
 def norm_label(c) -> Column:
     """Upper-case, trimmed label for prefix/contains matching."""
     return F.upper(F.trim(_col(c)))

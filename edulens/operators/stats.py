@@ -21,41 +21,51 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from edulens.functions.cleaning import _col
 
 
-def _pair_mask(x, y) -> tuple[Column, Column, Column]:
-    both = _col(x).isNotNull() & _col(y).isNotNull()
-    return F.when(both, _col(x)), F.when(both, _col(y)), both
+def q(name: str) -> str:
+    """Backtick-quoted column reference for SQL expression text."""
+    return "`" + name.replace("`", "``") + "`"
 
 
-def pearson_expr(x, y) -> Column:
+def _masked(x: str, y: str) -> tuple[str, str, str]:
+    both = f"({q(x)} IS NOT NULL AND {q(y)} IS NOT NULL)"
+    return f"CASE WHEN {both} THEN {q(x)} END", f"CASE WHEN {both} THEN {q(y)} END", both
+
+
+def pearson_sql(x: str, y: str) -> str:
+    xm, ym, _ = _masked(x, y)
+    r = f"try_divide(covar_pop({xm}, {ym}), stddev_pop({xm}) * stddev_pop({ym}))"
+    # clamp rounding noise into [-1, 1]; least/greatest skip NULLs, so keep NULL explicitly
+    return f"CASE WHEN {r} IS NULL THEN NULL ELSE greatest(-1.0D, least(1.0D, {r})) END"
+
+
+def pearson_expr(x: str, y: str) -> Column:
     """Guarded Pearson r over complete pairs; NULL when either side is
-    constant or fewer than two pairs exist."""
-    xm, ym, _ = _pair_mask(x, y)
-    r = F.try_divide(F.covar_pop(xm, ym), F.stddev_pop(xm) * F.stddev_pop(ym))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    constant or fewer than two pairs exist. Built as one SQL expression
+    (parsed once by Catalyst) rather than dozens of Column calls."""
+    return F.expr(pearson_sql(x, y))
 
 
-def pair_count_expr(x, y) -> Column:
-    _, _, both = _pair_mask(x, y)
-    return F.count(F.when(both, F.lit(1)))
+def pair_count_expr(x: str, y: str) -> Column:
+    _, _, both = _masked(x, y)
+    return F.expr(f"count(CASE WHEN {both} THEN 1 END)")
 
 
-def slope_expr(x, y) -> Column:
+def slope_expr(x: str, y: str) -> Column:
     """Least-squares slope of y on x; NULL when x is constant."""
-    return F.regr_slope(_col(y), _col(x))
+    return F.expr(f"regr_slope({q(y)}, {q(x)})")
 
 
-def intercept_expr(x, y) -> Column:
-    return F.regr_intercept(_col(y), _col(x))
+def intercept_expr(x: str, y: str) -> Column:
+    return F.expr(f"regr_intercept({q(y)}, {q(x)})")
 
 
-def r2_expr(x, y) -> Column:
+def r2_expr(x: str, y: str) -> Column:
     """Coefficient of determination; NULL when y is constant (``regr_r2``
     alone would report 1.0 there)."""
-    _, ym, _ = _pair_mask(x, y)
-    return F.when(F.var_pop(ym) > 0, F.regr_r2(_col(y), _col(x)))
+    _, ym, _ = _masked(x, y)
+    return F.expr(f"CASE WHEN var_pop({ym}) > 0 THEN regr_r2({q(y)}, {q(x)}) END")
 
 
 def pearson(df: DataFrame, x: str, y: str, by: Sequence[str] = (), r_name: str = "correlation",
@@ -86,13 +96,14 @@ def factor_table(df: DataFrame, y: str, factors: Sequence[str], name_col: str =
     """
     aggs = []
     for i, f in enumerate(factors):
-        aggs += [pair_count_expr(f, y).alias(f"n{i}"), pearson_expr(f, y).alias(f"r{i}"),
-                 slope_expr(f, y).alias(f"s{i}")]
-    one = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(f).alias(name_col), F.col(f"n{i}").cast("long").alias("n"),
-                              F.col(f"r{i}").alias("r"), F.col(f"s{i}").alias("slope"))
-                     for i, f in enumerate(factors)])
-    return one.select(F.inline(rows)).orderBy(F.abs(F.col("r")).desc_nulls_last())
+        _, _, both = _masked(f, y)
+        aggs += [f"count(CASE WHEN {both} THEN 1 END) AS n{i}", f"{pearson_sql(f, y)} AS r{i}",
+                 f"regr_slope({q(y)}, {q(f)}) AS s{i}"]
+    rows = ", ".join(f"named_struct('{name_col}', '{f}', 'n', CAST(n{i} AS BIGINT), 'r', r{i}, 'slope', s{i})"
+                     for i, f in enumerate(factors))
+    return (df.selectExpr(*aggs)
+              .selectExpr(f"inline(array({rows}))")
+              .orderBy(F.abs(F.col("r")).desc_nulls_last()))
 
 
 def factor_table_raw_sums(df: DataFrame, y: str, factors: Sequence[str], name_col: str = "var") -> DataFrame:

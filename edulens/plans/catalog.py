@@ -199,13 +199,13 @@ def wide_school_year(spark, d):
 
 # --- star schema -----------------------------------------------------------------
 
-def build_star_from_driver(spark: SparkSession, d: str) -> starplans.StarTables:
+def build_star_from_driver(spark: SparkSession, d: str, stage=None) -> starplans.StarTables:
     math = dt.math_assessment(spark, d, with_subgroups=True)
     demo = dt.demographic_factors(spark, d)
     att = dt.attendance(spark, d)
     schools = dt.read(spark, d, "supplier", "s_suppkey", "s_name").select(
         dt.entity_code("s_suppkey").alias("ENTITY_CD"), F.col("s_name").alias("ENTITY_NAME"))
-    return starplans.build_star(spark, math, demo, att, schools, COUNT_MAP, all_label=dt.ALL_STUDENTS)
+    return starplans.build_star(spark, math, demo, att, schools, COUNT_MAP, all_label=dt.ALL_STUDENTS, stage=stage)
 
 
 _STAR_CACHE: dict[tuple[int, str], starplans.StarTables] = {}
@@ -219,7 +219,7 @@ def star_tables(spark: SparkSession, d: str) -> starplans.StarTables:
 
 def materialize_star(spark: SparkSession, d: str) -> starplans.StarTables:
     """Build the star once and write it to the shared checkpoint folder."""
-    star = starplans.materialize(build_star_from_driver(spark, d), scratch_path(spark, "star"))
+    star = starplans.materialize(lambda stage: build_star_from_driver(spark, d, stage), scratch_path(spark, "star"))
     _STAR_CACHE[(id(spark.sparkContext), d)] = star
     return star
 

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edulens.functions import (label_contains, label_startswith, not_like_ci, positive, flag_is,
-                               to_number, year_int)
+                               to_number, year_of)
 from edulens.operators.quantiles import clip_above_quantile
 from edulens.operators.rates import guarded_ratio
 from edulens.operators.relational import prefix_by_key
@@ -36,27 +36,42 @@ Q1_FACTORS = {
 
 # --- Q1: subgroup composition vs math proficiency ----------------------------------
 
+def q1_math_rows(math_src: DataFrame, all_prefix: str = ALL_PREFIX, subject_word: str = MATH_WORD) -> DataFrame:
+    """'All Students' math rows (the rows the outcome is computed from)."""
+    return math_src.where(label_startswith("SUBGROUP_NAME", all_prefix)
+                          & label_contains("ASSESSMENT_NAME", subject_word))
+
+
 def q1_math_outcome(math_src: DataFrame, all_prefix: str = ALL_PREFIX, subject_word: str = MATH_WORD) -> DataFrame:
     """Per (entity_cd, year): ``math_prof_rate`` = SUM(NUM_PROF)/SUM(NUM_TESTED)
     (a 0-1 fraction, NULL unless tested > 0) over 'All Students' math rows;
     counts are cleaned text-to-integer (commas stripped, decimals truncated)."""
-    m = math_src.where(label_startswith("SUBGROUP_NAME", all_prefix) & label_contains("ASSESSMENT_NAME", subject_word))
-    overall = m.groupBy(F.col("ENTITY_CD").alias("entity_cd"), year_int("YEAR").alias("year")).agg(
+    m = q1_math_rows(math_src, all_prefix, subject_word)
+    overall = m.groupBy(F.col("ENTITY_CD").alias("entity_cd"), year_of(m, "YEAR").alias("year")).agg(
         F.sum(to_number(m, "NUM_PROF", integral=True)).alias("num_prof"),
         F.sum(to_number(m, "NUM_TESTED", integral=True)).alias("num_tested"))
     return overall.select("entity_cd", "year", guarded_ratio("num_prof", "num_tested", 1.0).alias("math_prof_rate"))
 
 
+def q1_latest_year(math_src: DataFrame, all_prefix: str = ALL_PREFIX, subject_word: str = MATH_WORD):
+    """MAX(year) of the outcome as a scalar subquery. Every outcome group
+    comes from at least one row, so this is the MAX over the rows: a
+    partial/final max with no shuffle of groups."""
+    m = q1_math_rows(math_src, all_prefix, subject_word)
+    return m.agg(F.max(year_of(m, "YEAR")).alias("y")).select("y").scalar()
+
+
 def q1_demo(demo: DataFrame, factors: Mapping[str, str] = Q1_FACTORS) -> DataFrame:
     """entity_cd, year and the factor percentages as doubles."""
-    return demo.select(F.col("ENTITY_CD").alias("entity_cd"), year_int("YEAR").alias("year"),
+    return demo.select(F.col("ENTITY_CD").alias("entity_cd"), year_of(demo, "YEAR").alias("year"),
                        *[to_number(demo, src).alias(dst) for src, dst in factors.items()])
 
 
-def q1_pairs_latest_year(outcome: DataFrame, demo_view: DataFrame, factors: Sequence[str]) -> DataFrame:
+def q1_pairs_latest_year(outcome: DataFrame, demo_view: DataFrame, factors: Sequence[str], latest=None) -> DataFrame:
     """Pairs of the latest year (MAX over all outcome rows, as a scalar
     subquery) with a positive rate, joined on (entity_cd, year)."""
-    latest = outcome.agg(F.max("year").alias("y")).select("y").scalar()
+    if latest is None:
+        latest = outcome.agg(F.max("year").alias("y")).select("y").scalar()
     o = outcome.where((F.col("year") == latest) & positive("math_prof_rate"))
     return o.join(demo_view, ["entity_cd", "year"]).select("entity_cd", "year", "math_prof_rate", *factors)
 
@@ -72,7 +87,8 @@ def q1_factor_corr(math_src: DataFrame, demo: DataFrame, factors: Mapping[str, s
     """
     src = prefix_by_key(math_src, cap, list(cap_order)) if cap is not None else math_src
     outcome = q1_math_outcome(src, all_prefix)
-    pairs = q1_pairs_latest_year(outcome, q1_demo(demo, factors), list(factors.values()))
+    pairs = q1_pairs_latest_year(outcome, q1_demo(demo, factors), list(factors.values()),
+                                 q1_latest_year(src, all_prefix))
     base = pairs.where(F.col("math_prof_rate").isNotNull())
     fn = factor_table_raw_sums if raw_sums else factor_table
     return fn(base, "math_prof_rate", list(factors.values()))
@@ -102,11 +118,11 @@ def math_school(math_src: DataFrame, year: int, all_label: str = ALL_LABEL, cap:
                 cap_order: Sequence[str] = ("ENTITY_CD",)) -> DataFrame:
     """Per (ENTITY_CD, YEAR): total_prof, total_tested and
     ``math_prof_rate = 100 * SUM(NUM_PROF) / SUM(TOTAL_COUNT)``."""
-    m = math_src.where((year_int("YEAR") == F.lit(year)) & (F.col("SUBGROUP_NAME") == F.lit(all_label)))
+    m = math_src.where((year_of(math_src, "YEAR") == F.lit(year)) & (F.col("SUBGROUP_NAME") == F.lit(all_label)))
     if cap is not None:
         m = prefix_by_key(m, cap, list(cap_order))
     prof, tested = to_number(m, "NUM_PROF"), to_number(m, "TOTAL_COUNT")
-    return m.groupBy("ENTITY_CD", year_int("YEAR").alias("YEAR")).agg(
+    return m.groupBy("ENTITY_CD", year_of(m, "YEAR").alias("YEAR")).agg(
         F.sum(prof).alias("total_prof"), F.sum(tested).alias("total_tested"),
         guarded_ratio(F.sum(prof), F.sum(tested), 100.0).alias("math_prof_rate"))
 
@@ -115,10 +131,10 @@ def q2_points(math_src: DataFrame, attendance: DataFrame, year: int, district: s
               all_label: str = ALL_LABEL, cap: int | None = None) -> DataFrame:
     """Attendance/math pairs of non-district schools with positive values:
     ENTITY_CD, ENTITY_NAME, ATTENDANCE_RATE, math_prof_rate."""
-    att = attendance.where(year_int("YEAR") == F.lit(year))
+    att = attendance.where(year_of(attendance, "YEAR") == F.lit(year))
     if cap is not None:
         att = prefix_by_key(att, cap, ["ENTITY_CD"])
-    att = att.select("ENTITY_CD", "ENTITY_NAME", year_int("YEAR").alias("YEAR"),
+    att = att.select("ENTITY_CD", "ENTITY_NAME", year_of(att, "YEAR").alias("YEAR"),
                      to_number(att, "ATTENDANCE_RATE").alias("ATTENDANCE_RATE"))
     m = math_school(math_src, year, all_label, cap)
     j = att.join(m, ["ENTITY_CD", "YEAR"])
@@ -134,12 +150,12 @@ def q3_points(math_src: DataFrame, expenditures: DataFrame, year: int, district:
               all_label: str = ALL_LABEL, require_enrollment_flag: bool = True, cap: int | None = None) -> DataFrame:
     """Expenditure/math pairs: ENTITY_CD, ENTITY_NAME, per_pupil_expenditure,
     math_prof_rate; expenditure rows must be flagged reported."""
-    e = expenditures.where((year_int("YEAR") == F.lit(year)) & flag_is("DATA_REPORTED_EXP"))
+    e = expenditures.where((year_of(expenditures, "YEAR") == F.lit(year)) & flag_is("DATA_REPORTED_EXP"))
     if require_enrollment_flag:
         e = e.where(flag_is("DATA_REPORTED_ENR"))
     if cap is not None:
         e = prefix_by_key(e, cap, ["ENTITY_CD"])
-    e = e.select("ENTITY_CD", "ENTITY_NAME", year_int("YEAR").alias("YEAR"),
+    e = e.select("ENTITY_CD", "ENTITY_NAME", year_of(e, "YEAR").alias("YEAR"),
                  to_number(e, "PER_FED_STATE_LOCAL_EXP").alias("per_pupil_expenditure"))
     m = math_school(math_src, year, all_label, cap)
     j = e.join(m, ["ENTITY_CD", "YEAR"])
@@ -185,7 +201,7 @@ def rate_distribution(outcome: DataFrame, rate_col: str = "math_prof_rate") -> D
 def q10_top_suspensions(suspensions: DataFrame, year: int, k: int = 10, district: str = "%SD") -> DataFrame:
     """The k schools with most suspensions in a year, districts excluded
     (ties broken by ENTITY_CD so the k rows are well defined)."""
-    s = suspensions.where((year_int("YEAR") == F.lit(year)) & not_like_ci("ENTITY_NAME", district))
+    s = suspensions.where((year_of(suspensions, "YEAR") == F.lit(year)) & not_like_ci("ENTITY_NAME", district))
     return (s.select("ENTITY_CD", "ENTITY_NAME", to_number(s, "NUM_SUSPENSIONS").alias("NUM_SUSPENSIONS"))
              .orderBy(F.col("NUM_SUSPENSIONS").desc_nulls_last(), F.col("ENTITY_CD")).limit(k))
 

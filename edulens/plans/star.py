@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edulens.functions import label_startswith, not_like_ci, positive, flag_is, to_number, year_int
+from edulens.functions import label_startswith, not_like_ci, positive, flag_is, to_number, year_of
 from edulens.operators.rates import grouped_rate, guarded_ratio, share_of_group, weighted_mean
 from edulens.operators.ranking import dense_keys
 from edulens.operators.relational import bounded_broadcast, prefix_by_key
@@ -46,7 +46,8 @@ class StarTables:
 def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame, attendance: DataFrame,
                schools: DataFrame, count_columns: Mapping[str, str], all_label: str = "All Students",
                all_id: str = "All", subgroup_ids: Mapping[str, str] | None = None,
-               subject: tuple[str, str] = ("Math", "Mathematics")) -> StarTables:
+               subject: tuple[str, str] = ("Math", "Mathematics"),
+               stage=None) -> StarTables:
     """Star tables from raw frames.
 
     math_rows:   ENTITY_CD, YEAR, SUBGROUP_NAME, NUM_TESTED, NUM_PROF (all
@@ -55,14 +56,19 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
                  ``count_columns`` maps column -> subgroup name
     attendance:  ENTITY_CD, YEAR, ATTENDANCE_RATE ('All Students' level)
     schools:     ENTITY_CD, ENTITY_NAME (any number of rows per code)
+
+    ``stage(name, df) -> df`` is applied to each dimension before the facts
+    are keyed with it (e.g. write and read back, so the keys are computed
+    once); by default the build stays lazy.
     """
+    stage = stage or (lambda name, df: df)
     ids = dict(subgroup_ids or {})
     ids.setdefault(all_label, all_id)
 
     dim_school = dense_keys(schools.select("ENTITY_CD"), ["ENTITY_CD"], "school_key")
     names = schools.groupBy("ENTITY_CD").agg(F.max("ENTITY_NAME").alias("school_name"))
-    dim_school = (dim_school.join(names, "ENTITY_CD", "left")
-                  .select(F.col("school_key").cast("long"), F.col("ENTITY_CD").alias("school_id"), "school_name"))
+    dim_school = stage("dim_school", dim_school.join(names, "ENTITY_CD", "left")
+                       .select(F.col("school_key").cast("long"), F.col("ENTITY_CD").alias("school_id"), "school_name"))
 
     sub_names = (math_rows.select("SUBGROUP_NAME")
                  .unionByName(demo_counts.sparkSession.createDataFrame(
@@ -71,20 +77,21 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
     id_expr = F.col("SUBGROUP_NAME")
     for name, sid in ids.items():
         id_expr = F.when(F.col("SUBGROUP_NAME") == F.lit(name), F.lit(sid)).otherwise(id_expr)
-    dim_subgroup = dim_subgroup.select(F.col("subgroup_key").cast("int"), id_expr.alias("subgroup_id"),
-                                       F.col("SUBGROUP_NAME").alias("subgroup_name"))
+    dim_subgroup = stage("dim_subgroup", dim_subgroup.select(F.col("subgroup_key").cast("int"),
+                                                             id_expr.alias("subgroup_id"),
+                                                             F.col("SUBGROUP_NAME").alias("subgroup_name")))
 
-    dim_year = (math_rows.select(year_int("YEAR").alias("year_key"))
-                .unionByName(attendance.select(year_int("YEAR").alias("year_key"))).dropDuplicates()
-                .select("year_key", F.col("year_key").cast("string").alias("school_year_label")))
-    dim_subject = spark.createDataFrame([(1, subject[0], subject[1])],
-                                        "subject_key int, subject_id string, subject_name string")
+    dim_year = stage("dim_year", math_rows.select(year_of(math_rows, "YEAR").alias("year_key"))
+                     .unionByName(attendance.select(year_of(attendance, "YEAR").alias("year_key"))).dropDuplicates()
+                     .select("year_key", F.col("year_key").cast("string").alias("school_year_label")))
+    dim_subject = stage("dim_subject", spark.createDataFrame([(1, subject[0], subject[1])],
+                                                             "subject_key int, subject_id string, subject_name string"))
 
     school_key = dim_school.select(F.col("school_id").alias("ENTITY_CD"), "school_key")
     sg_key = dim_subgroup.select(F.col("subgroup_name").alias("SUBGROUP_NAME"), "subgroup_key")
     sg_small = bounded_broadcast(sg_key, SMALL_DIM_ROWS)
 
-    fa = (math_rows.groupBy("ENTITY_CD", year_int("YEAR").alias("year_key"), "SUBGROUP_NAME")
+    fa = (math_rows.groupBy("ENTITY_CD", year_of(math_rows, "YEAR").alias("year_key"), "SUBGROUP_NAME")
           .agg(F.sum(to_number(math_rows, "NUM_TESTED", integral=True)).alias("tested"),
                F.sum(to_number(math_rows, "NUM_PROF", integral=True)).alias("n_qual")))
     fact_assessment = (fa.join(school_key, "ENTITY_CD").join(sg_small, "SUBGROUP_NAME")
@@ -94,13 +101,13 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
     stack = F.array(*[F.struct(F.lit(name).alias("SUBGROUP_NAME"),
                                to_number(demo_counts, col, integral=True).alias("n_students"))
                       for col, name in count_columns.items()])
-    enr = demo_counts.select("ENTITY_CD", year_int("YEAR").alias("year_key"), F.inline(stack))
+    enr = demo_counts.select("ENTITY_CD", year_of(demo_counts, "YEAR").alias("year_key"), F.inline(stack))
     fact_enrollment = (enr.join(school_key, "ENTITY_CD").join(sg_small, "SUBGROUP_NAME")
                        .select("year_key", "school_key", "subgroup_key", F.col("n_students").cast("long")))
 
     totals = fa.where(F.col("SUBGROUP_NAME") == F.lit(all_label)).select(
         "ENTITY_CD", "year_key", F.col("tested").alias("enrollment"))
-    att = attendance.select("ENTITY_CD", year_int("YEAR").alias("year_key"),
+    att = attendance.select("ENTITY_CD", year_of(attendance, "YEAR").alias("year_key"),
                             (F.lit(100.0) - to_number(attendance, "ATTENDANCE_RATE")).alias("absence_rate"))
     all_key = sg_key.where(F.col("SUBGROUP_NAME") == F.lit(all_label)).select("subgroup_key")
     fact_attendance = (att.join(totals, ["ENTITY_CD", "year_key"], "left").join(school_key, "ENTITY_CD")
@@ -110,20 +117,31 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
                       fact_attendance)
 
 
-def materialize(star: StarTables, root: str) -> StarTables:
-    """Write every star table as Parquet under ``root`` (a shared folder) and
-    return frames reading them back; this cuts the lineage to the raw data."""
-    spark = star.dim_school.sparkSession
+def materialize(build, root: str) -> StarTables:
+    """Run ``build(stage)`` (a :func:`build_star` call) writing every star
+    table as Parquet under ``root`` (a shared folder): dimensions first, so
+    facts are keyed from the written dimensions, then facts. Returns frames
+    reading the written tables; this cuts the lineage to the raw data."""
+    written = {}
+
+    def stage(name: str, df: DataFrame) -> DataFrame:
+        df.write.mode("overwrite").parquet(f"{root}/{name}")
+        written[name] = df.sparkSession.read.parquet(f"{root}/{name}")
+        return written[name]
+
+    star = build(stage)
     out = {}
     for name, df in star.as_dict().items():
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        out[name] = spark.read.parquet(f"{root}/{name}")
+        out[name] = written[name] if name in written else stage(name, df)
     return StarTables(**out)
 
 
 def _dims(star: StarTables):
-    return (bounded_broadcast(star.dim_subject, SMALL_DIM_ROWS), bounded_broadcast(star.dim_subgroup, SMALL_DIM_ROWS),
-            bounded_broadcast(star.dim_year, SMALL_DIM_ROWS))
+    """Small dimensions. No hint: the planner broadcasts a dimension when its
+    size estimate (file sizes for written tables) is under
+    ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-checks the actual
+    size at run time; a large dimension stays a shuffled join."""
+    return star.dim_subject, star.dim_subgroup, star.dim_year
 
 
 # --- Q1b: factor table with composition computed from the fact ------------------
@@ -151,7 +169,7 @@ def q1_factor_corr_star(star: StarTables, factor_ids: Mapping[str, str], all_pre
         "entity_cd", "year",
         *[guarded_ratio(F.coalesce(F.col(f"_c_{name}"), F.lit(0)), "_tot", 100.0).alias(name)
           for name in factor_ids.values()])
-    latest = outcome.agg(F.max("year").alias("y")).select("y").scalar()
+    latest = math.where(all_rows).agg(F.max("year").alias("y")).select("y").scalar()
     pairs = (outcome.where((F.col("year") == latest) & positive("math_prof_rate"))
                     .join(demo, ["entity_cd", "year"]))
     base = pairs.where(F.col("math_prof_rate").isNotNull())
@@ -237,7 +255,7 @@ def q3_corr_star(star: StarTables, expenditures: DataFrame, year: int, district:
     """Correlation of per-pupil expenditure with the star math rate; the raw
     table reaches the fact through dim_school's natural code. Only the
     expenditure flag is required (no enrollment flag)."""
-    e = expenditures.where((year_int("YEAR") == F.lit(year)) & flag_is("DATA_REPORTED_EXP"))
+    e = expenditures.where((year_of(expenditures, "YEAR") == F.lit(year)) & flag_is("DATA_REPORTED_EXP"))
     e = e.select(F.col("ENTITY_CD"), "ENTITY_NAME", to_number(e, "PER_FED_STATE_LOCAL_EXP").alias("x"))
     math = math_school_star(star, year=year, all_name=all_name)
     pairs = (e.join(star.dim_school.select(F.col("school_id").alias("ENTITY_CD"), "school_key"), "ENTITY_CD")
