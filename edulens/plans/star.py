@@ -57,22 +57,38 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
     attendance:  ENTITY_CD, YEAR, ATTENDANCE_RATE ('All Students' level)
     schools:     ENTITY_CD, ENTITY_NAME (any number of rows per code)
 
-    ``stage(name, df) -> df`` is applied to each dimension before the facts
-    are keyed with it (e.g. write and read back, so the keys are computed
-    once); by default the build stays lazy.
+    The large inputs are aggregated once to their natural keys (school code,
+    year, subgroup name); the dimensions are derived from those aggregates,
+    and the facts are keyed by joining them with the dimensions.
+    ``stage(name, df) -> df`` is applied to every intermediate and final table
+    (e.g. write to the shared folder and read back, which computes each once
+    and cuts the lineage); by default the build stays lazy.
     """
     stage = stage or (lambda name, df: df)
     ids = dict(subgroup_ids or {})
     ids.setdefault(all_label, all_id)
 
+    # 1. natural-key aggregates of the big inputs (one pass each)
+    fa_nat = stage("_fa_natural", math_rows.groupBy(
+        "ENTITY_CD", year_of(math_rows, "YEAR").alias("year_key"), "SUBGROUP_NAME").agg(
+        F.sum(to_number(math_rows, "NUM_TESTED", integral=True)).cast("long").alias("tested"),
+        F.sum(to_number(math_rows, "NUM_PROF", integral=True)).cast("long").alias("n_qual")))
+    stack = F.array(*[F.struct(F.lit(name).alias("SUBGROUP_NAME"),
+                               to_number(demo_counts, col, integral=True).alias("n_students"))
+                      for col, name in count_columns.items()])
+    enr_nat = stage("_enrollment_natural", demo_counts.select(
+        "ENTITY_CD", year_of(demo_counts, "YEAR").alias("year_key"), F.inline(stack)))
+    att_nat = stage("_attendance_natural", attendance.select(
+        "ENTITY_CD", year_of(attendance, "YEAR").alias("year_key"),
+        (F.lit(100.0) - to_number(attendance, "ATTENDANCE_RATE")).alias("absence_rate")))
+
+    # 2. dimensions
     dim_school = dense_keys(schools.select("ENTITY_CD"), ["ENTITY_CD"], "school_key")
     names = schools.groupBy("ENTITY_CD").agg(F.max("ENTITY_NAME").alias("school_name"))
     dim_school = stage("dim_school", dim_school.join(names, "ENTITY_CD", "left")
                        .select(F.col("school_key").cast("long"), F.col("ENTITY_CD").alias("school_id"), "school_name"))
 
-    sub_names = (math_rows.select("SUBGROUP_NAME")
-                 .unionByName(demo_counts.sparkSession.createDataFrame(
-                     [(n,) for n in count_columns.values()], "SUBGROUP_NAME string")))
+    sub_names = fa_nat.select("SUBGROUP_NAME").unionByName(enr_nat.select("SUBGROUP_NAME"))
     dim_subgroup = dense_keys(sub_names, ["SUBGROUP_NAME"], "subgroup_key")
     id_expr = F.col("SUBGROUP_NAME")
     for name, sid in ids.items():
@@ -81,59 +97,42 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
                                                              id_expr.alias("subgroup_id"),
                                                              F.col("SUBGROUP_NAME").alias("subgroup_name")))
 
-    dim_year = stage("dim_year", math_rows.select(year_of(math_rows, "YEAR").alias("year_key"))
-                     .unionByName(attendance.select(year_of(attendance, "YEAR").alias("year_key"))).dropDuplicates()
+    dim_year = stage("dim_year", fa_nat.select("year_key").unionByName(enr_nat.select("year_key"))
+                     .unionByName(att_nat.select("year_key")).dropDuplicates()
                      .select("year_key", F.col("year_key").cast("string").alias("school_year_label")))
     dim_subject = stage("dim_subject", spark.createDataFrame([(1, subject[0], subject[1])],
                                                              "subject_key int, subject_id string, subject_name string"))
 
+    # 3. facts keyed by the dimensions (subgroup keys: a checked-size broadcast)
     school_key = dim_school.select(F.col("school_id").alias("ENTITY_CD"), "school_key")
-    sg_key = dim_subgroup.select(F.col("subgroup_name").alias("SUBGROUP_NAME"), "subgroup_key")
-    sg_small = bounded_broadcast(sg_key, SMALL_DIM_ROWS)
-
-    fa = (math_rows.groupBy("ENTITY_CD", year_of(math_rows, "YEAR").alias("year_key"), "SUBGROUP_NAME")
-          .agg(F.sum(to_number(math_rows, "NUM_TESTED", integral=True)).alias("tested"),
-               F.sum(to_number(math_rows, "NUM_PROF", integral=True)).alias("n_qual")))
-    fact_assessment = (fa.join(school_key, "ENTITY_CD").join(sg_small, "SUBGROUP_NAME")
-                       .select("year_key", "school_key", F.lit(1).alias("subject_key"), "subgroup_key",
-                               F.col("tested").cast("long"), F.col("n_qual").cast("long")))
-
-    stack = F.array(*[F.struct(F.lit(name).alias("SUBGROUP_NAME"),
-                               to_number(demo_counts, col, integral=True).alias("n_students"))
-                      for col, name in count_columns.items()])
-    enr = demo_counts.select("ENTITY_CD", year_of(demo_counts, "YEAR").alias("year_key"), F.inline(stack))
-    fact_enrollment = (enr.join(school_key, "ENTITY_CD").join(sg_small, "SUBGROUP_NAME")
-                       .select("year_key", "school_key", "subgroup_key", F.col("n_students").cast("long")))
-
-    totals = fa.where(F.col("SUBGROUP_NAME") == F.lit(all_label)).select(
+    sg_key = bounded_broadcast(dim_subgroup.select(F.col("subgroup_name").alias("SUBGROUP_NAME"), "subgroup_key"),
+                               SMALL_DIM_ROWS)
+    fact_assessment = stage("fact_assessment", fa_nat.join(school_key, "ENTITY_CD").join(sg_key, "SUBGROUP_NAME")
+                            .select("year_key", "school_key", F.lit(1).alias("subject_key"), "subgroup_key",
+                                    "tested", "n_qual"))
+    fact_enrollment = stage("fact_enrollment", enr_nat.join(school_key, "ENTITY_CD").join(sg_key, "SUBGROUP_NAME")
+                            .select("year_key", "school_key", "subgroup_key", F.col("n_students").cast("long")))
+    totals = fa_nat.where(F.col("SUBGROUP_NAME") == F.lit(all_label)).select(
         "ENTITY_CD", "year_key", F.col("tested").alias("enrollment"))
-    att = attendance.select("ENTITY_CD", year_of(attendance, "YEAR").alias("year_key"),
-                            (F.lit(100.0) - to_number(attendance, "ATTENDANCE_RATE")).alias("absence_rate"))
     all_key = sg_key.where(F.col("SUBGROUP_NAME") == F.lit(all_label)).select("subgroup_key")
-    fact_attendance = (att.join(totals, ["ENTITY_CD", "year_key"], "left").join(school_key, "ENTITY_CD")
-                       .select("year_key", "school_key", F.lit(all_key.scalar()).cast("int").alias("subgroup_key"),
-                               "absence_rate", F.col("enrollment").cast("long")))
+    fact_attendance = stage("fact_attendance", att_nat.join(totals, ["ENTITY_CD", "year_key"], "left")
+                            .join(school_key, "ENTITY_CD")
+                            .select("year_key", "school_key", all_key.scalar().cast("int").alias("subgroup_key"),
+                                    "absence_rate", F.col("enrollment").cast("long")))
     return StarTables(dim_school, dim_year, dim_subject, dim_subgroup, fact_assessment, fact_enrollment,
                       fact_attendance)
 
 
 def materialize(build, root: str) -> StarTables:
-    """Run ``build(stage)`` (a :func:`build_star` call) writing every star
-    table as Parquet under ``root`` (a shared folder): dimensions first, so
-    facts are keyed from the written dimensions, then facts. Returns frames
-    reading the written tables; this cuts the lineage to the raw data."""
-    written = {}
-
+    """Run ``build(stage)`` (a :func:`build_star` call) writing every
+    intermediate and star table as Parquet under ``root`` (a shared folder)
+    and reading it back, so each is computed once and later steps start from
+    written data. Returns the star tables as read from ``root``."""
     def stage(name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
-        written[name] = df.sparkSession.read.parquet(f"{root}/{name}")
-        return written[name]
-
-    star = build(stage)
-    out = {}
-    for name, df in star.as_dict().items():
-        out[name] = written[name] if name in written else stage(name, df)
-    return StarTables(**out)
+        return df.sparkSession.read.parquet(f"{root}/{name}")
+
+    return build(stage)
 
 
 def _dims(star: StarTables):

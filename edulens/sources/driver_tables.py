@@ -20,7 +20,7 @@ of the analog, stated together):
                                      DATA_REPORTED_ENR 'Y' for s_nationkey >= 2
     suspensions                      count of returned items per (school, year)
     run log                          events: launch = (event_type, user_id), name = event_type,
-                                     version = user_id % 3, time = min(ts),
+                                     version = user_id % 3, time = min(ts), key = min(event_id),
                                      result = event, size = 10000 * (1 + event_id % 5),
                                      run_index = event_id div 5, elapsed = value
 
@@ -37,7 +37,6 @@ from pyspark.sql import functions as F
 
 from edulens import schemas
 from edulens.operators.rates import guarded_ratio, weighted_mean
-from edulens.operators.ranking import dense_keys
 
 # Fixed values of the analog
 CURRENT_YEAR = 2000
@@ -171,17 +170,16 @@ def suspensions(spark: SparkSession, sf_dir: str, year: int | None = None) -> Da
 # --- run log ----------------------------------------------------------------------
 
 def run_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(query_launch, query_result) analog from ``events``."""
+    """(query_launch, query_result) analog from ``events``. A launch's key is
+    its first event id (unique, like a key handed out at its first insert)."""
     ev = read(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value")
-    launches = ev.groupBy("event_type", "user_id").agg(F.min("ts").alias("timestamp"))
-    keyed = dense_keys(launches, ["event_type", "user_id"], name="launch_id")
-    launch = (launches.join(keyed, ["event_type", "user_id"])
-                      .select("launch_id", "timestamp", F.col("event_type").alias("query_name"),
-                              (F.col("user_id") % 3).cast("string").alias("query_version"),
-                              "event_type", "user_id"))
+    launch = (ev.groupBy("event_type", "user_id")
+                .agg(F.min("event_id").alias("launch_id"), F.min("ts").alias("timestamp")))
     result = (ev.join(launch.select("launch_id", "event_type", "user_id"), ["event_type", "user_id"])
                 .select(F.col("event_id").alias("result_id"), "launch_id",
                         (F.lit(SIZE_STEP) * (1 + F.col("event_id") % 5)).cast("long").alias("dataset_size"),
                         F.floor(F.col("event_id") / 5).cast("int").alias("run_index"),
                         F.col("value").alias("elapsed_seconds")))
-    return launch.drop("event_type", "user_id"), result
+    launch = launch.select("launch_id", "timestamp", F.col("event_type").alias("query_name"),
+                           (F.col("user_id") % 3).cast("string").alias("query_version"))
+    return launch, result
