@@ -208,19 +208,28 @@ def build_star_from_driver(spark: SparkSession, d: str, stage=None) -> starplans
     return starplans.build_star(spark, math, demo, att, schools, COUNT_MAP, all_label=dt.ALL_STUDENTS, stage=stage)
 
 
-_STAR_CACHE: dict[tuple[int, str], starplans.StarTables] = {}
+_STAR_CACHE: dict[tuple[str, str], starplans.StarTables] = {}
+
+
+_LAZY_STAR: dict[tuple[str, str], starplans.StarTables] = {}
 
 
 def star_tables(spark: SparkSession, d: str) -> starplans.StarTables:
     """Star tables for ``d``: a copy materialized by :func:`materialize_star`
-    in this session if there is one, else the lazy build."""
-    return _STAR_CACHE.get((id(spark.sparkContext), d)) or build_star_from_driver(spark, d)
+    in this session if there is one, else the lazy build (whose plan objects
+    are kept per session; nothing is computed until an action)."""
+    key = (spark.sparkContext.applicationId, d)
+    if key in _STAR_CACHE:
+        return _STAR_CACHE[key]
+    if key not in _LAZY_STAR:
+        _LAZY_STAR[key] = build_star_from_driver(spark, d)
+    return _LAZY_STAR[key]
 
 
 def materialize_star(spark: SparkSession, d: str) -> starplans.StarTables:
     """Build the star once and write it to the shared checkpoint folder."""
     star = starplans.materialize(lambda stage: build_star_from_driver(spark, d, stage), scratch_path(spark, "star"))
-    _STAR_CACHE[(id(spark.sparkContext), d)] = star
+    _STAR_CACHE[(spark.sparkContext.applicationId, d)] = star
     return star
 
 

@@ -6,9 +6,10 @@ Facts: fact_assessment (tested, n_qual per year x school x subject x
 subgroup), fact_enrollment (students per year x school x subgroup),
 fact_attendance (absence rate and enrollment per year x school x subgroup).
 
-Dimension joins broadcast a dimension only after a row-count check
-(:func:`bounded_broadcast`); dim_school grows with the data and is left to
-AQE, which broadcasts it at run time only when its actual size allows.
+No join is hinted: the planner broadcasts a dimension only when its size
+estimate (file sizes of a written table) is under the broadcast threshold,
+and AQE re-checks actual sizes at run time. dim_school grows with the data
+and so stays a shuffled join once it is large.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from edulens.functions import label_startswith, not_like_ci, positive, flag_is, to_number, year_of
 from edulens.operators.rates import grouped_rate, guarded_ratio, share_of_group, weighted_mean
 from edulens.operators.ranking import dense_keys
-from edulens.operators.relational import bounded_broadcast, prefix_by_key
+from edulens.operators.relational import prefix_by_key
 from edulens.operators.stats import factor_table, pair_count_expr, pearson, pearson_expr
 
 ALL_PREFIX = "ALL STUDENTS"
@@ -103,10 +104,11 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
     dim_subject = stage("dim_subject", spark.createDataFrame([(1, subject[0], subject[1])],
                                                              "subject_key int, subject_id string, subject_name string"))
 
-    # 3. facts keyed by the dimensions (subgroup keys: a checked-size broadcast)
+    # 3. facts keyed by the dimensions; join strategies are left to the
+    #    planner and AQE, which broadcast a side only when its (estimated,
+    #    then actual) size is under the broadcast threshold
     school_key = dim_school.select(F.col("school_id").alias("ENTITY_CD"), "school_key")
-    sg_key = bounded_broadcast(dim_subgroup.select(F.col("subgroup_name").alias("SUBGROUP_NAME"), "subgroup_key"),
-                               SMALL_DIM_ROWS)
+    sg_key = dim_subgroup.select(F.col("subgroup_name").alias("SUBGROUP_NAME"), "subgroup_key")
     fact_assessment = stage("fact_assessment", fa_nat.join(school_key, "ENTITY_CD").join(sg_key, "SUBGROUP_NAME")
                             .select("year_key", "school_key", F.lit(1).alias("subject_key"), "subgroup_key",
                                     "tested", "n_qual"))

@@ -47,13 +47,13 @@ FACTORS = [f"per_{s.lower()}" for s in SEGMENTS]
 SIZE_STEP = 10_000
 
 
-_TABLES: dict[tuple[int, str, str], DataFrame] = {}
+_TABLES: dict[tuple[str, str, str], DataFrame] = {}
 
 
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
     """A driver table with its explicit schema; the relation (file listing
     included) is created once per session and reused by every query."""
-    key = (id(spark.sparkContext._jsc), sf_dir, name)
+    key = (spark.sparkContext.applicationId, sf_dir, name)
     df = _TABLES.get(key)
     if df is None:
         df = spark.read.schema(schemas.DRIVER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
