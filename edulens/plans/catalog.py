@@ -183,6 +183,25 @@ def top_k_excluding_suffix(spark, d):
     return raw.q10_top_suspensions(dt.suspensions(spark, d, YEAR), YEAR, 10, dt.DISTRICT_PATTERN)
 
 
+TOP_K_SQL = """
+SELECT ENTITY_CD, ENTITY_NAME, NUM_SUSPENSIONS
+FROM {view}
+WHERE CAST(YEAR AS INT) = :year
+  AND NOT (ENTITY_NAME ILIKE :district)
+ORDER BY NUM_SUSPENSIONS DESC, ENTITY_CD
+LIMIT CAST(:k AS INT)
+"""
+
+
+def top_k_sql_params(spark, d):
+    """The top-k report as SQL text over a registered view, with the year,
+    district pattern and k bound as named parameters."""
+    from edulens.sources.registry import run_sql
+    view = "suspensions_" + spark.sparkContext.applicationId.replace("-", "_")
+    dt.suspensions(spark, d, YEAR).createOrReplaceTempView(view)
+    return run_sql(spark, TOP_K_SQL.format(view=view), year=YEAR, district=dt.DISTRICT_PATTERN, k=10)
+
+
 def wide_school_year(spark, d):
     """One row per (school, year): math rate, attendance, composition and
     expenditure, each pre-aggregated per source, then left-joined."""
@@ -409,6 +428,7 @@ QUERIES: dict[str, Query] = {
     "prefix_before_filter": prefix_before_filter,
     "prefix_after_filter": prefix_after_filter,
     "top_k_excluding_suffix": top_k_excluding_suffix,
+    "top_k_sql_params": top_k_sql_params,
     "log_append_keys": log_append_keys,
     "log_lookup": log_lookup,
     "log_upsert": log_upsert,

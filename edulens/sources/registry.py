@@ -94,3 +94,29 @@ def driver_database(sf_dir: str, names: Iterable[str] | None = None) -> Database
 
 def tables_by_name(frames: Mapping[str, DataFrame], *names: str) -> list[DataFrame]:
     return [frames[n] for n in names]
+
+
+def materialize_view(df: DataFrame, name: str) -> DataFrame:
+    """A temp table: the frame persisted (memory, spilling to disk) and
+    registered under ``name``. Use only for a frame read by several actions."""
+    kept = df.persist()
+    kept.createOrReplaceTempView(quoted(name))
+    return kept
+
+
+def release_view(spark: SparkSession, name: str, df: DataFrame | None = None) -> bool:
+    """Drop a temp view/table and free its cached data if any."""
+    if df is not None:
+        df.unpersist()
+    return spark.catalog.dropTempView(name)
+
+
+def run_sql(spark: SparkSession, text: str, **params) -> DataFrame:
+    """SQL text with named parameters (``:name``) bound by Spark, e.g.
+    ``LIMIT CAST(:n_limit AS INT)``; values are never pasted into the text."""
+    return spark.sql(text, args=params)
+
+
+def preview(df: DataFrame, k: int = 5) -> list:
+    """First ``k`` rows for display (a LIMIT, not a full result)."""
+    return df.limit(k).collect()

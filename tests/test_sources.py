@@ -83,3 +83,13 @@ def test_latency_series_csv_schema(spark, tmp_path):
     fit = linear_fit(df, "rows", "original_P50_seconds").collect()[0]
     assert fit["n"] == 2 and abs(fit["slope"] - (0.497051 - 0.184584) / 40000) < 1e-12
     assert df.where(F.col("runs") == 15).count() == 2
+
+
+def test_temp_table_params_and_preview(spark):
+    from edulens.sources.registry import materialize_view, preview, release_view, run_sql
+    df = spark.range(100).withColumnRenamed("id", "x")
+    kept = materialize_view(df, "nums table")
+    out = run_sql(spark, "SELECT x FROM `nums table` WHERE x >= :lo ORDER BY x LIMIT CAST(:n AS INT)", lo=90, n=3)
+    assert [r[0] for r in out.collect()] == [90, 91, 92]
+    assert len(preview(kept, 5)) == 5
+    assert release_view(spark, "nums table", kept) is True
