@@ -118,8 +118,8 @@ def factor_table_raw_sums(df: DataFrame, y: str, factors: Sequence[str], name_co
     input once per factor, so it is the slow form and kept for comparison.
     """
     base = df.where(F.col(y).isNotNull())
-    stats = base.agg(F.count(F.lit(1)).alias("sn"), F.sum(y).alias("sumy"),
-                     F.sum(F.col(y) * F.col(y)).alias("sumy2"))
+    stats = base.agg(F.struct(F.count(F.lit(1)).alias("sn"), F.sum(y).alias("sumy"),
+                              F.sum(F.col(y) * F.col(y)).alias("sumy2")).alias("s")).select("s").scalar()
     branches = None
     for f in factors:
         b = (base.where(F.col(f).isNotNull())
@@ -127,7 +127,8 @@ def factor_table_raw_sums(df: DataFrame, y: str, factors: Sequence[str], name_co
                       F.sum(F.col(f) * F.col(f)).alias("sumx2"), F.sum(F.col(f) * F.col(y)).alias("sumxy"))
                  .select(F.lit(f).alias(name_col), "*"))
         branches = b if branches is None else branches.unionByName(b)
-    sn, sumy, sumy2 = (stats.select(c).scalar() for c in ("sn", "sumy", "sumy2"))
+    branches = branches.withColumn("_stats", stats)
+    sn, sumy, sumy2 = (F.col(f"_stats.{c}") for c in ("sn", "sumy", "sumy2"))
     n, sx, sxx, sxy = (F.col(c) for c in ("n", "sumx", "sumx2", "sumxy"))
     vx = n * sxx - sx * sx
     vy = sn * sumy2 - sumy * sumy
@@ -240,13 +241,16 @@ def hist2d(df: DataFrame, x: str, y: str, bins: int = 100) -> DataFrame:
     each column's [min, max]; the top edge belongs to the last bin. A column
     with min == max uses [min-0.5, max+0.5] (numpy's convention).
 
-    The bounds are scalar subqueries (one tiny global aggregate, run once);
+    The bounds are one struct-valued scalar subquery (a tiny global aggregate);
     the counts are a grouped count with map-side combine.
     Output: x_bin, y_bin, n (only non-empty bins).
     """
     pts = df.where(F.col(x).isNotNull() & F.col(y).isNotNull())
-    b = pts.agg(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"), F.max(y).alias("y1"))
-    x0, x1, y0, y1 = (b.select(c).scalar() for c in ("x0", "x1", "y0", "y1"))
+    bounds = pts.agg(F.struct(F.min(x).alias("x0"), F.max(x).alias("x1"), F.min(y).alias("y0"),
+                              F.max(y).alias("y1")).alias("b")).select("b").scalar()
+    # one occurrence of the subquery; the bin expressions read its fields
+    pts = pts.select(x, y, bounds.alias("_bounds"))
+    x0, x1, y0, y1 = (F.col(f"_bounds.{c}") for c in ("x0", "x1", "y0", "y1"))
 
     def bin_of(v, lo, hi):
         lo_e = F.when(hi > lo, lo).otherwise(lo - 0.5)
