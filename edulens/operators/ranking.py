@@ -16,7 +16,10 @@ task is the job. Here a rank is computed as a distributed prefix sum:
    when its runtime size allows, else shuffles it on balanced keys.
 
 Both uses of the range-partitioned slice come from the same exchange
-(reused by the planner), so the partition ids agree.
+(reused by the planner), so the partition ids agree. With
+``checkpoint=True`` the slice, partition ids included, is first written to
+the session's checkpoint folder, which makes the agreement independent of
+exchange reuse (and cuts the lineage) at the cost of one write.
 """
 
 from __future__ import annotations
@@ -96,7 +99,8 @@ def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> D
 
 
 def prefix_weights(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-                   weight_col: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                   weight_col: str | None = None, num_partitions: int | None = None,
+                   checkpoint: bool = False) -> DataFrame:
     """Add ``_er_before`` (sum of weights of rows ordered strictly before the
     row within its group) and ``_er_total`` (the group's total weight).
 
@@ -115,6 +119,10 @@ def prefix_weights(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
                 .withColumn(PID, F.spark_partition_id()))
     out_schema = StructType(list(sliced.schema.fields) + [StructField(LOCAL_BEFORE, LongType(), False)])
     local = sliced.mapInPandas(_local_running(g, weight_col), out_schema)
+    if checkpoint:
+        from edulens.session import checkpoint_root
+        checkpoint_root(df.sparkSession)
+        local = local.checkpoint(eager=True)
 
     pieces = local.groupBy(PID, *g).agg(F.sum(weight_col).alias("_er_piece"))
     by_group = Window.partitionBy(*g) if g else Window.partitionBy()
@@ -132,10 +140,10 @@ def prefix_weights(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-                      name: str = "rn", num_partitions: int | None = None) -> DataFrame:
+                      name: str = "rn", num_partitions: int | None = None, checkpoint: bool = False) -> DataFrame:
     """Exact ``row_number() over (partition by group_cols order by order_cols)``
     (1-based) computed as a distributed prefix sum."""
-    out = prefix_weights(df, order_cols, group_cols, None, num_partitions)
+    out = prefix_weights(df, order_cols, group_cols, None, num_partitions, checkpoint)
     return out.withColumn(name, (F.col(BEFORE) + 1).cast("long")).drop(BEFORE, TOTAL)
 
 
