@@ -92,11 +92,12 @@ def comparison_grid(spark: SparkSession, stats: DataFrame, comparisons: Sequence
                     F.coalesce(F.col("star_num_runs"), F.lit(0)).cast("long").alias("star_num_runs"))
 
 
-def latency_trend(stats: DataFrame) -> DataFrame:
-    """Per query and version: linear fit of P50 against dataset size
-    (slope, intercept, R^2; R^2 NULL when P50 is constant)."""
-    return linear_fit(stats.withColumn("dataset_size", F.col("dataset_size").cast("double")),
-                      "dataset_size", "p50_s", KEY)
+def latency_trend(stats: DataFrame, rows_unit: int = 1000) -> DataFrame:
+    """Per query and version: linear fit of P50 against dataset size in units
+    of ``rows_unit`` rows: n, slope (seconds per unit), intercept (seconds),
+    R^2 (NULL when P50 is constant)."""
+    x = (F.col("dataset_size").cast("double") / F.lit(float(rows_unit))).alias("k_rows")
+    return linear_fit(stats.select(*KEY, x, "p50_s"), "k_rows", "p50_s", KEY)
 
 
 def launch_timeline(launch: DataFrame, query: tuple[str, str]) -> DataFrame:

@@ -72,7 +72,7 @@ def test_trend_and_timeline(spark, log):
     launch, result = log
     stats = runlog.latency_percentiles(launch, result, latest_only=True)
     tr = {(r["query_name"], r["query_version"]): r for r in runlog.latency_trend(stats).collect()}
-    assert tr[("star", "2.0")]["slope"] == pytest.approx(0.1)
+    assert tr[("star", "2.0")]["slope"] == pytest.approx(100.0)  # seconds per 1,000 rows
     assert tr[("star", "2.0")]["r2"] == pytest.approx(1.0)
     assert tr[("base", "2.0")]["slope"] is None
     tl = [r["launch_id"] for r in runlog.launch_timeline(launch, ("base", "1.0")).collect()]
