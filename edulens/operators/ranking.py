@@ -16,7 +16,10 @@ task is the job. Here a rank is computed as a distributed prefix sum:
    when its runtime size allows, else shuffles it on balanced keys.
 
 Both uses of the range-partitioned slice come from the same exchange
-(reused by the planner), so the partition ids agree. With
+(reused by the planner), so the partition ids agree: the ``mapInPandas``
+step consumes every column, so no optimizer rule can give the two uses
+different exchanges (a plain projection there would be pruned differently
+per use and the two exchanges would sample different bounds). With
 ``checkpoint=True`` the slice, partition ids included, is first written to
 the session's checkpoint folder, which makes the agreement independent of
 exchange reuse (and cuts the lineage) at the cost of one write.
@@ -118,25 +121,35 @@ def prefix_weights(df: DataFrame, order_cols: Sequence[str], group_cols: Sequenc
                 .sortWithinPartitions(*g, *o)
                 .withColumn(PID, F.spark_partition_id()))
     out_schema = StructType(list(sliced.schema.fields) + [StructField(LOCAL_BEFORE, LongType(), False)])
+    # mapInPandas reads every column, so column pruning cannot give the two
+    # consumers below (piece totals, detail rows) different exchanges: both
+    # read one range exchange and see the same partition ids
     local = sliced.mapInPandas(_local_running(g, weight_col), out_schema)
     if checkpoint:
-        from edulens.session import checkpoint_root
-        checkpoint_root(df.sparkSession)
-        local = local.checkpoint(eager=True)
-
+        local = _checkpointed(local)
     pieces = local.groupBy(PID, *g).agg(F.sum(weight_col).alias("_er_piece"))
+    joined = _null_safe_join(local, _offsets(pieces, g), [PID, *g])
+    out = joined.withColumn(BEFORE, F.col("_er_off") + F.col(LOCAL_BEFORE)).drop("_er_off", LOCAL_BEFORE, PID)
+    return out.drop(_WEIGHT) if weight_col == _WEIGHT else out
+
+
+def _checkpointed(local: DataFrame) -> DataFrame:
+    from edulens.session import checkpoint_root
+    checkpoint_root(local.sparkSession)
+    return local.checkpoint(eager=True)
+
+
+def _offsets(pieces: DataFrame, g: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """Per (partition, group) piece: weight of the group's rows in earlier
+    partitions (``_er_off``) and the group total; at most one row per group
+    per partition, so the window over it is small."""
     by_group = Window.partitionBy(*g) if g else Window.partitionBy()
-    offsets = pieces.select(
-        PID, *g,
+    return pieces.select(
+        PID, *g, *keep,
         F.coalesce(F.sum("_er_piece").over(by_group.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_er_off"),
         F.sum("_er_piece").over(by_group).alias(TOTAL),
     )
-    joined = _null_safe_join(local, offsets, [PID, *g])
-    out = joined.withColumn(BEFORE, F.col("_er_off") + F.col(LOCAL_BEFORE)).drop("_er_off", LOCAL_BEFORE, PID)
-    if weight_col == _WEIGHT:
-        out = out.drop(_WEIGHT)
-    return out
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),

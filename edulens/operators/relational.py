@@ -9,24 +9,46 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edulens.operators.ranking import global_row_number
+from edulens.operators.ranking import BEFORE, prefix_weights
 
-# Above this many rows a "first n by key" cap is computed with distributed
-# ranks instead of TakeOrderedAndProject (which merges n rows per partition
-# in one task).
+# A top-n merges n keys from every input partition in one task; above this
+# many keys in that task the n-th key is found with distributed ranks.
 TOP_N_SINGLE_TASK_LIMIT = 10_000
+TOP_N_MERGE_LIMIT = 5_000_000
+
+
+def nth_key(df: DataFrame, order_cols: Sequence[str], n: int):
+    """Scalar subquery: the n-th smallest ``struct(order_cols)`` (NULL when
+    there are fewer than n rows). Only the key columns are ranked: a top-n
+    for small n, distributed ranks beyond that."""
+    keys = df.select(*order_cols)
+    if n <= TOP_N_SINGLE_TASK_LIMIT and n * keys.rdd.getNumPartitions() <= TOP_N_MERGE_LIMIT:
+        top = keys.orderBy(*order_cols).limit(n)
+        last = top.agg(F.max(F.struct(*order_cols)).alias("k"), F.count(F.lit(1)).alias("c"))
+        return last.select(F.when(F.col("c") == n, F.col("k")).alias("k")).scalar()
+    ranked = prefix_weights(keys, list(order_cols))
+    return ranked.where(F.col(BEFORE) == n - 1).select(F.struct(*order_cols).alias("k")).scalar()
 
 
 def prefix_by_key(df: DataFrame, n: int | None, order_cols: Sequence[str]) -> DataFrame:
-    """"First n rows" with an explicit total order (a bare LIMIT has no
-    meaning on a distributed table). ``n=None`` keeps every row."""
+    """"First n rows" with an explicit order (a bare LIMIT has no meaning on
+    a distributed table): rows whose key is at most the n-th smallest key.
+    With a unique, non-NULL order that is exactly n rows (all rows when
+    fewer); rows tied with the n-th key are all kept. ``n=None`` keeps every
+    row.
+
+    The n-th key is one value, resolved once (a small job over the key
+    columns only); the cap is then a plain predicate, which reaches the
+    Parquet scan when the order is a single stored column. The wide rows
+    never pass through a sort or a single task."""
     if n is None:
         return df
-    n = int(n)
-    if n <= TOP_N_SINGLE_TASK_LIMIT:
-        return df.orderBy(*order_cols).limit(n)
-    ranked = global_row_number(df, order_cols, name="_prefix_rn")
-    return ranked.where(F.col("_prefix_rn") <= n).drop("_prefix_rn")
+    kth = df.sparkSession.range(1).select(nth_key(df, order_cols, int(n)).alias("k")).first()["k"]
+    if kth is None:
+        return df
+    if len(order_cols) == 1:
+        return df.where(F.col(order_cols[0]) <= F.lit(kth[0]))
+    return df.where(F.struct(*order_cols) <= F.struct(*[F.lit(v).alias(c) for v, c in zip(kth, order_cols)]))
 
 
 def latest_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
