@@ -17,12 +17,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType, ByteType
 
 from edulens.functions import (clean_digit_text, clean_int, clean_real, label_contains, label_startswith,
-                               not_like_ci, in_values, positive, flag_is, fixed6)
+                               not_like_ci, in_values, positive, flag_is)
 from edulens.operators import records
 from edulens.operators.relational import prefix_by_key
 from edulens.plans import raw, runlog, star as starplans
 from edulens.schemas import RUNLOG_FOREIGN_KEYS, RUNLOG_NOT_NULL, RUNLOG_PRIMARY_KEYS
-from edulens.session import checkpoint_root, scratch_path
+from edulens.session import scratch_path
 from edulens.sources import driver_tables as dt
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -151,3 +151,11 @@ def test_rate_distribution(spark):
     df = spark.createDataFrame([(0.2,), (0.4,), (None,)], "math_prof_rate double")
     r = raw.rate_distribution(df).collect()[0]
     assert (r["n"], r["min_rate"], r["max_rate"]) == (2, 0.2, 0.4) and r["mean_rate"] == pytest.approx(0.3)
+
+
+def test_year_types_join_after_normalization(spark):
+    math = frame(spark, M, [math_row("000000000001", 2024.0, "100", "40"), math_row("000000000002", 2024.0, "100", "60")])
+    att = spark.createDataFrame([("000000000001", "A", "2024", 90.0), ("000000000002", "B", "2024.0", 95.0)],
+                                "ENTITY_CD string, ENTITY_NAME string, YEAR string, ATTENDANCE_RATE double")
+    pts = rows(raw.q2_points(math, att, 2024))
+    assert pts == [("000000000001", "A", 90.0, 40.0), ("000000000002", "B", 95.0, 60.0)]

@@ -71,3 +71,26 @@ def test_materialized_star_matches_lazy(spark, school, tmp_path):
         a = sorted(tuple(r) for r in getattr(lazy, name).collect())
         b = sorted(tuple(r) for r in getattr(written, name).select(*getattr(lazy, name).columns).collect())
         assert a == b, name
+
+
+def test_share_corr_drops_single_pair_subgroups(spark):
+    s = star.StarTables(
+        dim_school=spark.createDataFrame([(1, "001", "A"), (2, "002", "B"), (3, "003", "C")],
+                                         "school_key bigint, school_id string, school_name string"),
+        dim_year=spark.createDataFrame([(2024, "2024")], "year_key int, school_year_label string"),
+        dim_subject=spark.createDataFrame([(1, "Math", "Mathematics")],
+                                          "subject_key int, subject_id string, subject_name string"),
+        dim_subgroup=spark.createDataFrame([(1, "All", "All Students"), (2, "X", "X"), (3, "Y", "Y")],
+                                           "subgroup_key int, subgroup_id string, subgroup_name string"),
+        fact_assessment=spark.createDataFrame([(2024, k, 1, 1, 100, 10 * k) for k in (1, 2, 3)],
+                                              "year_key int, school_key bigint, subject_key int, "
+                                              "subgroup_key int, tested bigint, n_qual bigint"),
+        fact_enrollment=spark.createDataFrame([(2024, 1, 2, 10), (2024, 1, 3, 30), (2024, 2, 2, 20),
+                                               (2024, 3, 2, 35)],
+                                              "year_key int, school_key bigint, subgroup_key int, n_students bigint"),
+        fact_attendance=spark.createDataFrame([], "year_key int, school_key bigint, subgroup_key int, "
+                                                  "absence_rate double, enrollment bigint"),
+    )
+    out = {r["subgroup_name"]: r["correlation"] for r in star.q1_share_corr_star(s, "2024").collect()}
+    assert set(out) == {"X"}  # Y has a single pair
+    assert out["X"] == pytest.approx(3 ** 0.5 / 2)  # shares (0.25, 1, 1) vs rates (10, 20, 30)
