@@ -230,19 +230,14 @@ def build_star_from_driver(spark: SparkSession, d: str, stage=None) -> starplans
 _STAR_CACHE: dict[tuple[str, str], starplans.StarTables] = {}
 
 
-_LAZY_STAR: dict[tuple[str, str], starplans.StarTables] = {}
-
-
 def star_tables(spark: SparkSession, d: str) -> starplans.StarTables:
-    """Star tables for ``d``: a copy materialized by :func:`materialize_star`
-    in this session if there is one, else the lazy build (whose plan objects
-    are kept per session; nothing is computed until an action)."""
+    """Star tables for ``d``: built once per session and written under the
+    shared checkpoint folder (ETL once, then every star analysis reads the
+    written tables, as star queries read a prebuilt star schema)."""
     key = (spark.sparkContext.applicationId, d)
-    if key in _STAR_CACHE:
-        return _STAR_CACHE[key]
-    if key not in _LAZY_STAR:
-        _LAZY_STAR[key] = build_star_from_driver(spark, d)
-    return _LAZY_STAR[key]
+    if key not in _STAR_CACHE:
+        materialize_star(spark, d)
+    return _STAR_CACHE[key]
 
 
 def materialize_star(spark: SparkSession, d: str) -> starplans.StarTables:

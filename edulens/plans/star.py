@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from edulens.functions import label_startswith, not_like_ci, positive, flag_is, to_number, year_of
 from edulens.operators.rates import grouped_rate, guarded_ratio, share_of_group, weighted_mean
-from edulens.operators.ranking import dense_keys
+from edulens.operators.ranking import dense_keys, global_row_number
 from edulens.operators.relational import prefix_by_key
 from edulens.operators.stats import factor_table, pair_count_expr, pearson, pearson_expr
 
@@ -84,9 +84,8 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
         (F.lit(100.0) - to_number(attendance, "ATTENDANCE_RATE")).alias("absence_rate")))
 
     # 2. dimensions
-    dim_school = dense_keys(schools.select("ENTITY_CD"), ["ENTITY_CD"], "school_key")
     names = schools.groupBy("ENTITY_CD").agg(F.max("ENTITY_NAME").alias("school_name"))
-    dim_school = stage("dim_school", dim_school.join(names, "ENTITY_CD", "left")
+    dim_school = stage("dim_school", global_row_number(names, ["ENTITY_CD"], name="school_key")
                        .select(F.col("school_key").cast("long"), F.col("ENTITY_CD").alias("school_id"), "school_name"))
 
     sub_names = fa_nat.select("SUBGROUP_NAME").unionByName(enr_nat.select("SUBGROUP_NAME"))
