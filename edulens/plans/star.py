@@ -149,32 +149,33 @@ def _dims(star: StarTables):
 def q1_factor_corr_star(star: StarTables, factor_ids: Mapping[str, str], all_prefix: str = ALL_PREFIX,
                         subject_id: str = "Math", cap: int | None = None) -> DataFrame:
     """var, n, r, slope; demographics are percent of tested students per
-    subgroup id, computed from fact_assessment in one pass."""
-    subj, sg, yr = _dims(star)
-    fa = star.fact_assessment
-    school = star.dim_school.select("school_key", F.col("school_id").alias("entity_cd"))
-    facts = (fa.join(sg, "subgroup_key").join(yr, "year_key").join(school, "school_key")
-               .select("entity_cd", F.col("year_key").alias("year"), "subject_key", "subgroup_id",
-                       "subgroup_name", "tested", "n_qual"))
+    subgroup id, computed from fact_assessment in one pass.
+
+    Outcome and composition both come from fact_assessment, so they pair on
+    the fact's own (school_key, year_key); the school code and year label
+    (dim_school, dim_year) would only be carried along, and the builder
+    guarantees every fact key has its dimension row."""
+    subj, sg, _ = _dims(star)
+    facts = star.fact_assessment.join(sg.select("subgroup_key", "subgroup_id", "subgroup_name"), "subgroup_key")
     all_rows = label_startswith("subgroup_name", all_prefix)
     math = facts.join(subj.where(F.col("subject_id") == F.lit(subject_id)).select("subject_key"), "subject_key")
-    outcome = (math.where(all_rows).groupBy("entity_cd", "year")
+    keys = ["school_key", "year_key"]
+    outcome = (math.where(all_rows).groupBy(*keys)
                    .agg(F.sum("n_qual").alias("num_prof"), F.sum("tested").alias("num_tested"))
-                   .select("entity_cd", "year", guarded_ratio("num_prof", "num_tested", 1.0).alias("math_prof_rate")))
+                   .select(*keys, guarded_ratio("num_prof", "num_tested", 1.0).alias("math_prof_rate")))
     cat = F.col("subgroup_id")
-    demo = facts.groupBy("entity_cd", "year").agg(
+    demo = facts.groupBy(*keys).agg(
         F.count(F.when(all_rows, F.lit(1))).alias("_n_all"), F.sum(F.when(all_rows, F.col("tested"))).alias("_tot"),
         *[F.sum(F.when(cat == F.lit(sid), F.col("tested"))).alias(f"_c_{name}") for sid, name in factor_ids.items()])
     demo = demo.where(F.col("_n_all") > 0).select(
-        "entity_cd", "year",
-        *[guarded_ratio(F.coalesce(F.col(f"_c_{name}"), F.lit(0)), "_tot", 100.0).alias(name)
-          for name in factor_ids.values()])
-    latest = math.where(all_rows).agg(F.max("year").alias("y")).select("y").scalar()
-    pairs = (outcome.where((F.col("year") == latest) & positive("math_prof_rate"))
-                    .join(demo, ["entity_cd", "year"]))
+        *keys, *[guarded_ratio(F.coalesce(F.col(f"_c_{name}"), F.lit(0)), "_tot", 100.0).alias(name)
+                 for name in factor_ids.values()])
+    latest = math.where(all_rows).agg(F.max("year_key").alias("y")).select("y").scalar()
+    pairs = (outcome.where((F.col("year_key") == latest) & positive("math_prof_rate"))
+                    .join(demo, keys))
     base = pairs.where(F.col("math_prof_rate").isNotNull())
     if cap is not None:
-        base = prefix_by_key(base, cap, ["entity_cd"])
+        base = prefix_by_key(base, cap, ["school_key"])
     return factor_table(base, "math_prof_rate", list(factor_ids.values()))
 
 
