@@ -149,31 +149,37 @@ def _dims(star: StarTables):
 def q1_factor_corr_star(star: StarTables, factor_ids: Mapping[str, str], all_prefix: str = ALL_PREFIX,
                         subject_id: str = "Math", cap: int | None = None) -> DataFrame:
     """var, n, r, slope; demographics are percent of tested students per
-    subgroup id, computed from fact_assessment in one pass.
-
-    Outcome and composition both come from fact_assessment, so they pair on
-    the fact's own (school_key, year_key); the school code and year label
-    (dim_school, dim_year) would only be carried along, and the builder
-    guarantees every fact key has its dimension row."""
+    subgroup id, computed from fact_assessment.
+
+    Outcome (math, all-students rows) and composition (all-students total and
+    per-subgroup tested, any subject) are conditional sums of one
+    aggregation of the fact per (school_key, year_key); the latest year is a
+    scalar subquery over that same aggregate. The school code and year label
+    would only be carried along, and the builder guarantees every fact key
+    has its dimension row, so dim_school and dim_year are not joined."""
     subj, sg, _ = _dims(star)
-    facts = star.fact_assessment.join(sg.select("subgroup_key", "subgroup_id", "subgroup_name"), "subgroup_key")
+    math_keys = subj.where(F.col("subject_id") == F.lit(subject_id)).select(
+        "subject_key", F.lit(True).alias("_is_math"))
+    facts = (star.fact_assessment
+             .join(sg.select("subgroup_key", "subgroup_id", "subgroup_name"), "subgroup_key")
+             .join(math_keys, "subject_key", "left"))
     all_rows = label_startswith("subgroup_name", all_prefix)
-    math = facts.join(subj.where(F.col("subject_id") == F.lit(subject_id)).select("subject_key"), "subject_key")
-    keys = ["school_key", "year_key"]
-    outcome = (math.where(all_rows).groupBy(*keys)
-                   .agg(F.sum("n_qual").alias("num_prof"), F.sum("tested").alias("num_tested"))
-                   .select(*keys, guarded_ratio("num_prof", "num_tested", 1.0).alias("math_prof_rate")))
+    math_all = all_rows & F.coalesce(F.col("_is_math"), F.lit(False))
     cat = F.col("subgroup_id")
-    demo = facts.groupBy(*keys).agg(
-        F.count(F.when(all_rows, F.lit(1))).alias("_n_all"), F.sum(F.when(all_rows, F.col("tested"))).alias("_tot"),
+    keys = ["school_key", "year_key"]
+    agg = facts.groupBy(*keys).agg(
+        F.count(F.when(math_all, F.lit(1))).alias("_n_math"),
+        F.sum(F.when(math_all, F.col("n_qual"))).alias("_prof"),
+        F.sum(F.when(math_all, F.col("tested"))).alias("_tested"),
+        F.sum(F.when(all_rows, F.col("tested"))).alias("_tot"),
         *[F.sum(F.when(cat == F.lit(sid), F.col("tested"))).alias(f"_c_{name}") for sid, name in factor_ids.items()])
-    demo = demo.where(F.col("_n_all") > 0).select(
-        *keys, *[guarded_ratio(F.coalesce(F.col(f"_c_{name}"), F.lit(0)), "_tot", 100.0).alias(name)
-                 for name in factor_ids.values()])
-    latest = math.where(all_rows).agg(F.max("year_key").alias("y")).select("y").scalar()
-    pairs = (outcome.where((F.col("year_key") == latest) & positive("math_prof_rate"))
-                    .join(demo, keys))
-    base = pairs.where(F.col("math_prof_rate").isNotNull())
+    outcome = agg.where(F.col("_n_math") > 0)
+    latest = outcome.agg(F.max("year_key").alias("y")).select("y").scalar()
+    pairs = outcome.select(
+        *keys, guarded_ratio("_prof", "_tested", 1.0).alias("math_prof_rate"),
+        *[guarded_ratio(F.coalesce(F.col(f"_c_{name}"), F.lit(0)), "_tot", 100.0).alias(name)
+          for name in factor_ids.values()])
+    base = pairs.where((F.col("year_key") == latest) & positive("math_prof_rate"))
     if cap is not None:
         base = prefix_by_key(base, cap, ["school_key"])
     return factor_table(base, "math_prof_rate", list(factor_ids.values()))
