@@ -26,18 +26,18 @@ from edulens.session import build_session, env_int  # noqa: E402
 
 HEADLINE = [
     "q1_factor_corr_raw",
-    "q1_factor_corr_star",
-    "q1_share_corr_star",
     "q2_points_raw",
     "q2_corr_raw",
-    "q2_points_star",
-    "q2_corr_star",
     "q3_corr_raw",
-    "q3_corr_star",
     "clip_fit_p",
     "hist2d_points",
     "latency_percentiles_all",
     "latency_comparison_grid",
+    "q1_factor_corr_star",
+    "q1_share_corr_star",
+    "q2_points_star",
+    "q2_corr_star",
+    "q3_corr_star",
 ]
 
 
@@ -63,12 +63,15 @@ def main() -> None:
                           extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
 
     results: dict[str, float] = {}
-    results["star_build"] = round(timed(lambda: catalog.materialize_star(spark, sf_dir)), 4)
+
     def median_time(fn, d):
         fn(spark, d).collect()  # warm-up
         return round(statistics.median(timed(lambda: fn(spark, d).collect()) for _ in range(runs)), 4)
 
     for name in HEADLINE:
+        if "star" in name and "star_build" not in results:
+            # one-time ETL, timed once with a warm JVM, before the first star query
+            results["star_build"] = round(timed(lambda: catalog.materialize_star(spark, sf_dir)), 4)
         results[name] = median_time(catalog.QUERIES[name], sf_dir)
     # scaling shape: the same Q1 over the smaller driver tables next to it
     # (lineitem rows: 6k, 60k, 600k), as the reference reports latency by rows
