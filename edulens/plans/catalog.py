@@ -308,14 +308,23 @@ def latency_percentiles_all(spark, d):
     return runlog.latency_percentiles(launch, result, latest_only=False)
 
 
+def _query_list(spark, pairs) -> DataFrame:
+    """The compared (query_name, query_version) pairs as a run-time list."""
+    return spark.createDataFrame(sorted(set(pairs)), "query_name string, query_version string")
+
+
 def latency_two_queries(spark, d):
+    """Only the two compared queries' results are ranked (semi join first)."""
     launch, result = dt.run_log(spark, d)
-    return runlog.two_queries(runlog.latency_percentiles(launch, result, latest_only=False), COMPARE_A, COMPARE_B)
+    stats = runlog.latency_percentiles(launch, result, latest_only=False,
+                                       queries=_query_list(spark, [COMPARE_A, COMPARE_B]))
+    return runlog.two_queries(stats, COMPARE_A, COMPARE_B)
 
 
 def latency_comparison_grid(spark, d):
     launch, result = dt.run_log(spark, d)
-    stats = runlog.latency_percentiles(launch, result, latest_only=True)
+    pairs = [q for c in COMPARISONS for q in (c[1], c[2])]
+    stats = runlog.latency_percentiles(launch, result, latest_only=True, queries=_query_list(spark, pairs))
     return runlog.comparison_grid(spark, stats, COMPARISONS, GRID_SIZES)
 
 
