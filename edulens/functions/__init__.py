@@ -1,7 +1,7 @@
 """Column-level functions (JVM-side, codegen friendly)."""
 
 from edulens.functions.cleaning import (  # noqa: F401
-    clean_int, clean_real, clean_digit_text, is_digit_text, year_int, year_of, norm_label, to_number,
+    clean_int, clean_real, clean_digit_text, is_digit_text, year_int, year_of, year_equals, norm_label, to_number,
 )
 from edulens.functions.predicates import (  # noqa: F401
     label_startswith, label_contains, not_like_ci, in_values, positive, flag_is,

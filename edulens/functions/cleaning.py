@@ -70,6 +70,16 @@ def year_of(df: DataFrame, name: str) -> Column:
     return year_int(name)
 
 
+def year_equals(df: DataFrame, name: str, year: int) -> Column:
+    """``year_of(df, name) = year``. For a numeric column the equivalent range
+    ``year <= col < year + 1`` is added, a predicate Parquet can use to skip
+    row groups (the truncating cast alone cannot be pushed to the scan)."""
+    eq = year_of(df, name) == F.lit(int(year))
+    if isinstance(df.schema[name].dataType, NumericType):
+        return (F.col(name) >= F.lit(int(year))) & (F.col(name) < F.lit(int(year) + 1)) & eq
+    return eq
+
+
 def norm_label(c) -> Column:
     """Upper-case, trimmed label for prefix/contains matching."""
     return F.upper(F.trim(_col(c)))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edulens.functions import (label_contains, label_startswith, not_like_ci, positive, flag_is,
-                               to_number, year_of)
+                               to_number, year_equals, year_of)
 from edulens.operators.quantiles import clip_above_quantile
 from edulens.operators.rates import guarded_ratio
 from edulens.operators.relational import prefix_by_key
@@ -118,7 +118,7 @@ def math_school(math_src: DataFrame, year: int, all_label: str = ALL_LABEL, cap:
                 cap_order: Sequence[str] = ("ENTITY_CD",)) -> DataFrame:
     """Per (ENTITY_CD, YEAR): total_prof, total_tested and
     ``math_prof_rate = 100 * SUM(NUM_PROF) / SUM(TOTAL_COUNT)``."""
-    m = math_src.where((year_of(math_src, "YEAR") == F.lit(year)) & (F.col("SUBGROUP_NAME") == F.lit(all_label)))
+    m = math_src.where(year_equals(math_src, "YEAR", year) & (F.col("SUBGROUP_NAME") == F.lit(all_label)))
     if cap is not None:
         m = prefix_by_key(m, cap, list(cap_order))
     prof, tested = to_number(m, "NUM_PROF"), to_number(m, "TOTAL_COUNT")
@@ -131,7 +131,7 @@ def q2_points(math_src: DataFrame, attendance: DataFrame, year: int, district: s
               all_label: str = ALL_LABEL, cap: int | None = None) -> DataFrame:
     """Attendance/math pairs of non-district schools with positive values:
     ENTITY_CD, ENTITY_NAME, ATTENDANCE_RATE, math_prof_rate."""
-    att = attendance.where(year_of(attendance, "YEAR") == F.lit(year))
+    att = attendance.where(year_equals(attendance, "YEAR", year))
     if cap is not None:
         att = prefix_by_key(att, cap, ["ENTITY_CD"])
     att = att.select("ENTITY_CD", "ENTITY_NAME", year_of(att, "YEAR").alias("YEAR"),
@@ -150,7 +150,7 @@ def q3_points(math_src: DataFrame, expenditures: DataFrame, year: int, district:
               all_label: str = ALL_LABEL, require_enrollment_flag: bool = True, cap: int | None = None) -> DataFrame:
     """Expenditure/math pairs: ENTITY_CD, ENTITY_NAME, per_pupil_expenditure,
     math_prof_rate; expenditure rows must be flagged reported."""
-    e = expenditures.where((year_of(expenditures, "YEAR") == F.lit(year)) & flag_is("DATA_REPORTED_EXP"))
+    e = expenditures.where(year_equals(expenditures, "YEAR", year) & flag_is("DATA_REPORTED_EXP"))
     if require_enrollment_flag:
         e = e.where(flag_is("DATA_REPORTED_ENR"))
     if cap is not None:
@@ -201,7 +201,7 @@ def rate_distribution(outcome: DataFrame, rate_col: str = "math_prof_rate") -> D
 def q10_top_suspensions(suspensions: DataFrame, year: int, k: int = 10, district: str = "%SD") -> DataFrame:
     """The k schools with most suspensions in a year, districts excluded
     (ties broken by ENTITY_CD so the k rows are well defined)."""
-    s = suspensions.where((year_of(suspensions, "YEAR") == F.lit(year)) & not_like_ci("ENTITY_NAME", district))
+    s = suspensions.where(year_equals(suspensions, "YEAR", year) & not_like_ci("ENTITY_NAME", district))
     return (s.select("ENTITY_CD", "ENTITY_NAME", to_number(s, "NUM_SUSPENSIONS").alias("NUM_SUSPENSIONS"))
              .orderBy(F.col("NUM_SUSPENSIONS").desc_nulls_last(), F.col("ENTITY_CD")).limit(k))
 

@@ -20,7 +20,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edulens.functions import label_startswith, not_like_ci, positive, flag_is, to_number, year_of
+from edulens.functions import label_startswith, not_like_ci, positive, flag_is, to_number, year_equals, year_of
 from edulens.operators.rates import grouped_rate, guarded_ratio, share_of_group, weighted_mean
 from edulens.operators.ranking import dense_keys, global_row_number
 from edulens.operators.relational import prefix_by_key
@@ -262,7 +262,7 @@ def q3_corr_star(star: StarTables, expenditures: DataFrame, year: int, district:
     """Correlation of per-pupil expenditure with the star math rate; the raw
     table reaches the fact through dim_school's natural code. Only the
     expenditure flag is required (no enrollment flag)."""
-    e = expenditures.where((year_of(expenditures, "YEAR") == F.lit(year)) & flag_is("DATA_REPORTED_EXP"))
+    e = expenditures.where(year_equals(expenditures, "YEAR", year) & flag_is("DATA_REPORTED_EXP"))
     e = e.select(F.col("ENTITY_CD"), "ENTITY_NAME", to_number(e, "PER_FED_STATE_LOCAL_EXP").alias("x"))
     math = math_school_star(star, year=year, all_name=all_name)
     pairs = (e.join(star.dim_school.select(F.col("school_id").alias("ENTITY_CD"), "school_key"), "ENTITY_CD")

@@ -49,3 +49,23 @@ def test_scans_read_only_needed_columns(spark, long_metadata):
         if "FileScan parquet" in ln and "lineitem" in ln:
             schema = ln.split("ReadSchema: struct<", 1)[1].split(">", 1)[0]
             assert len(schema.split(",")) <= 4 and "l_extendedprice" not in schema
+
+
+def test_numeric_year_filter_reaches_a_school_table_scan(spark, long_metadata, tmp_path):
+    from edulens import schemas
+    from edulens.plans import raw
+    from school_fixtures import frame
+    path = str(tmp_path / "att")
+    frame(spark, schemas.ATTENDANCE, [{"ENTITY_CD": "000000000001", "ENTITY_NAME": "A", "YEAR": 2024.0,
+                                       "ATTENDANCE_RATE": 90.0},
+                                      {"ENTITY_CD": "000000000001", "ENTITY_NAME": "A", "YEAR": 2023.0,
+                                       "ATTENDANCE_RATE": 80.0}]).write.parquet(path)
+    att = spark.read.schema(schemas.ATTENDANCE).parquet(path)
+    math = frame(spark, schemas.ANNUAL_EM_MATH, [{"ENTITY_CD": "000000000001", "YEAR": 2024.0,
+                                                  "SUBGROUP_NAME": "All Students", "TOTAL_COUNT": "10",
+                                                  "NUM_PROF": "5"}])
+    df = raw.q2_points(math, att, 2024)
+    assert [tuple(r) for r in df.collect()] == [("000000000001", "A", 90.0, 50.0)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln][0]
+    assert "GreaterThanOrEqual(YEAR,2024.0)" in scan and "LessThan(YEAR,2025.0)" in scan
