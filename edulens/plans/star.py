@@ -27,7 +27,6 @@ from edulens.operators.relational import prefix_by_key
 from edulens.operators.stats import factor_table, pair_count_expr, pearson, pearson_expr
 
 ALL_PREFIX = "ALL STUDENTS"
-SMALL_DIM_ROWS = 10_000
 
 
 @dataclass(frozen=True)
@@ -279,7 +278,3 @@ def star_counts(star: StarTables) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
-
-
-def pair_counts(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    return df.groupBy(*by).agg(pair_count_expr(x, y).cast("long").alias("n"))

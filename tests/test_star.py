@@ -67,6 +67,8 @@ def test_star_q1_share_and_q3(spark, school):
 def test_materialized_star_matches_lazy(spark, school, tmp_path):
     lazy = _star(spark, school)
     written = star.materialize(lambda stage: _star(spark, school, stage), str(tmp_path / "star"))
+    counts = {r["table_name"]: r["rows"] for r in star.star_counts(written).collect()}
+    assert counts["dim_school"] == 40 and counts["fact_assessment"] == 40 * 2 * 8
     for name in ("dim_school", "dim_subgroup", "fact_assessment", "fact_enrollment", "fact_attendance"):
         a = sorted(tuple(r) for r in getattr(lazy, name).collect())
         b = sorted(tuple(r) for r in getattr(written, name).select(*getattr(lazy, name).columns).collect())
