@@ -41,8 +41,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
     Read from the session (``SparkContext.getCheckpointDir`` or the
-    ``spark.checkpoint.dir`` setting). Only when neither is set, as in unit
-    tests on one machine, a fresh local folder is created and registered.
+    ``spark.checkpoint.dir`` setting). Only when neither is set and the master
+    is ``local[...]`` (unit tests on one machine) is a fresh local folder
+    created; on a cluster a missing setting is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,6 +53,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
+    if not (sc.master or "").startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) for "
+                           "checkpoints and written intermediate tables; a machine-local folder is not "
+                           "visible to other executors")
     local = tempfile.mkdtemp(prefix="edulens-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
