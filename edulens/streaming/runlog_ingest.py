@@ -8,6 +8,8 @@ duplicating it (the checkpoint in the shared folder records which batches
 committed). Rows without a ``result_id`` get keys continuing after the
 largest key of earlier batches, ordered by (launch_id, dataset_size,
 run_index) -- the auto-increment key of a single insert, for a whole batch.
+Each batch also writes its largest key to a one-row partition of a marks
+table next to the results, so finding the next key never scans the results.
 """
 
 from __future__ import annotations
@@ -33,13 +35,19 @@ def result_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger:
     return reader.parquet(landing_dir)
 
 
+def _marks_dir(table_dir: str) -> str:
+    return table_dir.rstrip("/") + "_key_marks"
+
+
 def _previous_max(spark: SparkSession, table_dir: str, batch_id: int):
+    """Largest key of earlier batches, from the one-row-per-batch marks table
+    (never from a scan of the growing results table)."""
     try:
-        existing = spark.read.parquet(table_dir)
-    except Exception:  # first batch: no table yet
+        marks = spark.read.parquet(_marks_dir(table_dir))
+    except Exception:  # first batch: no marks yet
         return F.lit(0).cast("long")
-    return (existing.where(F.col(BATCH_COL) < batch_id)
-                    .agg(F.coalesce(F.max("result_id"), F.lit(0)).cast("long").alias("m")).select("m").scalar())
+    return (marks.where(F.col(BATCH_COL) < batch_id)
+                 .agg(F.coalesce(F.max("max_key"), F.lit(0)).cast("long").alias("m")).select("m").scalar())
 
 
 def append_batch(table_dir: str):
@@ -53,9 +61,16 @@ def append_batch(table_dir: str):
         keyed = (global_row_number(missing, ORDER, name="_rn")
                  .withColumn("result_id", (start + F.col("_rn")).cast("long")).drop("_rn"))
         cols = [f.name for f in schemas.QUERY_RESULT.fields]
-        out = given.select(*cols).unionByName(keyed.select(*cols)).withColumn(BATCH_COL, F.lit(batch_id))
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy(BATCH_COL).parquet(table_dir))
+        out = (given.select(*cols).unionByName(keyed.select(*cols)).withColumn(BATCH_COL, F.lit(batch_id))
+                    .persist())
+        try:
+            (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+                .partitionBy(BATCH_COL).parquet(table_dir))
+            mark = out.agg(F.coalesce(F.max("result_id"), start).cast("long").alias("max_key"))
+            (mark.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(_marks_dir(table_dir)))
+        finally:
+            out.unpersist()
 
     return write
 
