@@ -65,73 +65,95 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
     and cuts the lineage); by default the build stays lazy.
     """
     stage = stage or (lambda name, df: df)
+
+    def wave(tables: dict) -> dict:
+        """Stage tables that do not depend on each other (concurrently when
+        the stage function offers ``many``)."""
+        many = getattr(stage, "many", None)
+        return many(tables) if many else {n: stage(n, df) for n, df in tables.items()}
+
     ids = dict(subgroup_ids or {})
     ids.setdefault(all_label, all_id)
 
     # 1. natural-key aggregates of the big inputs (one pass each)
-    fa_nat = stage("_fa_natural", math_rows.groupBy(
+    fa_nat = math_rows.groupBy(
         "ENTITY_CD", year_of(math_rows, "YEAR").alias("year_key"), "SUBGROUP_NAME").agg(
         F.sum(to_number(math_rows, "NUM_TESTED", integral=True)).cast("long").alias("tested"),
-        F.sum(to_number(math_rows, "NUM_PROF", integral=True)).cast("long").alias("n_qual")))
+        F.sum(to_number(math_rows, "NUM_PROF", integral=True)).cast("long").alias("n_qual"))
     stack = F.array(*[F.struct(F.lit(name).alias("SUBGROUP_NAME"),
                                to_number(demo_counts, col, integral=True).alias("n_students"))
                       for col, name in count_columns.items()])
-    enr_nat = stage("_enrollment_natural", demo_counts.select(
-        "ENTITY_CD", year_of(demo_counts, "YEAR").alias("year_key"), F.inline(stack)))
-    att_nat = stage("_attendance_natural", attendance.select(
-        "ENTITY_CD", year_of(attendance, "YEAR").alias("year_key"),
-        (F.lit(100.0) - to_number(attendance, "ATTENDANCE_RATE")).alias("absence_rate")))
+    enr_nat = demo_counts.select("ENTITY_CD", year_of(demo_counts, "YEAR").alias("year_key"), F.inline(stack))
+    att_nat = attendance.select("ENTITY_CD", year_of(attendance, "YEAR").alias("year_key"),
+                                (F.lit(100.0) - to_number(attendance, "ATTENDANCE_RATE")).alias("absence_rate"))
+    nat = wave({"_fa_natural": fa_nat, "_enrollment_natural": enr_nat, "_attendance_natural": att_nat})
+    fa_nat, enr_nat, att_nat = nat["_fa_natural"], nat["_enrollment_natural"], nat["_attendance_natural"]
 
     # 2. dimensions
     names = schools.groupBy("ENTITY_CD").agg(F.max("ENTITY_NAME").alias("school_name"))
-    dim_school = stage("dim_school", global_row_number(names, ["ENTITY_CD"], name="school_key")
-                       .select(F.col("school_key").cast("long"), F.col("ENTITY_CD").alias("school_id"), "school_name"))
+    dim_school = (global_row_number(names, ["ENTITY_CD"], name="school_key")
+                  .select(F.col("school_key").cast("long"), F.col("ENTITY_CD").alias("school_id"), "school_name"))
 
     sub_names = fa_nat.select("SUBGROUP_NAME").unionByName(enr_nat.select("SUBGROUP_NAME"))
     dim_subgroup = dense_keys(sub_names, ["SUBGROUP_NAME"], "subgroup_key")
     id_expr = F.col("SUBGROUP_NAME")
     for name, sid in ids.items():
         id_expr = F.when(F.col("SUBGROUP_NAME") == F.lit(name), F.lit(sid)).otherwise(id_expr)
-    dim_subgroup = stage("dim_subgroup", dim_subgroup.select(F.col("subgroup_key").cast("int"),
-                                                             id_expr.alias("subgroup_id"),
-                                                             F.col("SUBGROUP_NAME").alias("subgroup_name")))
+    dim_subgroup = dim_subgroup.select(F.col("subgroup_key").cast("int"), id_expr.alias("subgroup_id"),
+                                       F.col("SUBGROUP_NAME").alias("subgroup_name"))
 
-    dim_year = stage("dim_year", fa_nat.select("year_key").unionByName(enr_nat.select("year_key"))
+    dim_year = (fa_nat.select("year_key").unionByName(enr_nat.select("year_key"))
                      .unionByName(att_nat.select("year_key")).dropDuplicates()
                      .select("year_key", F.col("year_key").cast("string").alias("school_year_label")))
-    dim_subject = stage("dim_subject", spark.createDataFrame([(1, subject[0], subject[1])],
-                                                             "subject_key int, subject_id string, subject_name string"))
+    dim_subject = spark.createDataFrame([(1, subject[0], subject[1])],
+                                        "subject_key int, subject_id string, subject_name string")
+    dims = wave({"dim_school": dim_school, "dim_subgroup": dim_subgroup, "dim_year": dim_year,
+                 "dim_subject": dim_subject})
+    dim_school, dim_subgroup, dim_year, dim_subject = (dims[n] for n in ("dim_school", "dim_subgroup", "dim_year",
+                                                                         "dim_subject"))
 
     # 3. facts keyed by the dimensions; join strategies are left to the
     #    planner and AQE, which broadcast a side only when its (estimated,
     #    then actual) size is under the broadcast threshold
     school_key = dim_school.select(F.col("school_id").alias("ENTITY_CD"), "school_key")
     sg_key = dim_subgroup.select(F.col("subgroup_name").alias("SUBGROUP_NAME"), "subgroup_key")
-    fact_assessment = stage("fact_assessment", fa_nat.join(school_key, "ENTITY_CD").join(sg_key, "SUBGROUP_NAME")
-                            .select("year_key", "school_key", F.lit(1).alias("subject_key"), "subgroup_key",
+    fact_assessment = (fa_nat.join(school_key, "ENTITY_CD").join(sg_key, "SUBGROUP_NAME")
+                       .select("year_key", "school_key", F.lit(1).alias("subject_key"), "subgroup_key",
                                     "tested", "n_qual"))
-    fact_enrollment = stage("fact_enrollment", enr_nat.join(school_key, "ENTITY_CD").join(sg_key, "SUBGROUP_NAME")
-                            .select("year_key", "school_key", "subgroup_key", F.col("n_students").cast("long")))
+    fact_enrollment = (enr_nat.join(school_key, "ENTITY_CD").join(sg_key, "SUBGROUP_NAME")
+                       .select("year_key", "school_key", "subgroup_key", F.col("n_students").cast("long")))
     totals = fa_nat.where(F.col("SUBGROUP_NAME") == F.lit(all_label)).select(
         "ENTITY_CD", "year_key", F.col("tested").alias("enrollment"))
     all_key = sg_key.where(F.col("SUBGROUP_NAME") == F.lit(all_label)).select("subgroup_key")
-    fact_attendance = stage("fact_attendance", att_nat.join(totals, ["ENTITY_CD", "year_key"], "left")
-                            .join(school_key, "ENTITY_CD")
+    fact_attendance = (att_nat.join(totals, ["ENTITY_CD", "year_key"], "left")
+                       .join(school_key, "ENTITY_CD")
                             .select("year_key", "school_key", all_key.scalar().cast("int").alias("subgroup_key"),
                                     "absence_rate", F.col("enrollment").cast("long")))
-    return StarTables(dim_school, dim_year, dim_subject, dim_subgroup, fact_assessment, fact_enrollment,
-                      fact_attendance)
+    facts = wave({"fact_assessment": fact_assessment, "fact_enrollment": fact_enrollment,
+                  "fact_attendance": fact_attendance})
+    return StarTables(dim_school, dim_year, dim_subject, dim_subgroup, facts["fact_assessment"],
+                      facts["fact_enrollment"], facts["fact_attendance"])
 
 
-def materialize(build, root: str) -> StarTables:
+def materialize(build, root: str, parallel: int = 4) -> StarTables:
     """Run ``build(stage)`` (a :func:`build_star` call) writing every
     intermediate and star table as Parquet under ``root`` (a shared folder)
     and reading it back, so each is computed once and later steps start from
-    written data. Returns the star tables as read from ``root``."""
+    written data. Tables of one step that do not depend on each other are
+    written as concurrent Spark jobs. Returns the star tables read from
+    ``root``."""
+    from concurrent.futures import ThreadPoolExecutor
+
     def stage(name: str, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(f"{root}/{name}")
         return df.sparkSession.read.parquet(f"{root}/{name}")
 
+    def many(tables: dict) -> dict:
+        with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+            futures = {n: pool.submit(stage, n, df) for n, df in tables.items()}
+            return {n: f.result() for n, f in futures.items()}
+
+    stage.many = many
     return build(stage)
 
 
