@@ -3,9 +3,13 @@ columns as bytes, and stable positions of rows."""
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
+import pyarrow.parquet as pq
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window
@@ -91,6 +95,60 @@ def byte_length(col: Column) -> Column:
     return F.coalesce(F.octet_length(col), F.lit(0)).cast("long")
 
 
+#: Folders that tables by file are cut in, at most.
+FILE_BUCKETS = 1024
+
+
+class RowsByFile:
+    """Picked rows of files, each with a number, in the shared folder. A task
+    that scans a file loads what is picked of this file, so that rows meet
+    their numbers without a shuffle of the file's contents."""
+
+    def __init__(self, folder: str, buckets: int):
+        self.folder, self.buckets = folder, buckets
+        self._held: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+
+    def __getstate__(self):
+        return {"folder": self.folder, "buckets": self.buckets, "_held": {}}
+
+    def _load(self, file: str) -> tuple[np.ndarray, np.ndarray]:
+        if file not in self._held:
+            self._held.clear()
+            fs, where = pafs.FileSystem.from_uri(f"{self.folder}/bucket={zlib.crc32(file.encode()) % self.buckets}")
+            rows, values = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            for f in fs.get_file_info(pafs.FileSelector(where, allow_not_found=True)):
+                if f.path.endswith(".parquet"):
+                    found = pq.read_table(f.path, filesystem=fs, columns=["row", "value"], filters=[("file", "=", file)], partitioning=None)
+                    rows.append(found.column("row").to_numpy())
+                    values.append(found.column("value").to_numpy())
+            row, value = np.concatenate(rows), np.concatenate(values)
+            order = np.argsort(row)
+            self._held[file] = row[order], value[order]
+        return self._held[file]
+
+    def among(self, files: pa.Array, rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Which of these rows are picked (their indices), and their numbers."""
+        at, values = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        files, rows = files.dictionary_encode(), rows.to_numpy()
+        for k, file in enumerate(files.dictionary.to_pylist()):
+            here = np.flatnonzero(files.indices.to_numpy() == k)
+            row, value = self._load(file)
+            place = np.searchsorted(row, rows[here])
+            found = place < len(row)
+            found[found] = row[place[found]] == rows[here][found]
+            at.append(here[found])
+            values.append(value[place[found]])
+        return np.concatenate(at), np.concatenate(values)
+
+
+def write_by_file(spark: SparkSession, picked: DataFrame, name: str) -> RowsByFile:
+    """Write ``file, row, value`` so that tasks can look rows up by file."""
+    folder = make_folder(spark, name)
+    (picked.select("file", "row", "value", F.pmod(F.crc32("file"), F.lit(FILE_BUCKETS)).alias("bucket"))
+     .repartition("bucket").sortWithinPartitions("bucket", "file").write.partitionBy("bucket").parquet(f"{folder}/rows"))
+    return RowsByFile(f"{folder}/rows", FILE_BUCKETS)
+
+
 #: Rows of a file that are numbered together.
 CHUNK = 1024
 

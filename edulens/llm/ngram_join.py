@@ -9,7 +9,8 @@ so copies are never compared with each other.
    ``n - ceil(t n) + k`` of both documents then share at least k (k is a
    twentieth of the set). Only these are exchanged first. A class survives when
    enough of them occur in another class.
-2. The full sets of the survivors are exchanged. A class goes on when
+2. The full sets of the survivors are exchanged. Each scan task reads which of
+   its file's rows survive, so no text is shuffled. A class goes on when
    ``ceil(t n)`` of its shingles occur in another survivor; the others have no
    partner. Its *keys* are the rarest shingles, as many as the bound asks for.
 3. Classes that share keys form clusters. A cluster is cut in blocks of rows of
@@ -40,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import row_position, slices, utf8, write_table
+from .common import RowsByFile, row_position, slices, utf8, write_by_file, write_table
 from .graph import components
 from .words import U, mixed, shingle_set
 
@@ -124,11 +125,13 @@ def _deal_prefixes(ranges: int):
     return run
 
 
-def _deal_texts(words: int, ranges: int):
+def _deal_texts(wanted: RowsByFile, words: int, ranges: int):
+    """Entries of the wanted rows of ``file, row, text``; other texts are passed over."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield _deal(batch.column(0).to_numpy(), [shingle_set(t, words) for t in utf8(batch.column(1))], ranges,
-                        lambda h: h.astype("<u8").tobytes())
+            at, classes = wanted.among(batch.column(0), batch.column(1))
+            sets = [shingle_set(t, words) for t in utf8(batch.column(2).take(pa.array(at)))]
+            yield _deal(classes, sets, ranges, lambda h: h.astype("<u8").tobytes())
     return run
 
 
@@ -341,8 +344,8 @@ def joined(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold:
 
     entries = survivors.agg(F.sum("n_shingles")).first()[0] or 0
     ranges = max(4, int(entries // RANGE_ENTRIES))
-    parts = (survivors.select("class", "one.file", "one.row").join(text, ["file", "row"]).select("class", "text")
-             .mapInArrow(_deal_texts(words, ranges), _DEALT)
+    wanted = write_by_file(spark, survivors.select("one.file", "one.row", F.col("class").alias("value")), "wanted")
+    parts = (text.select("file", "row", "text").mapInArrow(_deal_texts(wanted, words, ranges), _DEALT)
              .groupBy("range").applyInArrow(_list_shared, "class long, hashes binary, counts binary")
              .groupBy("class").agg(F.collect_list(F.struct("hashes", "counts")).alias("parts")))
     rows = write_table(spark, parts.join(survivors, "class").select("class", "n_shingles", "members", "parts")
@@ -386,8 +389,17 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, words: int = WORDS, t
     ``doc_id`` (nulls last), then the first by place in the files. Rows without
     shingles all stay."""
     out, placed, file, row = joined(spark, docs, words, threshold)
-    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")).alias("first")
-    kept = out.where("root is not null").groupBy("root").agg(first).select("first.file", "first.row")
-    kept = kept.union(out.where("root is null").select("file", "row")).select(
-        F.col("file").alias(file), F.col("row").alias(row))
-    return placed.join(kept, [file, row], "left_semi").select(*docs.columns)
+    out = write_table(spark, out.where("root is not null").select("root", "doc_id", "file", "row"), "grouped")
+    first = out.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")).alias("first"))
+    gone = write_by_file(spark, out.join(first, "root").where("file <> first.file or row <> first.row")
+                         .select("file", "row", F.lit(0).cast("long").alias("value")), "gone")
+    names = placed.columns
+    at, keep = (names.index(file), names.index(row)), [names.index(c) for c in docs.columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            stays = np.ones(batch.num_rows, bool)
+            stays[gone.among(batch.column(at[0]), batch.column(at[1]))[0]] = False
+            yield batch.select(keep).filter(pa.array(stays))
+
+    return placed.mapInArrow(run, docs.schema)

@@ -5,10 +5,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, mixing, ngram_join, quality, sharding
+from . import decontaminate, mixing, ngram_join, quality, sharding, token_files
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +20,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("file", "row")
 
 
+def op3_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    manifest = token_files.write_shards(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return token_files.read_shards(manifest)
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_jaccard_join(spark, _table(spark, sf_dir, "documents"))
 
@@ -46,7 +52,7 @@ def op10_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_mix_sources, op5_ngram_jaccard, op7_quality_rules, op9_decontaminate, op10_shard_bytes)
+    f.__name__: f for f in (op2_mix_sources, op3_token_shards, op5_ngram_jaccard, op7_quality_rules, op9_decontaminate, op10_shard_bytes)
 }
 
 ORACLE: dict[str, str] = {}
