@@ -48,7 +48,7 @@ CACHE_WORDS = 400_000
 
 _MAGIC = b"RPT1"
 _HEAD = "<QIIIII"  # tokens, base, rules, symbols, width, bytes of the block's body
-_TRAILER = "<QQQ4s"  # place of the documents, their number, number of blocks
+_TRAILER = "<QQQ4s"  # bytes of the documents and the directory, numbers of documents and of blocks
 
 
 class _NotAWord(Exception):
@@ -210,10 +210,10 @@ class ShardFile:
         fs, path = pafs.FileSystem.from_uri(uri)
         self.file = fs.open_input_file(path)
         size, end = self.file.size(), struct.calcsize(_TRAILER)
-        place, n_docs, n_blocks, magic = struct.unpack(_TRAILER, self.file.read_at(end, size - end))
+        length, n_docs, n_blocks, magic = struct.unpack(_TRAILER, self.file.read_at(end, size - end))
         if magic != _MAGIC:
             raise ValueError(f"{uri} is no token shard")
-        tail = zlib.decompress(self.file.read_at(size - end - place, place))
+        tail = zlib.decompress(self.file.read_at(length, size - end - length))
         numbers = np.frombuffer(tail, "<i8", 2 * n_docs + 2 * n_blocks + 1)
         self.ids = numbers[:n_docs]
         self.starts = numbers[n_docs : 2 * n_docs]
