@@ -276,7 +276,7 @@ def _written(folder: str, path: str, end_id: int, block: int):
         for batch in slices(batches):
             if sink is None and batch.num_rows:
                 fs, where = pafs.FileSystem.from_uri(uri)
-                sink = fs.open_output_stream(where)
+                sink = fs.open_output_stream(where, compression=None)
             for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
                 found = (encode(text.decode()) if text else b"") + end
                 ids.append(doc_id or 0)
