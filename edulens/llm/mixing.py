@@ -106,4 +106,4 @@ def in_mixed_order(docs: DataFrame, weights: DataFrame | None = None, block_rows
         F.col("file").alias(file), F.col("row").alias(row), F.coalesce("slot", F.lit((1 << 63) - 1)).alias("__slot"),
         F.col("number").alias("__number")), "mixed")
     order = ["__slot", "__number", file, row]
-    return placed.join(place, [file, row]).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
+    return placed.join(place.hint("merge"), [file, row]).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)

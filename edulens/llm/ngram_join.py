@@ -7,7 +7,7 @@ so copies are never compared with each other.
 1. *Bound by size.* A document of n shingles links only to one that shares at
    least ``ceil(t n)`` of them. In one fixed order of all shingles, the first
    ``n - ceil(t n) + k`` of both documents then share at least k (k is a
-   twentieth of the set). Only these are exchanged first. A class survives when
+   fifth of the set). Only these are exchanged first. A class survives when
    enough of them occur in another class.
 2. The full sets of the survivors are exchanged. Each scan task reads which of
    its file's rows survive, so no text is shuffled. A class goes on when
@@ -49,6 +49,10 @@ WORDS = 5
 THRESHOLD = 80  # per cent
 BLOCK_ROWS = 1024
 BLOCK_ENTRIES = 2_000_000
+#: One in so many shingles of a set is exchanged beyond the bound. Shingles that
+#: are shared by chance grow more common with the corpus; as more have to be
+#: shared, documents without a partner still go early.
+EXTRA = 5
 #: Shingles that a task of the exchange holds, about.
 RANGE_ENTRIES = 2_000_000
 
@@ -59,7 +63,7 @@ def least_overlap(n: int, threshold: int) -> int:
 
 
 def _extra(n: int) -> int:
-    return max(1, n // 20)
+    return max(1, n // EXTRA)
 
 
 def prefix_length(n: int, threshold: int) -> int:
@@ -154,21 +158,37 @@ def _entries(table: pa.Table, unpack) -> tuple[np.ndarray, np.ndarray, np.ndarra
     return h[df > 1], c[df > 1], df[df > 1]
 
 
-def _count_shared(table: pa.Table) -> pa.Table:
-    _, classes, _ = _entries(table, _from_six)
-    found, n = np.unique(classes, return_counts=True)
-    return pa.table({"class": pa.array(found, pa.int64()), "shared": pa.array(n, pa.int64())})
+def _count_shared(buckets: int):
+    """How many entries of a range each class shares, packed by bucket of classes."""
+    def run(table: pa.Table) -> pa.Table:
+        _, classes, _ = _entries(table, _from_six)
+        found, n = np.unique(classes, return_counts=True)
+        to = mixed(found.view(U)) % U(buckets)
+        order = np.argsort(to, kind="stable")
+        found, n, to = found[order], n[order], to[order]
+        at = np.searchsorted(to, np.arange(buckets + 1, dtype=U))
+        used = np.flatnonzero(at[1:] > at[:-1])
+        return pa.table({"bucket": pa.array(used, pa.int32()),
+                         "classes": pa.array([found[at[k] : at[k + 1]].astype("<i8").tobytes() for k in used], pa.binary()),
+                         "counts": pa.array([n[at[k] : at[k + 1]].astype("<i4").tobytes() for k in used], pa.binary())})
+    return run
+
+
+def _sum_shared(table: pa.Table) -> pa.Table:
+    classes, counts = (np.frombuffer(b"".join(table.column(k).to_pylist()), kind) for k, kind in (("classes", "<i8"), ("counts", "<i4")))
+    found, inverse = np.unique(classes, return_inverse=True)
+    return pa.table({"class": pa.array(found, pa.int64()), "shared": pa.array(np.bincount(inverse, counts, len(found)).astype(np.int64))})
 
 
 def _list_shared(table: pa.Table) -> pa.Table:
     h, c, df = _entries(table, lambda b: np.frombuffer(b, "<u8"))
     order = np.argsort(c, kind="stable")
-    h, c, df = h[order], c[order], df[order]
+    h, c, df = h[order], c[order], np.minimum(df[order], 255).astype(np.uint8)  # an order is all that the keys need
     found, at = np.unique(c, return_index=True)
     ends = np.r_[at[1:], len(c)]
     return pa.table({"class": pa.array(found, pa.int64()),
                      "hashes": pa.array([h[a:b].astype("<u8").tobytes() for a, b in zip(at, ends, strict=True)], pa.binary()),
-                     "counts": pa.array([df[a:b].astype("<i8").tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())})
+                     "counts": pa.array([df[a:b].tobytes() for a, b in zip(at, ends, strict=True)], pa.binary())})
 
 
 def _keys(threshold: int):
@@ -182,7 +202,7 @@ def _keys(threshold: int):
                 h = np.frombuffer(b"".join(p["hashes"] for p in parts), "<u8")
                 if len(h) < (need := least_overlap(n, threshold)):
                     continue
-                df = np.frombuffer(b"".join(p["counts"] for p in parts), "<i8")
+                df = np.frombuffer(b"".join(p["counts"] for p in parts), np.uint8)
                 h = h[np.lexsort((h, df))]
                 keep.append(i)
                 sets.append(h.tobytes())
@@ -264,14 +284,21 @@ def _local_roots(link: np.ndarray, a_ids: np.ndarray, b_ids: np.ndarray) -> tupl
         a_ids, b_ids = a_new, b_new
 
 
+def _no_links() -> pa.Table:
+    return pa.table({name: pa.array([], pa.int64()) for name in ("class", "root", "links")})
+
+
 def _product(threshold: int):
     def run(table: pa.Table) -> pa.Table:
         side = table.column("side").to_numpy()
         classes, n, members = (table.column(k).to_numpy() for k in ("class", "n_shingles", "members"))
         sets = [np.frombuffer(h, "<u8") for h in table.column("hashes").to_pylist()]
         a = np.flatnonzero(side == 0)
-        same = not (side == 1).any()
+        i, j, across = (table.column(k)[0].as_py() for k in ("i", "j", "across"))
+        same = i == j and not across
         b = a if same else np.flatnonzero(side == 1)
+        if not len(a) or not len(b):  # a block that no class was dealt to
+            return _no_links()
         sizes = n[a][:, None] + n[b][None, :]
         need = -(-threshold * sizes // (100 + threshold))
         count = overlaps([sets[i] for i in a], [sets[i] for i in b], need)
@@ -290,7 +317,8 @@ def _product(threshold: int):
 
 
 def _blocks(clustered: DataFrame) -> DataFrame:
-    """Each class with every block product that it takes part in. A cluster
+    """The block products that each class (``cluster, class, n_shingles,
+    entries``) takes part in. A cluster
     that fits one block is one product. Else rows are cut by the band of their
     set size (a band is a factor of 1.25 wide) and a hash; a block meets the
     blocks of its own band and of the two next to it, as sizes further apart
@@ -298,7 +326,7 @@ def _blocks(clustered: DataFrame) -> DataFrame:
     limit = lambda rows, entries: F.greatest(F.ceil(rows / BLOCK_ROWS), F.ceil(entries / BLOCK_ENTRIES)).cast("int")
     banded = clustered.withColumn("band", F.floor(F.log(F.col("n_shingles").cast("double")) / F.log(F.lit(1.25))).cast("int"))
     bands = (banded.groupBy("cluster", "band")
-             .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("hashes") / 8).alias("entries")))
+             .agg(F.count(F.lit(1)).alias("rows"), F.sum("entries").alias("entries")))
     whole = (bands.groupBy("cluster").agg(limit(F.sum("rows"), F.sum("entries")).alias("parts"))
              .withColumn("single", F.col("parts") <= 1).select("cluster", "single"))
     sized = bands.select("cluster", "band", limit(F.col("rows"), F.col("entries")).alias("cuts"))
@@ -308,7 +336,7 @@ def _blocks(clustered: DataFrame) -> DataFrame:
     for other in near[1:]:
         plan = plan.join(other, ["cluster", "band"], "left")
     plan = plan.join(whole, "cluster").na.fill(0, ["above", "below"])
-    rows = banded.join(plan, ["cluster", "band"]).withColumn("cut", F.pmod(F.xxhash64("class"), F.col("own")).cast("int"))
+    rows = banded.join(plan.hint("merge"), ["cluster", "band"]).withColumn("cut", F.pmod(F.xxhash64("class"), F.col("own")).cast("int"))
     meets = F.expr("""case when single then array(struct(0 as lo, 0 as i, 0 as j, false as across, 0 as side))
         else concat(
           transform(sequence(0, own - 1), x -> struct(band as lo, least(cut, x) as i, greatest(cut, x) as j, false as across,
@@ -316,8 +344,7 @@ def _blocks(clustered: DataFrame) -> DataFrame:
           if(above > 0, transform(sequence(0, above - 1), x -> struct(band as lo, cut as i, x as j, true as across, 0 as side)), array()),
           if(below > 0, transform(sequence(0, below - 1), x -> struct(band - 1 as lo, x as i, cut as j, true as across, 1 as side)), array()))
         end""")
-    return (rows.select("cluster", "class", "n_shingles", "members", "hashes", F.explode(meets).alias("at"))
-            .select("cluster", "at.*", "class", "n_shingles", "members", "hashes"))
+    return rows.select("cluster", "class", F.explode(meets).alias("at")).select("cluster", "at.*", "class")
 
 
 def joined(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold: int = THRESHOLD) -> tuple[DataFrame, DataFrame, str, str]:
@@ -337,9 +364,9 @@ def joined(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold:
     entries = prints.agg(F.sum(F.octet_length("prefix") / 6)).first()[0] or 0
     ranges = max(4, int(entries // RANGE_ENTRIES))
     shared = (prints.where("class is not null").select("class", "prefix").mapInArrow(_deal_prefixes(ranges), _DEALT)
-              .groupBy("range").applyInArrow(_count_shared, "class long, shared long")
-              .groupBy("class").agg(F.sum("shared").alias("shared")))
-    wanted = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_shingles") * threshold / 100) / 20))
+              .groupBy("range").applyInArrow(_count_shared(ranges), "bucket int, classes binary, counts binary")
+              .groupBy("bucket").applyInArrow(_sum_shared, "class long, shared long"))
+    wanted = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n_shingles") * threshold / 100) / EXTRA))
     survivors = write_table(spark, shared.join(classes, "class").where(F.col("shared") >= wanted), "survivors")
 
     entries = survivors.agg(F.sum("n_shingles")).first()[0] or 0
@@ -348,15 +375,18 @@ def joined(spark: SparkSession, docs: DataFrame, words: int = WORDS, threshold:
     parts = (text.select("file", "row", "text").mapInArrow(_deal_texts(wanted, words, ranges), _DEALT)
              .groupBy("range").applyInArrow(_list_shared, "class long, hashes binary, counts binary")
              .groupBy("class").agg(F.collect_list(F.struct("hashes", "counts")).alias("parts")))
-    rows = write_table(spark, parts.join(survivors, "class").select("class", "n_shingles", "members", "parts")
+    rows = write_table(spark, parts.join(survivors.hint("merge"), "class").select("class", "n_shingles", "members", "parts")
                        .mapInArrow(_keys(threshold), "class long, n_shingles long, members long, hashes binary, keys array<long>"),
                        "rows")
 
     keys = rows.select("class", F.explode("keys").alias("key"))
     lead = keys.groupBy("key").agg(F.min("class").alias("lead"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    near = keys.join(lead, "key").select(F.col("class").alias("a"), F.col("lead").alias("b")).where("a <> b").distinct()
+    near = keys.join(lead.hint("merge"), "key").select(F.col("class").alias("a"), F.col("lead").alias("b")).where("a <> b").distinct()
     clusters = components(spark, near).select(F.col("vertex").alias("class"), F.col("root").alias("cluster"))
-    found = write_table(spark, _blocks(rows.drop("keys").join(clusters, "class"))
+    # joins of what grows with the data are merge joins at any size, so that plans do not change with it
+    small = rows.select("class", "n_shingles", (F.octet_length("hashes") / 8).alias("entries"))
+    blocks = _blocks(small.join(clusters.hint("merge"), "class"))
+    found = write_table(spark, rows.drop("keys").join(blocks.hint("merge"), "class")
                         .groupBy("cluster", "lo", "i", "j", "across")
                         .applyInArrow(_product(threshold), "class long, root long, links long"), "links")
 

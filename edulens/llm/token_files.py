@@ -36,6 +36,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import make_folder, slices, utf8, write_table
+from .words import run_hashes
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
@@ -44,81 +45,101 @@ MIN_COUNT = 16
 #: The rounds end when one saves less than this share of the symbols.
 MIN_SAVING = 0.15
 #: Words whose ids an encoder remembers.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 1_200_000
 
+#: Texts that are encoded together.
+ENCODE_ROWS = 2048
+_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _MAGIC = b"RPT1"
 _HEAD = "<QIIIII"  # tokens, base, rules, symbols, width, bytes of the block's body
 _TRAILER = "<QQQ4s"  # bytes of the documents and the directory, numbers of documents and of blocks
 
 
-class _NotAWord(Exception):
-    """White space that stands next to a blank: the text is encoded whole."""
-
-
 class _Words(dict):
     """Ids of words, found on first use."""
 
     def __init__(self, ids_of):
         self.ids_of = ids_of
 
-    def __missing__(self, word: str) -> bytes:
+    def __missing__(self, word: bytes) -> bytes:
         ids = self[word] = self.ids_of(word)
         return ids
 
 
+#: White space other than a single blank or line end, and what may begin it in UTF-8.
+_OTHER_SPACE = [*(bytes([c]) for c in (0, 9, 11, 12, 13, 28, 29, 30, 31)), b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80",
+                b"\xe2\x81\x9f", b"\xe3\x80\x80", b"  ", b" \n", b"\n ", b"\n\n"]
+_STARTS = np.zeros(256, bool)
+_STARTS[[0, 10, 32]] = True
+
+
 class Encoder:
-    """Ids of whole texts. Byte-level BPE never merges across a blank between
-    two words, so words are encoded once and remembered; texts with other runs
-    of white space, and tokenizers of another kind, are encoded whole."""
+    """Ids of whole texts. Byte-level BPE never merges across a blank or line
+    end between two words, so each distinct word is encoded once and remembered
+    (a word is keyed with the blank or line end before it, or a zero byte at the
+    start of a text). Texts with other runs of white space, and tokenizers of
+    another kind, are encoded whole."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        before = self.tokenizer.pre_tokenizer
         self._split = self.tokenizer.model.tokenize
+        before = self.tokenizer.pre_tokenizer
         self.by_word = (isinstance(before, pre_tokenizers.ByteLevel) and not before.add_prefix_space and before.use_regex
                         and self.tokenizer.normalizer is None)
         alphabet = sorted(pre_tokenizers.ByteLevel.alphabet())
         plain = [c for c in range(256) if chr(c) in alphabet]  # other bytes stand for the letters after these, in order
         rest = iter(sorted(c for c in alphabet if ord(c) > 255))
         self._letters = {b: chr(b) if b in plain else next(rest) for b in range(256)}
-        self._specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
-        self._known = _Words(self._word)
+        self._whole_only = _OTHER_SPACE + [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._newline = self.whole("\n")
+        self._known, self._tails = _Words(self._word), _Words(self._piece)
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: str) -> list[int]:
-        mapped = piece.replace(" ", self._letters[32]) if piece.isascii() else piece.encode().decode("latin-1").translate(self._letters)
-        return [t.id for t in self._split(mapped)]
+    def _piece(self, piece: bytes) -> bytes:
+        return array("I", [t.id for t in self._split(piece.decode("latin-1").translate(self._letters))]).tobytes()
 
-    def _word(self, word: str) -> bytes:
-        """Ids of a word with what stands before it: a blank, or a line end as the word's first character."""
-        before, body = ("\n", word[1:]) if word[:1] == "\n" else (" ", word)
-        if not body or body[0].isspace() or body[-1].isspace():
-            raise _NotAWord
-        letters = body.rstrip(".,;:!?")
+    def _word(self, word: bytes) -> bytes:
+        before, body = word[:1], word[1:]
+        letters = body.rstrip(_PUNCTUATION)
+        text = letters.decode()
         # Latin letters, then punctuation: two pre-tokens whatever the version of the character tables
-        if letters.isalpha() and (letters.isascii() or max(letters) < "ɐ"):
-            ids = self._piece(" " + letters) if before == " " else self._newline + self._piece(letters)
+        if before != b"\0" and text.isalpha() and (text.isascii() or max(text) < "ɐ"):
             if len(letters) < len(body):
-                ids += self._piece(body[len(letters):])
-            return array("I", ids).tobytes()
-        return self.whole(before + body)
-
-    def __call__(self, text: str) -> bytes:
-        """The ids, as little-endian 32-bit integers."""
-        if not self.by_word or any(s in text for s in self._specials):
-            return self.whole(text)
-        first, *words = text.replace("\n", " \n").split(" ")
-        if not first or first[0].isspace() or first[-1].isspace():
-            return self.whole(text)
+                return self._known[before + letters] + self._tails[body[len(letters):]]
+            return self._piece(word) if before == b" " else self._newline + self._piece(letters)
+        return self.whole((word if before != b"\0" else body).decode())
+
+    def _parts(self, text: bytes) -> bool:
+        return (self.by_word and bool(text) and text[:1] not in (b" ", b"\n") and text[-1:] not in (b" ", b"\n")
+                and not any(s in text for s in self._whole_only))
+
+    def __call__(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each UTF-8 text, as little-endian 32-bit integers."""
         if len(self._known) > CACHE_WORDS:
             self._known.clear()
-        try:
-            return self.whole(first) + b"".join(map(self._known.__getitem__, words))
-        except _NotAWord:
-            return self.whole(text)
+        by_word = [self._parts(t) for t in texts]
+        out = [b"" if ok else self.whole(t.decode()) for t, ok in zip(texts, by_word, strict=True)]
+        joined = b"".join(b"\0" + t for t, ok in zip(texts, by_word, strict=True) if ok)
+        if joined:
+            buf = np.frombuffer(joined, np.uint8)
+            starts = np.flatnonzero(_STARTS[buf])
+            ends = np.append(starts[1:], len(buf))
+            _, first, inverse = np.unique(run_hashes(buf, starts, ends - starts), return_index=True, return_inverse=True)
+            ids = [self._known[joined[a:b]] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+            sizes = np.array([len(i) for i in ids]) // 4
+            offsets, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u4")
+            count = sizes[inverse]
+            reach = np.cumsum(count)
+            found = flat[np.repeat(offsets[inverse] - (reach - count), count) + np.arange(reach[-1])].tobytes()
+            cuts = [*(4 * (reach - count)[buf[starts] == 0]).tolist(), len(found)]
+            at = 0
+            for i, ok in enumerate(by_word):
+                if ok:
+                    out[i] = found[cuts[at] : cuts[at + 1]]
+                    at += 1
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
@@ -138,9 +159,10 @@ def repair(ids: np.ndarray, base: int, min_count: int = MIN_COUNT, min_saving: f
     while len(seq) > 1:
         pairs = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
         found, counts = np.unique(pairs, return_counts=True)
-        found = found[counts >= min_count]
-        if not len(found):
+        frequent = counts >= min_count
+        if counts[frequent].sum() < min_saving * len(seq):  # overlaps can only lower what a round saves
             break
+        found = found[frequent]
         # a table of hashed pairs finds the rule of each place; pairs that share a slot but one wait for the next round
         bits = np.uint64(64 - 18)
         spread = np.uint64(0x9E3779B97F4A7C15)
@@ -277,15 +299,16 @@ def _written(folder: str, path: str, end_id: int, block: int):
             if sink is None and batch.num_rows:
                 fs, where = pafs.FileSystem.from_uri(uri)
                 sink = fs.open_output_stream(where, compression=None)
-            for doc_id, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
-                found = (encode(text.decode()) if text else b"") + end
-                ids.append(doc_id or 0)
-                null.append(doc_id is None)
-                starts.append(tokens)
-                tokens += len(found) // 4
-                held += found
-                while len(held) >= 4 * block:
-                    flush(block)
+            for at in range(0, batch.num_rows, ENCODE_ROWS):
+                rows = batch.slice(at, ENCODE_ROWS)
+                for doc_id, found in zip(rows.column(0).to_pylist(), encode(list(utf8(rows.column(1)))), strict=True):
+                    ids.append(doc_id or 0)
+                    null.append(doc_id is None)
+                    starts.append(tokens)
+                    tokens += len(found) // 4 + 1
+                    held += found + end
+                    while len(held) >= 4 * block:
+                        flush(block)
         if sink is None:
             return
         if held:

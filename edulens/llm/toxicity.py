@@ -104,12 +104,15 @@ def log_ratios(counts: np.ndarray) -> np.ndarray:
 
 def fit_weights(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> tuple[np.ndarray, float]:
     """Logistic regression on features scaled by ``ratios``, with an L2 penalty, by accelerated gradient steps; weights of the raw features, and the constant."""
+    rows = [r[ratios[r] != 0] for r in rows]
     flat = np.concatenate(rows)
-    owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    keep = ratios[flat] != 0
-    used, flat = np.unique(flat[keep], return_inverse=True)
-    owner, scale = owner[keep], ratios[used]
-    x = scale[flat]
+    owner = np.repeat(np.arange(len(rows), dtype=np.int32), [len(r) for r in rows])
+    place = np.zeros(len(ratios), np.int32)
+    place[flat] = 1
+    used = np.flatnonzero(place)
+    place[used] = np.arange(len(used))
+    flat, scale = place[flat], ratios[used]
+    x = scale[flat].astype(np.float32)
     # the step is set by the largest eigenvalue of the weighted product, from a few power steps
     v = np.ones(len(used) + 1)
     for _ in range(8):
