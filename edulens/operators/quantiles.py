@@ -2,14 +2,14 @@
 
 Spark's exact ``percentile``/``median`` merge a map of every distinct value of
 a group in one task. Here the values are first counted per (group, value)
-(map-side combine), then ranked with the range-partitioned prefix sum of
+(map-side combine), then ranked with the distributed prefix sum of
 :mod:`edulens.operators.ranking`; only the one or two rows per statistic that
 hold the target ranks survive to the final, tiny aggregation.
 
 Statistics (``n`` = non-NULL values of the group, ranks 1-based):
 
-* ``("nearest_rank", p)``: value at rank ``ceil(p/100*n)``, first value for
-  ``p <= 0`` and last for ``p >= 100`` (Excel-style nearest rank).
+* ``("nearest_rank", p)``: the smallest value with at least ``p`` percent of
+  the values at or below it (rank ``p/100*n`` rounded up, held between 1 and n).
 * ``("median",)``: middle value, mean of the two middle values for even ``n``.
 * ``("linear", q)``: linear interpolation between closest ranks at
   ``h = (n-1)*q`` (the default of numpy's percentile), ``0 <= q <= 1``.
@@ -31,15 +31,9 @@ def _targets(spec: tuple, n: Column) -> tuple[Column, Column, Column | None]:
     """(low rank, high rank, weight of high) for one statistic."""
     kind = spec[0]
     if kind == "nearest_rank":
-        p = float(spec[1])
-        if p <= 0:
-            r = F.lit(1).cast("long")
-        elif p >= 100:
-            r = n
-        else:
-            r = F.greatest(F.lit(1).cast("long"),
-                           F.least(n, F.ceil(F.lit(p / 100.0) * n).cast("long")))
-        return r, r, None
+        share = F.lit(float(spec[1]) / 100.0)
+        rank = F.least(n, F.greatest(F.lit(1), F.ceil(share * n))).cast("long")
+        return rank, rank, None
     if kind == "median":
         return F.floor((n + 1) / 2).cast("long"), F.ceil((n + 1) / 2).cast("long"), F.lit(0.5)
     if kind == "linear":
@@ -55,13 +49,13 @@ def _covers(rank: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, value_col: str, stats: Mapping[str, tuple],
                     group_cols: Sequence[str] = (), count_name: str | None = "n",
-                    num_partitions: int | None = None) -> DataFrame:
+                    num_slices: int | None = None) -> DataFrame:
     """One row per group with the requested exact statistics of ``value_col``
     (NULL values ignored; groups with no value are absent)."""
     g = list(group_cols)
     counted = (df.where(F.col(value_col).isNotNull())
                  .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias(_COUNT)))
-    ranked = prefix_weights(counted, [value_col], g, _COUNT, num_partitions)
+    ranked = prefix_weights(counted, [value_col], g, _COUNT, num_slices)
     n = F.col(TOTAL)
     targets = {name: _targets(spec, n) for name, spec in stats.items()}
     hit = None

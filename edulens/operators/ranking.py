@@ -1,168 +1,109 @@
 """Exact ranks without gathering a group into one task.
 
-``row_number() OVER (PARTITION BY g ORDER BY k)`` and exact percentiles put a
-whole group into a single task. When one key holds a third of all rows that
-task is the job. Here a rank is computed as a distributed prefix sum:
-
-1. range-partition the rows by ``(g, k)`` (Spark samples the bounds), so each
-   partition holds a contiguous slice of the global order and a hot group is
-   spread over many partitions;
-2. inside each partition, a running sum of the weights per group (an
-   Arrow-batched ``mapInPandas`` over the already sorted slice);
-3. the per-(partition, group) totals -- at most one row per group per
-   partition -- are turned into offsets with a window over that small table;
-4. each row's rank = its partition offset + its in-partition running sum.
-   The offsets join back on ``(partition, group)``; AQE broadcasts that side
-   when its runtime size allows, else shuffles it on balanced keys.
-
-Both uses of the range-partitioned slice come from the same exchange
-(reused by the planner), so the partition ids agree: the ``mapInPandas``
-step consumes every column, so no optimizer rule can give the two uses
-different exchanges (a plain projection there would be pruned differently
-per use and the two exchanges would sample different bounds). With
-``checkpoint=True`` the slice, partition ids included, is first written to
-the session's checkpoint folder, which makes the agreement independent of
-exchange reuse (and cuts the lineage) at the cost of one write.
+``row_number() OVER (PARTITION BY g ORDER BY k)`` puts a whole group into a
+single task. When one group holds a third of all rows that task is the job.
+Here a rank is a sum of two parts, both computed in the JVM:
+
+1. bounds: the distinct keys ``(g, k)`` with the smallest hashes, an even
+   sample of at most ``SAMPLE_PER_SLICE`` keys a slice, sorted and thinned to
+   one bound a slice. They are one scalar subquery, a function of the data;
+2. a row's slice is the number of bounds at or below its key (a binary search
+   in an expression), so it depends on the row alone: however often, wherever
+   and in whatever exchange a row is computed, its slice is the same;
+3. the weight of each (slice, group) is summed, partially before the shuffle,
+   and a window over this small table gives the weight of earlier slices;
+4. a window over (slice, group) gives the weight before the row in its slice.
+
+A hot group is spread over many slices. The number of slices follows the
+session's shuffle partitions; which tasks they go to is left to the planner.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
-PID = "_er_pid"
-LOCAL_BEFORE = "_er_lb"
 BEFORE = "_er_before"
 TOTAL = "_er_total"
+_SLICE = "_er_slice"
 _WEIGHT = "_er_w"
-_NULL = object()
-
-
-def _key_tuple(values) -> tuple:
-    return tuple(_NULL if (v is None or (isinstance(v, float) and np.isnan(v))) else v for v in values)
-
-
-def _run_starts(pdf: pd.DataFrame, group_cols: Sequence[str]) -> np.ndarray:
-    n = len(pdf)
-    start = np.zeros(n, dtype=bool)
-    start[0] = True
-    for c in group_cols:
-        s = pdf[c]
-        prev = s.shift(1)
-        differs = (s != prev) & ~(s.isna() & prev.isna())
-        start |= differs.to_numpy(dtype=bool)
-    start[0] = True
-    return start
-
-
-def _local_running(group_cols: Sequence[str], weight_col: str):
-    """Per-partition running sum of ``weight_col`` per group, excluding the
-    row itself. Rows arrive sorted by (group, order); state carried across
-    Arrow batches is one group key and one number."""
-    group_cols = list(group_cols)
-
-    def run(batches):
-        carry_key, carry = None, 0
-        for pdf in batches:
-            if pdf.empty:
-                yield pdf.assign(**{LOCAL_BEFORE: pd.Series([], dtype="int64")})
-                continue
-            w = pdf[weight_col].fillna(0).to_numpy(dtype="int64")
-            excl = np.cumsum(w) - w
-            if group_cols:
-                start = _run_starts(pdf, group_cols)
-                run_id = np.cumsum(start) - 1
-                lb = excl - excl[start][run_id]
-                first_key = _key_tuple(pdf[group_cols].iloc[0].tolist())
-                if carry_key is not None and first_key == carry_key:
-                    lb[run_id == 0] += carry
-                carry_key = _key_tuple(pdf[group_cols].iloc[-1].tolist())
-                carry = int(lb[-1] + w[-1])
-            else:
-                lb = excl + carry
-                carry = int(lb[-1] + w[-1])
-            yield pdf.assign(**{LOCAL_BEFORE: lb})
-
-    return run
+#: Sampled keys for each slice: bounds are the sample's quantiles.
+SAMPLE_PER_SLICE = 8
+
+
+def _slice_bounds(df: DataFrame, keys: Sequence[str], n: int) -> Column:
+    """Sorted array of at most ``n`` structs of the keys, as a scalar subquery."""
+    sample = (df.select(*keys).dropDuplicates()
+                .orderBy(F.xxhash64(*keys), *keys).limit(n * SAMPLE_PER_SLICE))
+    return (sample.agg(F.sort_array(F.collect_list(F.struct(*keys))).alias("s"))
+                  .select(F.filter("s", lambda _, i: i % SAMPLE_PER_SLICE == SAMPLE_PER_SLICE - 1).alias("s")).scalar())
+
+
+def _slice_of(keys: Sequence[str], bounds: str, n: int) -> Column:
+    """How many of the sorted bounds are at or below the row's key. Structs
+    compare field by field, NULL first."""
+    key = F.struct(*keys)
+    steps = [1 << b for b in reversed(range(max(1, n).bit_length()))]
+    return F.aggregate(
+        F.array(*[F.lit(s) for s in steps]), F.lit(0),
+        lambda at, step: F.when((at + step <= F.size(bounds)) & (F.get(F.col(bounds), at + step - 1) <= key), at + step)
+        .otherwise(at))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     l, r = left.alias("_l"), right.alias("_r")
     cond = None
     for k in keys:
-        c = F.col(f"_l.{k}").eqNullSafe(F.col(f"_r.{k}"))
+        c = F.col(f"_l.`{k}`").eqNullSafe(F.col(f"_r.`{k}`"))
         cond = c if cond is None else cond & c
     extra = [c for c in right.columns if c not in keys]
-    return l.join(r, cond, "inner").select("_l.*", *[F.col(f"_r.{c}") for c in extra])
+    return l.join(r, cond, "inner").select("_l.*", *[F.col(f"_r.`{c}`") for c in extra])
 
 
 def prefix_weights(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-                   weight_col: str | None = None, num_partitions: int | None = None,
-                   checkpoint: bool = False) -> DataFrame:
+                   weight_col: str | None = None, num_slices: int | None = None) -> DataFrame:
     """Add ``_er_before`` (sum of weights of rows ordered strictly before the
-    row within its group) and ``_er_total`` (the group's total weight).
+    row within its group) and ``_er_total`` (the group's total weight; a NULL
+    weight counts 0).
 
-    ``order_cols`` must give a total order within a group (ties get an
-    arbitrary but consistent order).
+    ``order_cols`` should give a total order within a group, NULL first; rows
+    with equal keys lie in one slice and get an arbitrary order among them.
+    An empty frame gives an empty frame.
     """
     g, o = list(group_cols), list(order_cols)
-    if weight_col is None:
-        df = df.withColumn(_WEIGHT, F.lit(1).cast("long"))
-        weight_col = _WEIGHT
-    else:
-        df = df.withColumn(weight_col, F.col(weight_col).cast("long"))
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    sliced = (df.repartitionByRange(n, *g, *o)
-                .sortWithinPartitions(*g, *o)
-                .withColumn(PID, F.spark_partition_id()))
-    out_schema = StructType(list(sliced.schema.fields) + [StructField(LOCAL_BEFORE, LongType(), False)])
-    # mapInPandas reads every column, so column pruning cannot give the two
-    # consumers below (piece totals, detail rows) different exchanges: both
-    # read one range exchange and see the same partition ids
-    local = sliced.mapInPandas(_local_running(g, weight_col), out_schema)
-    if checkpoint:
-        local = _checkpointed(local)
-    pieces = local.groupBy(PID, *g).agg(F.sum(weight_col).alias("_er_piece"))
-    joined = _null_safe_join(local, _offsets(pieces, g), [PID, *g])
-    out = joined.withColumn(BEFORE, F.col("_er_off") + F.col(LOCAL_BEFORE)).drop("_er_off", LOCAL_BEFORE, PID)
-    return out.drop(_WEIGHT) if weight_col == _WEIGHT else out
-
-
-def _checkpointed(local: DataFrame) -> DataFrame:
-    from edulens.session import checkpoint_root
-    checkpoint_root(local.sparkSession)
-    return local.checkpoint(eager=True)
-
-
-def _offsets(pieces: DataFrame, g: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Per (partition, group) piece: weight of the group's rows in earlier
-    partitions (``_er_off``) and the group total; at most one row per group
-    per partition, so the window over it is small."""
-    by_group = Window.partitionBy(*g) if g else Window.partitionBy()
-    return pieces.select(
-        PID, *g, *keep,
-        F.coalesce(F.sum("_er_piece").over(by_group.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)),
+    keys = [*g, *[c for c in o if c not in g]]
+    n = num_slices or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    weight = F.lit(1).cast("long") if weight_col is None else F.coalesce(F.col(weight_col).cast("long"), F.lit(0).cast("long"))
+    sliced = (df.withColumn(_WEIGHT, weight)
+                .withColumn("_er_bounds", _slice_bounds(df, keys, n))
+                .withColumn(_SLICE, _slice_of(keys, "_er_bounds", n)).drop("_er_bounds"))
+    pieces = sliced.groupBy(_SLICE, *g).agg(F.sum(_WEIGHT).alias("_er_piece"))
+    by_group = Window.partitionBy(*g) if g else Window.partitionBy()  # one row a slice and group
+    offsets = pieces.select(
+        _SLICE, *g,
+        F.coalesce(F.sum("_er_piece").over(by_group.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_er_off"),
-        F.sum("_er_piece").over(by_group).alias(TOTAL),
-    )
+        F.sum("_er_piece").over(by_group).alias(TOTAL))
+    in_slice = Window.partitionBy(_SLICE, *g).orderBy(*o).rowsBetween(Window.unboundedPreceding, -1)
+    local = sliced.withColumn("_er_local", F.coalesce(F.sum(_WEIGHT).over(in_slice), F.lit(0)))
+    return (_null_safe_join(local, offsets, [_SLICE, *g])
+            .withColumn(BEFORE, F.col("_er_off") + F.col("_er_local"))
+            .drop("_er_off", "_er_local", _SLICE, _WEIGHT))
 
 
 def global_row_number(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[str] = (),
-                      name: str = "rn", num_partitions: int | None = None, checkpoint: bool = False) -> DataFrame:
+                      name: str = "rn", num_slices: int | None = None) -> DataFrame:
     """Exact ``row_number() over (partition by group_cols order by order_cols)``
     (1-based) computed as a distributed prefix sum."""
-    out = prefix_weights(df, order_cols, group_cols, None, num_partitions, checkpoint)
+    out = prefix_weights(df, order_cols, group_cols, None, num_slices)
     return out.withColumn(name, (F.col(BEFORE) + 1).cast("long")).drop(BEFORE, TOTAL)
 
 
 def dense_keys(df: DataFrame, key_cols: Sequence[str], name: str = "key",
-               num_partitions: int | None = None) -> DataFrame:
+               num_slices: int | None = None) -> DataFrame:
     """Deterministic surrogate keys 1..n over the sorted distinct keys
     (deterministic, unlike ``monotonically_increasing_id``)."""
     distinct = df.select(*key_cols).dropDuplicates()
-    return global_row_number(distinct, key_cols, (), name, num_partitions)
+    return global_row_number(distinct, key_cols, (), name, num_slices)
