@@ -17,9 +17,14 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Decimal numbers; a cast alone would also take 'NaN', 'Infinity', '5d' and '5f'.
+_DECIMAL = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
+
+
 def _numeric_text(c) -> Column:
-    """trim, drop thousands commas, blank -> NULL."""
-    return F.nullif(F.regexp_replace(F.trim(_col(c)), ",", ""), F.lit(""))
+    """trim, drop thousands commas; anything but a decimal number -> NULL."""
+    text = F.replace(F.trim(_col(c)), F.lit(","), F.lit(""))
+    return F.when(text.rlike(_DECIMAL), text)
 
 
 def clean_real(c) -> Column:
@@ -70,13 +75,14 @@ def year_of(df: DataFrame, name: str) -> Column:
     return year_int(name)
 
 
-def year_equals(df: DataFrame, name: str, year: int) -> Column:
-    """``year_of(df, name) = year``. For a numeric column the equivalent range
+def year_equals(df: DataFrame, name: str, year: int | Column) -> Column:
+    """``year_of(df, name) = year`` (a number or a scalar subquery). For a numeric column the equivalent range
     ``year <= col < year + 1`` is added, a predicate Parquet can use to skip
     row groups (the truncating cast alone cannot be pushed to the scan)."""
-    eq = year_of(df, name) == F.lit(int(year))
+    year = year if isinstance(year, Column) else F.lit(int(year))
+    eq = year_of(df, name) == year
     if isinstance(df.schema[name].dataType, NumericType):
-        return (F.col(name) >= F.lit(int(year))) & (F.col(name) < F.lit(int(year) + 1)) & eq
+        return (F.col(name) >= year) & (F.col(name) < year + 1) & eq
     return eq
 
 

@@ -32,8 +32,8 @@ def in_values(c, values: Iterable) -> Column:
 
 
 def positive(c) -> Column:
-    """``x IS NOT NULL AND x > 0``."""
-    return _col(c) > 0
+    """``x IS NOT NULL AND x > 0``; NaN, which sorts above all numbers, is not positive."""
+    return (_col(c) > 0) & ~F.isnan(_col(c))
 
 
 def flag_is(c, value: str = "Y") -> Column:

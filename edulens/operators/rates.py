@@ -42,29 +42,6 @@ def weighted_mean(df: DataFrame, keys: Sequence, x, w, name: str = "wmean",
     return df.groupBy(*keys).agg(*aggs)
 
 
-def composition_wide(df: DataFrame, keys: Sequence[str], category_col: str, value_col: str,
-                     total_when: Column, categories: Mapping[str, str], scale: float = 100.0) -> DataFrame:
-    """Percent composition, one column per category, in one pass.
-
-    For each group: ``total = SUM(value)`` over rows where ``total_when``
-    holds, and for every category ``scale * COALESCE(SUM(value of the
-    category), 0) / total`` (NULL when total is not positive). Groups without
-    any total row are absent. ``categories`` maps category value -> output
-    column name. Replaces a pivot by conditional MAX over a left join of two
-    separate aggregates with conditional sums over one scan.
-    """
-    v, cat = F.col(value_col), F.col(category_col)
-    total = F.sum(F.when(total_when, v))
-    aggs = [F.count(F.when(total_when, F.lit(1))).alias("_total_rows"), total.alias("_total")]
-    for value, name in categories.items():
-        aggs.append(F.sum(F.when(cat == F.lit(value), v)).alias(f"_c_{name}"))
-    g = df.groupBy(*keys).agg(*aggs).where(F.col("_total_rows") > 0)
-    out = [F.col(k) for k in keys]
-    for name in categories.values():
-        out.append(guarded_ratio(F.coalesce(F.col(f"_c_{name}"), F.lit(0.0)), F.col("_total"), scale).alias(name))
-    return g.select(*out)
-
-
 def share_of_group(df: DataFrame, keys: Sequence[str], value_col: str, name: str = "share",
                    total_name: str | None = None) -> DataFrame:
     """Each row's share of its group total (``1.0 * x / SUM(x) OVER group``),

@@ -21,8 +21,11 @@ def append_with_keys(existing: DataFrame, new: DataFrame, key_col: str, order_co
     """Append ``new`` rows, giving each a key ``max(existing key) + rank``
     where rank follows ``order_cols`` (a total order) -- an auto-increment
     key for a whole batch, computed with distributed ranks. Rows of ``new``
-    that already carry a key keep it."""
-    start = existing.agg(F.coalesce(F.max(key_col), F.lit(0)).cast("long").alias("m")).select("m").scalar()
+    that already carry a key keep it, and the new keys come after these too."""
+    taken = existing.select(F.col(key_col).cast("long").alias("k"))
+    if key_col in new.columns:
+        taken = taken.unionByName(new.select(F.col(key_col).cast("long").alias("k")))
+    start = taken.agg(F.coalesce(F.max("k"), F.lit(0).cast("long")).alias("m")).select("m").scalar()
     missing = new.where(F.col(key_col).isNull()) if key_col in new.columns else new
     given = new.where(F.col(key_col).isNotNull()) if key_col in new.columns else None
     ranked = global_row_number(missing.drop(key_col) if key_col in missing.columns else missing,
@@ -39,32 +42,38 @@ def lookup(df: DataFrame, key_col: str, key) -> DataFrame:
     return df.where(F.col(key_col) == F.lit(key))
 
 
-def upsert(df: DataFrame, updates: DataFrame, key_col: str) -> tuple[DataFrame, DataFrame]:
-    """Update rows by key from ``updates`` (non-NULL update values win).
-    Returns (new table, one-row frame with ``affected`` = updated rows)."""
-    upd_cols = [c for c in updates.columns if c != key_col and c in df.columns]
-    u = updates.select(key_col, *[F.col(c).alias(f"_u_{c}") for c in upd_cols])
+def update_rows(df: DataFrame, updates: DataFrame, key_col: str, order_cols: Sequence[str] = ()
+                ) -> tuple[DataFrame, DataFrame]:
+    """Set the columns that ``updates`` names, NULL included, in the rows with
+    its keys; nothing is inserted. Of several updates of a key the greatest by
+    ``order_cols`` counts, then by the values themselves; an update without a
+    key matches nothing. Returns (new table, one-row frame with ``affected`` =
+    updated rows)."""
+    named = [c for c in updates.columns if c != key_col and c in df.columns]
+    last = F.max(F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(order_cols)],
+                          *[F.col(c).alias(f"v{i}") for i, c in enumerate(named)], F.lit(True).alias("hit")))
+    u = updates.where(F.col(key_col).isNotNull()).groupBy(key_col).agg(last.alias("_update"))
     merged = df.join(u, key_col, "left")
-    out = merged.select(*[F.coalesce(F.col(f"_u_{c}"), F.col(c)).alias(c) if c in upd_cols else F.col(c)
-                          for c in df.columns])
-    affected = df.join(updates.select(key_col).dropDuplicates(), key_col, "left_semi") \
-                 .agg(F.count(F.lit(1)).cast("long").alias("affected"))
+    out = merged.select(*[
+        F.when(F.col("_update").isNotNull(), F.col(f"_update.v{named.index(c)}")).otherwise(F.col(c)).alias(c)
+        if c in named else F.col(c) for c in df.columns])
+    affected = df.join(u.select(key_col), key_col, "left_semi").agg(F.count(F.lit(1)).cast("long").alias("affected"))
     return out, affected
 
 
 def delete_cascade(parent: DataFrame, child: DataFrame, key_col: str, predicate: Column
                    ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Delete parent rows matching ``predicate`` and, as the foreign key
-    declares (ON DELETE CASCADE), the child rows that reference them.
-    Returns (new parent, new child, one-row counts of deleted rows)."""
-    gone = parent.where(predicate).select(key_col)
-    new_parent = parent.join(gone, key_col, "left_anti")
+    """Delete parent rows matching ``predicate`` (unknown is no match) and, as
+    the foreign key declares (ON DELETE CASCADE), the child rows that reference
+    them. Returns (new parent, new child, one-row counts of deleted rows)."""
+    hit = F.coalesce(predicate, F.lit(False))
+    gone = parent.where(hit).select(key_col)
     new_child = child.join(gone, key_col, "left_anti")
     counts = (gone.agg(F.count(F.lit(1)).cast("long").alias("parents_deleted"))
                   .select("parents_deleted",
                           child.join(gone, key_col, "left_semi").agg(F.count(F.lit(1))).scalar()
                           .cast("long").alias("children_deleted")))
-    return new_parent, new_child, counts
+    return parent.where(~hit), new_child, counts
 
 
 def constraint_report(tables: Mapping[str, DataFrame], not_null: Mapping[str, Sequence[str]],

@@ -1,54 +1,24 @@
-"""Relational helpers: prefix caps by key, latest row per group, size-checked
-broadcast, run-time membership and parameter grids."""
+"""Relational helpers: prefix of rows by key, latest row per group and
+run-time membership."""
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edulens.operators.ranking import BEFORE, prefix_weights
+from edulens.operators.ranking import global_row_number
 
-# A top-n merges n keys from every input partition in one task; above this
-# many keys in that task the n-th key is found with distributed ranks.
-TOP_N_SINGLE_TASK_LIMIT = 10_000
-TOP_N_MERGE_LIMIT = 5_000_000
 
-
-def nth_key(df: DataFrame, order_cols: Sequence[str], n: int):
-    """Scalar subquery: the n-th smallest ``struct(order_cols)`` (NULL when
-    there are fewer than n rows). Only the key columns are ranked: a top-n
-    for small n, distributed ranks beyond that."""
-    keys = df.select(*order_cols)
-    if n <= TOP_N_SINGLE_TASK_LIMIT and n * keys.rdd.getNumPartitions() <= TOP_N_MERGE_LIMIT:
-        top = keys.orderBy(*order_cols).limit(n)
-        last = top.agg(F.max(F.struct(*order_cols)).alias("k"), F.count(F.lit(1)).alias("c"))
-        return last.select(F.when(F.col("c") == n, F.col("k")).alias("k")).scalar()
-    ranked = prefix_weights(keys, list(order_cols))
-    return ranked.where(F.col(BEFORE) == n - 1).select(F.struct(*order_cols).alias("k")).scalar()
-
-
-def prefix_by_key(df: DataFrame, n: int | None, order_cols: Sequence[str]) -> DataFrame:
-    """"First n rows" with an explicit order (a bare LIMIT has no meaning on
-    a distributed table): rows whose key is at most the n-th smallest key.
-    With a unique, non-NULL order that is exactly n rows (all rows when
-    fewer); rows tied with the n-th key are all kept. ``n=None`` keeps every
-    row.
-
-    The n-th key is one value, resolved once (a small job over the key
-    columns only); the cap is then a plain predicate, which reaches the
-    Parquet scan when the order is a single stored column. The wide rows
-    never pass through a sort or a single task."""
-    if n is None:
-        return df
-    kth = df.sparkSession.range(1).select(nth_key(df, order_cols, int(n)).alias("k")).first()["k"]
-    if kth is None:
-        return df
-    if len(order_cols) == 1:
-        return df.where(F.col(order_cols[0]) <= F.lit(kth[0]))
-    return df.where(F.struct(*order_cols) <= F.struct(*[F.lit(v).alias(c) for v, c in zip(kth, order_cols)]))
+def prefix_by_key(df: DataFrame, n: int, order_cols: Sequence[str]) -> DataFrame:
+    """"First n rows" with an explicit order, NULL first (a bare LIMIT has no
+    meaning on a distributed table): exactly n rows, or all when there are
+    fewer. Rows with equal keys are ordered by their other columns, so rows
+    that are cut differ from those that stay unless they are equal throughout.
+    Lazy: the rows are ranked by :func:`global_row_number` and filtered."""
+    rest = [c for c in df.columns if c not in order_cols]
+    return global_row_number(df, [*order_cols, *rest], name="_prefix_rn").where(F.col("_prefix_rn") <= int(n)).drop("_prefix_rn")
 
 
 def latest_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
@@ -62,22 +32,6 @@ def latest_per_group(df: DataFrame, group_cols: Sequence[str], order_cols: Seque
                                                                     if c not in group_cols])
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast hint only after checking that ``df`` has at most ``max_rows``
-    rows (a LIMIT-ed count, cheap for small dimensions). Larger inputs are
-    returned unchanged and AQE picks the join at run time."""
-    if df.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(df)
-    return df
-
-
 def members(df: DataFrame, key_cols: Sequence[str], allowed: DataFrame) -> DataFrame:
     """Rows whose key is in ``allowed`` (``IN (...)`` with a run-time list)."""
     return df.join(allowed.select(*key_cols).dropDuplicates(), list(key_cols), "left_semi")
-
-
-def param_grid(spark: SparkSession, names: Sequence[str], *axes: Sequence[tuple]) -> DataFrame:
-    """Product of small parameter lists (e.g. comparisons x dataset sizes) as
-    a DataFrame, built from the parameters themselves rather than a cross join."""
-    rows = [tuple(itertools.chain.from_iterable(combo)) for combo in itertools.product(*axes)]
-    return spark.createDataFrame(rows, list(names))

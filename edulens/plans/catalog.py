@@ -22,7 +22,7 @@ from edulens.operators import records
 from edulens.operators.relational import prefix_by_key
 from edulens.plans import raw, runlog, star as starplans
 from edulens.schemas import RUNLOG_FOREIGN_KEYS, RUNLOG_NOT_NULL, RUNLOG_PRIMARY_KEYS
-from edulens.session import scratch_path
+from edulens.session import file_state, scratch_folder
 from edulens.sources import driver_tables as dt
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,14 +163,14 @@ def clip_fit_p(spark, d):
 
 
 def prefix_before_filter(spark, d):
-    return raw.q1_factor_corr(dt.math_assessment(spark, d), dt.demographic_factors(spark, d), FACTOR_MAP,
-                              cap=PREFIX_ROWS, cap_order=["ROW_ID"])
+    math = prefix_by_key(dt.math_assessment(spark, d), PREFIX_ROWS, ["ROW_ID"])
+    return raw.q1_factor_corr(math, dt.demographic_factors(spark, d), FACTOR_MAP)
 
 
 def prefix_after_filter(spark, d):
-    math = dt.math_assessment(spark, d, YEAR)
+    math = prefix_by_key(dt.math_assessment(spark, d, YEAR), PREFIX_MATH_ROWS_AFTER, ["ROW_ID"])
     att = dt.attendance(spark, d, YEAR)
-    m = raw.math_school(math, YEAR, cap=PREFIX_MATH_ROWS_AFTER, cap_order=["ROW_ID"])
+    m = raw.math_school(math, YEAR)
     a = prefix_by_key(att, PREFIX_SCHOOLS_AFTER, ["ENTITY_CD"])
     j = a.select("ENTITY_CD", "ENTITY_NAME", F.col("YEAR").cast("int").alias("YEAR"), "ATTENDANCE_RATE").join(
         m, ["ENTITY_CD", "YEAR"])
@@ -227,26 +227,35 @@ def build_star_from_driver(spark: SparkSession, d: str, stage=None) -> starplans
     return starplans.build_star(spark, math, demo, att, schools, COUNT_MAP, all_label=dt.ALL_STUDENTS, stage=stage)
 
 
-_STAR_CACHE: dict[tuple[str, str], starplans.StarTables] = {}
+#: The written star of a folder, and the state of the files it was built from.
+_STARS: dict[tuple[str, str], tuple[tuple, starplans.StarTables]] = {}
+STAR_SOURCES = ("lineitem", "orders", "customer", "supplier")
+
+
+def _star_state(spark: SparkSession, d: str) -> tuple:
+    return file_state(spark, *[f"{d}/{name}.parquet" for name in STAR_SOURCES])
 
 
 def star_tables(spark: SparkSession, d: str) -> starplans.StarTables:
-    """Star tables for ``d``: built once per session and written under the
-    shared checkpoint folder (ETL once, then every star analysis reads the
-    written tables, as star queries read a prebuilt star schema)."""
-    key = (spark.sparkContext.applicationId, d)
-    if key not in _STAR_CACHE:
-        materialize_star(spark, d)
-    return _STAR_CACHE[key]
+    """Star tables for ``d``, written under the shared checkpoint folder (ETL
+    once, then every star analysis reads the written tables, as star queries
+    read a prebuilt star schema). Built anew when a file of ``d`` has changed."""
+    built_from, star = _STARS.get((spark.sparkContext.applicationId, d), (None, None))
+    return star if star and built_from == _star_state(spark, d) else materialize_star(spark, d)
 
 
 def materialize_star(spark: SparkSession, d: str) -> starplans.StarTables:
     """Build the star once and write it to the shared checkpoint folder."""
-    star = starplans.materialize(lambda stage: build_star_from_driver(spark, d, stage), scratch_path(spark, "star"))
-    _STAR_CACHE[(spark.sparkContext.applicationId, d)] = star
+    state = _star_state(spark, d)
+    star = starplans.materialize(lambda stage: build_star_from_driver(spark, d, stage), scratch_folder(spark, "star"))
+    _STARS[(spark.sparkContext.applicationId, d)] = state, star
     return star
 
 
+def star_reconciliation(spark, d):
+    return starplans.reconciliation(star_tables(spark, d))
+
+
 def star_dims(spark, d):
     s = star_tables(spark, d)
     parts = [
@@ -353,8 +362,23 @@ def log_upsert(spark, d):
     launch, _ = dt.run_log(spark, d)
     updates = (launch.where(F.col("query_name") == "error")
                      .select("launch_id", F.concat(F.lit("v"), F.col("query_version")).alias("query_version")))
-    new, _ = records.upsert(launch, updates, "launch_id")
-    return new
+    return records.update_rows(launch, updates, "launch_id")[0]
+
+
+def log_update_null(spark, d):
+    """Every second launch of a query loses its version: rows updated, and rows left without one."""
+    launch, _ = dt.run_log(spark, d)
+    updates = (launch.where((F.col("query_name") == "error") & (F.col("launch_id") % 2 == 0))
+                     .select("launch_id", F.lit(None).cast("string").alias("query_version")))
+    new, affected = records.update_rows(launch, updates.unionByName(updates), "launch_id")
+    return new.agg(F.count_if(F.col("query_version").isNull()).alias("without_version"),
+                   F.count(F.lit(1)).alias("rows")).withColumn("affected", affected.scalar())
+
+
+def launch_timeline(spark, d):
+    """Launches of one query and version in order of time."""
+    launch, _ = dt.run_log(spark, d)
+    return runlog.launch_timeline(launch, COMPARE_A)
 
 
 def log_delete_cascade(spark, d):
@@ -382,11 +406,12 @@ def category_counts(spark, d):
 
 def catalog_copy_report(spark, d):
     from edulens.sources.copy import copy_tables
-    names = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events"]
+    names = ["region", "nation", "supplier", "customer", "part", "orders", "lineitem", "events", "documents", "embeddings",
+             "pages", "benchmark", "labels", "conversations"]
     listing = spark.createDataFrame([(n, "TABLE") for n in names] + [("MSysObjects", "SYSTEM TABLE"),
                                                                      ("~tmp", "TABLE"), ("supplier", "TABLE")],
                                     "table_name string, table_type string")
-    return copy_tables(spark, listing, lambda n: f"{d}/{n}.parquet", scratch_path(spark, "copy"))
+    return copy_tables(spark, listing, lambda n: f"{d}/{n}.parquet", scratch_folder(spark, "copy"))
 
 
 def csv_round_trip(spark, d):
@@ -394,7 +419,7 @@ def csv_round_trip(spark, d):
     launch, result = dt.run_log(spark, d)
     grid = runlog.comparison_grid(spark, runlog.latency_percentiles(launch, result, latest_only=True),
                                   COMPARISONS, GRID_SIZES)
-    path = scratch_path(spark, "csv")
+    path = scratch_folder(spark, "csv") + "/grid"
     write_csv(grid, path)
     return read_csv(spark, path, grid.schema)
 
@@ -412,6 +437,7 @@ QUERIES: dict[str, Query] = {
     "q3_corr_raw": q3_corr_raw,
     "star_dims": star_dims,
     "star_facts": star_facts,
+    "star_reconciliation": star_reconciliation,
     "q1_factor_corr_star": q1_factor_corr_star,
     "q1_share_corr_star": q1_share_corr_star,
     "q2_points_star": q2_points_star,
@@ -436,6 +462,8 @@ QUERIES: dict[str, Query] = {
     "log_append_keys": log_append_keys,
     "log_lookup": log_lookup,
     "log_upsert": log_upsert,
+    "log_update_null": log_update_null,
+    "launch_timeline": launch_timeline,
     "log_delete_cascade": log_delete_cascade,
     "log_constraint_report": log_constraint_report,
     "category_counts": category_counts,

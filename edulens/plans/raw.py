@@ -2,9 +2,7 @@
 
 Inputs are DataFrames shaped like the published tables (see
 :mod:`edulens.schemas`); numbers may be text or numeric, years double, int
-or text. Everything is lazy. Row caps (``cap``) are optional and always take
-a prefix by an explicit key order; with ``cap=None`` (the default) the whole
-table is read.
+or text. Everything is lazy and reads its tables whole.
 """
 
 from __future__ import annotations
@@ -18,8 +16,7 @@ from edulens.functions import (label_contains, label_startswith, not_like_ci, po
                                to_number, year_equals, year_of)
 from edulens.operators.quantiles import clip_above_quantile
 from edulens.operators.rates import guarded_ratio
-from edulens.operators.relational import prefix_by_key
-from edulens.operators.stats import (factor_table, factor_table_raw_sums, hist2d, linear_fit, pair_count_expr,
+from edulens.operators.stats import (factor_table, factor_table_raw_sums, hist2d, pair_count_expr,
                                      pearson, pearson_expr, slope_expr, intercept_expr, with_significance)
 
 ALL_PREFIX = "ALL STUDENTS"
@@ -77,18 +74,17 @@ def q1_pairs_latest_year(outcome: DataFrame, demo_view: DataFrame, factors: Sequ
 
 
 def q1_factor_corr(math_src: DataFrame, demo: DataFrame, factors: Mapping[str, str] = Q1_FACTORS,
-                   cap: int | None = None, cap_order: Sequence[str] = ("ENTITY_CD",),
                    raw_sums: bool = False, all_prefix: str = ALL_PREFIX) -> DataFrame:
     """var, n, r, slope of each factor against the math rate, by |r| desc.
 
-    ``cap`` takes the first rows of the math source by ``cap_order`` before
-    any filter (the reference's timing prefix). ``raw_sums`` selects the
-    branch-per-factor raw-sum form instead of the one-pass aggregate.
+    ``raw_sums`` selects the branch-per-factor form instead of the one-pass
+    aggregate.
     """
-    src = prefix_by_key(math_src, cap, list(cap_order)) if cap is not None else math_src
-    outcome = q1_math_outcome(src, all_prefix)
-    pairs = q1_pairs_latest_year(outcome, q1_demo(demo, factors), list(factors.values()),
-                                 q1_latest_year(src, all_prefix))
+    latest = q1_latest_year(math_src, all_prefix)
+    # the range on the stored year skips row groups of both scans
+    outcome = q1_math_outcome(math_src.where(year_equals(math_src, "YEAR", latest)), all_prefix)
+    composition = q1_demo(demo.where(year_equals(demo, "YEAR", latest)), factors)
+    pairs = q1_pairs_latest_year(outcome, composition, list(factors.values()), latest)
     base = pairs.where(F.col("math_prof_rate").isNotNull())
     fn = factor_table_raw_sums if raw_sums else factor_table
     return fn(base, "math_prof_rate", list(factors.values()))
@@ -114,13 +110,10 @@ def entity_corr_over_time(math_src: DataFrame, demo: DataFrame, factor: str, fac
 
 # --- Q2 / Q3: attendance and expenditure vs math proficiency ---------------------
 
-def math_school(math_src: DataFrame, year: int, all_label: str = ALL_LABEL, cap: int | None = None,
-                cap_order: Sequence[str] = ("ENTITY_CD",)) -> DataFrame:
+def math_school(math_src: DataFrame, year: int, all_label: str = ALL_LABEL) -> DataFrame:
     """Per (ENTITY_CD, YEAR): total_prof, total_tested and
     ``math_prof_rate = 100 * SUM(NUM_PROF) / SUM(TOTAL_COUNT)``."""
     m = math_src.where(year_equals(math_src, "YEAR", year) & (F.col("SUBGROUP_NAME") == F.lit(all_label)))
-    if cap is not None:
-        m = prefix_by_key(m, cap, list(cap_order))
     prof, tested = to_number(m, "NUM_PROF"), to_number(m, "TOTAL_COUNT")
     return m.groupBy("ENTITY_CD", year_of(m, "YEAR").alias("YEAR")).agg(
         F.sum(prof).alias("total_prof"), F.sum(tested).alias("total_tested"),
@@ -128,15 +121,13 @@ def math_school(math_src: DataFrame, year: int, all_label: str = ALL_LABEL, cap:
 
 
 def q2_points(math_src: DataFrame, attendance: DataFrame, year: int, district: str = DISTRICT,
-              all_label: str = ALL_LABEL, cap: int | None = None) -> DataFrame:
+              all_label: str = ALL_LABEL) -> DataFrame:
     """Attendance/math pairs of non-district schools with positive values:
     ENTITY_CD, ENTITY_NAME, ATTENDANCE_RATE, math_prof_rate."""
     att = attendance.where(year_equals(attendance, "YEAR", year))
-    if cap is not None:
-        att = prefix_by_key(att, cap, ["ENTITY_CD"])
     att = att.select("ENTITY_CD", "ENTITY_NAME", year_of(att, "YEAR").alias("YEAR"),
                      to_number(att, "ATTENDANCE_RATE").alias("ATTENDANCE_RATE"))
-    m = math_school(math_src, year, all_label, cap)
+    m = math_school(math_src, year, all_label)
     j = att.join(m, ["ENTITY_CD", "YEAR"])
     return (j.where(not_like_ci("ENTITY_NAME", district) & positive("math_prof_rate") & positive("ATTENDANCE_RATE"))
              .select("ENTITY_CD", "ENTITY_NAME", "ATTENDANCE_RATE", "math_prof_rate"))
@@ -147,17 +138,15 @@ def q2_corr(points: DataFrame) -> DataFrame:
 
 
 def q3_points(math_src: DataFrame, expenditures: DataFrame, year: int, district: str = DISTRICT,
-              all_label: str = ALL_LABEL, require_enrollment_flag: bool = True, cap: int | None = None) -> DataFrame:
+              all_label: str = ALL_LABEL, require_enrollment_flag: bool = True) -> DataFrame:
     """Expenditure/math pairs: ENTITY_CD, ENTITY_NAME, per_pupil_expenditure,
     math_prof_rate; expenditure rows must be flagged reported."""
     e = expenditures.where(year_equals(expenditures, "YEAR", year) & flag_is("DATA_REPORTED_EXP"))
     if require_enrollment_flag:
         e = e.where(flag_is("DATA_REPORTED_ENR"))
-    if cap is not None:
-        e = prefix_by_key(e, cap, ["ENTITY_CD"])
     e = e.select("ENTITY_CD", "ENTITY_NAME", year_of(e, "YEAR").alias("YEAR"),
                  to_number(e, "PER_FED_STATE_LOCAL_EXP").alias("per_pupil_expenditure"))
-    m = math_school(math_src, year, all_label, cap)
+    m = math_school(math_src, year, all_label)
     j = e.join(m, ["ENTITY_CD", "YEAR"])
     return (j.where(not_like_ci("ENTITY_NAME", district) & positive("per_pupil_expenditure")
                     & positive("math_prof_rate"))
@@ -204,7 +193,3 @@ def q10_top_suspensions(suspensions: DataFrame, year: int, k: int = 10, district
     s = suspensions.where(year_equals(suspensions, "YEAR", year) & not_like_ci("ENTITY_NAME", district))
     return (s.select("ENTITY_CD", "ENTITY_NAME", to_number(s, "NUM_SUSPENSIONS").alias("NUM_SUSPENSIONS"))
              .orderBy(F.col("NUM_SUSPENSIONS").desc_nulls_last(), F.col("ENTITY_CD")).limit(k))
-
-
-def linear_trend(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFrame:
-    return linear_fit(df, x, y, by)

@@ -10,12 +10,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from edulens.functions import fixed6
 from edulens.operators.quantiles import exact_quantiles
-from edulens.operators.relational import latest_per_group, members, param_grid
+from edulens.operators.relational import latest_per_group, members
 from edulens.operators.stats import linear_fit
 
 KEY = ["query_name", "query_version"]
@@ -45,51 +45,50 @@ def latency_percentiles(launch: DataFrame, result: DataFrame, latest_only: bool
                    .select(*KEY, "dataset_size", "elapsed_seconds"))
     per_size = exact_quantiles(timed, "elapsed_seconds", {"p50_s": ("median",), "p95_s": ("nearest_rank", 95)},
                                group_cols=[*KEY, "dataset_size"], count_name="size_runs")
-    runs = timed.groupBy(*KEY).agg(F.count(F.lit(1)).cast("long").alias("num_runs"))
-    return per_size.join(runs, KEY)
+    # every timed result is in one size, so the sizes sum up to the runs
+    return per_size.withColumn("num_runs", F.sum("size_runs").over(Window.partitionBy(*KEY)))
 
 
 def two_queries(stats: DataFrame, a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
     """Side by side per dataset size: a_p50_s, a_p95_s, b_p50_s, b_p95_s
     (NULL where a query has no result at that size)."""
-    def pick(q, prefix):
-        return (stats.where((F.col("query_name") == q[0]) & (F.col("query_version") == q[1]))
-                     .select("dataset_size", F.col("p50_s").alias(f"{prefix}_p50_s"),
-                             F.col("p95_s").alias(f"{prefix}_p95_s"), F.col("num_runs").alias(f"{prefix}_num_runs")))
-    sa, sb = pick(a, "a"), pick(b, "b")
-    sizes = sa.select("dataset_size").unionByName(sb.select("dataset_size")).dropDuplicates()
-    return sizes.join(sa, "dataset_size", "left").join(sb, "dataset_size", "left")
+    def of(q):
+        return (F.col("query_name") == q[0]) & (F.col("query_version") == q[1])
+
+    sides = [F.max(F.when(of(q), F.col(c))).alias(f"{prefix}_{c}")
+             for prefix, q in (("a", a), ("b", b)) for c in ("p50_s", "p95_s", "num_runs")]
+    return stats.where((of(a) | of(b)) & F.col("dataset_size").isNotNull()).groupBy("dataset_size").agg(*sides)
 
 
 def comparison_grid(spark: SparkSession, stats: DataFrame, comparisons: Sequence[tuple[str, tuple[str, str], tuple[str, str]]],
                     sizes: Sequence[int]) -> DataFrame:
     """One row per (comparison, dataset size) with the baseline and star
-    query's P50/P95 as six-decimal text (blank when missing) and run counts."""
-    grid = param_grid(spark, ["comparison", "baseline_name", "baseline_version", "star_name", "star_version",
-                              "dataset_size"],
-                      [(c[0], c[1][0], c[1][1], c[2][0], c[2][1]) for c in comparisons], [(int(s),) for s in sizes])
-    runs = stats.select(*KEY, "num_runs").dropDuplicates(KEY)
-
-    def side(prefix):
-        s = stats.select(F.col("query_name").alias(f"{prefix}_name"), F.col("query_version").alias(f"{prefix}_version"),
-                         "dataset_size", F.col("p50_s").alias(f"{prefix}_p50"), F.col("p95_s").alias(f"{prefix}_p95"))
-        r = runs.select(F.col("query_name").alias(f"{prefix}_name"), F.col("query_version").alias(f"{prefix}_version"),
-                        F.col("num_runs").alias(f"{prefix}_num_runs"))
-        return s, r
-
-    bs, br = side("baseline")
-    ss, sr = side("star")
-    g = (grid.join(bs, ["baseline_name", "baseline_version", "dataset_size"], "left")
-             .join(br, ["baseline_name", "baseline_version"], "left")
-             .join(ss, ["star_name", "star_version", "dataset_size"], "left")
-             .join(sr, ["star_name", "star_version"], "left"))
-    return g.select("comparison", F.col("dataset_size").cast("long").alias("dataset_size"),
-                    "baseline_name", "baseline_version",
-                    fixed6("baseline_p50").alias("baseline_p50_s"), fixed6("baseline_p95").alias("baseline_p95_s"),
-                    F.coalesce(F.col("baseline_num_runs"), F.lit(0)).cast("long").alias("baseline_num_runs"),
-                    "star_name", "star_version",
-                    fixed6("star_p50").alias("star_p50_s"), fixed6("star_p95").alias("star_p95_s"),
-                    F.coalesce(F.col("star_num_runs"), F.lit(0)).cast("long").alias("star_num_runs"))
+    query's P50/P95 as six-decimal text (blank when missing) and run counts.
+
+    Each side of a comparison meets the statistics once; a comparison then
+    holds its sides' statistics of the asked sizes and is laid out by size."""
+    labels = ["comparison", "baseline_name", "baseline_version", "star_name", "star_version"]
+    sides = spark.createDataFrame(
+        [(c, *base, *star, side, *query) for c, base, star in comparisons for side, query in (("baseline", base), ("star", star))],
+        ", ".join(f"{c} string" for c in [*labels, "side", *KEY]))
+    met = sides.join(stats, KEY, "left")
+    asked = F.col("dataset_size").isin([int(s) for s in sizes])
+    entry = F.struct(F.col("dataset_size").cast("long"), F.struct("p50_s", "p95_s"))
+    columns = []
+    for side in ("baseline", "star"):
+        here = F.col("side") == side
+        columns += [F.map_from_entries(F.collect_list(F.when(here & asked, entry))).alias(side),
+                    F.coalesce(F.max(F.when(here, F.col("num_runs"))), F.lit(0)).cast("long").alias(f"{side}_num_runs")]
+    grid = met.groupBy(*labels).agg(*columns).withColumn(
+        "dataset_size", F.explode(F.array(*[F.lit(int(s)).cast("long") for s in sizes])))
+
+    def text(side, statistic):
+        return fixed6(F.try_element_at(side, "dataset_size")[statistic]).alias(f"{side}_{statistic}")
+
+    return grid.select("comparison", "dataset_size",
+                       "baseline_name", "baseline_version", text("baseline", "p50_s"), text("baseline", "p95_s"),
+                       "baseline_num_runs",
+                       "star_name", "star_version", text("star", "p50_s"), text("star", "p95_s"), "star_num_runs")
 
 
 def latency_trend(stats: DataFrame, rows_unit: int = 1000) -> DataFrame:

@@ -23,7 +23,6 @@ from pyspark.sql import functions as F
 from edulens.functions import label_startswith, not_like_ci, positive, flag_is, to_number, year_equals, year_of
 from edulens.operators.rates import grouped_rate, guarded_ratio, share_of_group, weighted_mean
 from edulens.operators.ranking import dense_keys, global_row_number
-from edulens.operators.relational import prefix_by_key
 from edulens.operators.stats import factor_table, pair_count_expr, pearson, pearson_expr
 
 ALL_PREFIX = "ALL STUDENTS"
@@ -38,9 +37,11 @@ class StarTables:
     fact_assessment: DataFrame
     fact_enrollment: DataFrame
     fact_attendance: DataFrame
+    #: fact, rows_in, rows_rejected: natural rows offered, and those without a school code or subgroup
+    intake: DataFrame | None = None
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return dict(self.__dict__)
+        return {n: df for n, df in self.__dict__.items() if df is not None}
 
 
 def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame, attendance: DataFrame,
@@ -57,6 +58,10 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
     attendance:  ENTITY_CD, YEAR, ATTENDANCE_RATE ('All Students' level)
     schools:     ENTITY_CD, ENTITY_NAME (any number of rows per code)
 
+    A code that only the measures know gets a school without a name, so its
+    rows stay. Rows without a code or a subgroup belong to no member of a
+    dimension; ``intake`` counts them for each fact.
+
     The large inputs are aggregated once to their natural keys (school code,
     year, subgroup name); the dimensions are derived from those aggregates,
     and the facts are keyed by joining them with the dimensions.
@@ -90,12 +95,16 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
     fa_nat, enr_nat, att_nat = nat["_fa_natural"], nat["_enrollment_natural"], nat["_attendance_natural"]
 
     # 2. dimensions
-    names = schools.groupBy("ENTITY_CD").agg(F.max("ENTITY_NAME").alias("school_name"))
+    codes = schools.select("ENTITY_CD", "ENTITY_NAME")
+    for natural in (fa_nat, enr_nat, att_nat):
+        codes = codes.unionByName(natural.select("ENTITY_CD", F.lit(None).cast("string").alias("ENTITY_NAME")))
+    names = (codes.where(F.col("ENTITY_CD").isNotNull())
+                  .groupBy("ENTITY_CD").agg(F.max("ENTITY_NAME").alias("school_name")))
     dim_school = (global_row_number(names, ["ENTITY_CD"], name="school_key")
                   .select(F.col("school_key").cast("long"), F.col("ENTITY_CD").alias("school_id"), "school_name"))
 
     sub_names = fa_nat.select("SUBGROUP_NAME").unionByName(enr_nat.select("SUBGROUP_NAME"))
-    dim_subgroup = dense_keys(sub_names, ["SUBGROUP_NAME"], "subgroup_key")
+    dim_subgroup = dense_keys(sub_names.where(F.col("SUBGROUP_NAME").isNotNull()), ["SUBGROUP_NAME"], "subgroup_key")
     id_expr = F.col("SUBGROUP_NAME")
     for name, sid in ids.items():
         id_expr = F.when(F.col("SUBGROUP_NAME") == F.lit(name), F.lit(sid)).otherwise(id_expr)
@@ -129,10 +138,28 @@ def build_star(spark: SparkSession, math_rows: DataFrame, demo_counts: DataFrame
                        .join(school_key, "ENTITY_CD")
                             .select("year_key", "school_key", all_key.scalar().cast("int").alias("subgroup_key"),
                                     "absence_rate", F.col("enrollment").cast("long")))
+    no_school, no_subgroup = F.col("ENTITY_CD").isNull(), F.col("SUBGROUP_NAME").isNull()
+    intake = None
+    for name, natural, lost in (("fact_assessment", fa_nat, no_school | no_subgroup),
+                                ("fact_enrollment", enr_nat, no_school | no_subgroup),
+                                ("fact_attendance", att_nat, no_school)):
+        row = natural.agg(F.count(F.lit(1)).alias("rows_in"), F.count_if(lost).alias("rows_rejected")).select(
+            F.lit(name).alias("fact"), "rows_in", "rows_rejected")
+        intake = row if intake is None else intake.unionByName(row)
     facts = wave({"fact_assessment": fact_assessment, "fact_enrollment": fact_enrollment,
-                  "fact_attendance": fact_attendance})
+                  "fact_attendance": fact_attendance, "intake": intake})
     return StarTables(dim_school, dim_year, dim_subject, dim_subgroup, facts["fact_assessment"],
-                      facts["fact_enrollment"], facts["fact_attendance"])
+                      facts["fact_enrollment"], facts["fact_attendance"], facts["intake"])
+
+
+def reconciliation(star: StarTables) -> DataFrame:
+    """fact, rows_in, rows_in_fact, rows_rejected: no row is lost unseen when
+    the first is the sum of the others."""
+    held = None
+    for name in ("fact_assessment", "fact_enrollment", "fact_attendance"):
+        n = getattr(star, name).agg(F.count(F.lit(1)).alias("rows_in_fact")).select(F.lit(name).alias("fact"), "rows_in_fact")
+        held = n if held is None else held.unionByName(n)
+    return star.intake.join(held, "fact").select("fact", "rows_in", "rows_in_fact", "rows_rejected")
 
 
 def materialize(build, root: str, parallel: int = 4) -> StarTables:
@@ -145,8 +172,11 @@ def materialize(build, root: str, parallel: int = 4) -> StarTables:
     from concurrent.futures import ThreadPoolExecutor
 
     def stage(name: str, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{root}/{name}")
-        return df.sparkSession.read.parquet(f"{root}/{name}")
+        if name.startswith("fact_"):  # one folder a year; large years are split over several files
+            df.hint("rebalance", "year_key").write.mode("overwrite").partitionBy("year_key").parquet(f"{root}/{name}")
+        else:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+        return df.sparkSession.read.schema(df.schema).parquet(f"{root}/{name}")
 
     def many(tables: dict) -> dict:
         with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
@@ -165,17 +195,23 @@ def _dims(star: StarTables):
     return star.dim_subject, star.dim_subgroup, star.dim_year
 
 
+def _year_key(years: DataFrame, label: str):
+    """The key of a year label as a scalar subquery, which can prune the year folders of a fact."""
+    return years.where(F.col("school_year_label") == F.lit(label)).select("year_key").scalar()
+
+
 # --- Q1b: factor table with composition computed from the fact ------------------
 
 def q1_factor_corr_star(star: StarTables, factor_ids: Mapping[str, str], all_prefix: str = ALL_PREFIX,
-                        subject_id: str = "Math", cap: int | None = None) -> DataFrame:
+                        subject_id: str = "Math") -> DataFrame:
     """var, n, r, slope; demographics are percent of tested students per
     subgroup id, computed from fact_assessment.
 
     Outcome (math, all-students rows) and composition (all-students total and
     per-subgroup tested, any subject) are conditional sums of one
-    aggregation of the fact per (school_key, year_key); the latest year is a
-    scalar subquery over that same aggregate. The school code and year label
+    aggregation of the latest year's fact rows per (school_key, year_key);
+    that year is a plain maximum over the outcome's rows, and a filter of the
+    fact's year folders. The school code and year label
     would only be carried along, and the builder guarantees every fact key
     has its dimension row, so dim_school and dim_year are not joined."""
     subj, sg, _ = _dims(star)
@@ -188,40 +224,35 @@ def q1_factor_corr_star(star: StarTables, factor_ids: Mapping[str, str], all_pre
     math_all = all_rows & F.coalesce(F.col("_is_math"), F.lit(False))
     cat = F.col("subgroup_id")
     keys = ["school_key", "year_key"]
-    agg = facts.groupBy(*keys).agg(
+    latest = facts.where(math_all).agg(F.max("year_key").alias("y")).select("y").scalar()
+    agg = facts.where(F.col("year_key") == latest).groupBy(*keys).agg(
         F.count(F.when(math_all, F.lit(1))).alias("_n_math"),
         F.sum(F.when(math_all, F.col("n_qual"))).alias("_prof"),
         F.sum(F.when(math_all, F.col("tested"))).alias("_tested"),
         F.sum(F.when(all_rows, F.col("tested"))).alias("_tot"),
         *[F.sum(F.when(cat == F.lit(sid), F.col("tested"))).alias(f"_c_{name}") for sid, name in factor_ids.items()])
     outcome = agg.where(F.col("_n_math") > 0)
-    latest = outcome.agg(F.max("year_key").alias("y")).select("y").scalar()
     pairs = outcome.select(
         *keys, guarded_ratio("_prof", "_tested", 1.0).alias("math_prof_rate"),
         *[guarded_ratio(F.coalesce(F.col(f"_c_{name}"), F.lit(0)), "_tot", 100.0).alias(name)
           for name in factor_ids.values()])
-    base = pairs.where((F.col("year_key") == latest) & positive("math_prof_rate"))
-    if cap is not None:
-        base = prefix_by_key(base, cap, ["school_key"])
+    base = pairs.where(positive("math_prof_rate"))
     return factor_table(base, "math_prof_rate", list(factor_ids.values()))
 
 
 # --- Q1c: subgroup share vs math, long form ----------------------------------------
 
 def math_school_star(star: StarTables, year: int | None = None, year_label: str | None = None,
-                     subject_name: str = "Mathematics", all_name: str = "All Students",
-                     cap: int | None = None) -> DataFrame:
+                     subject_name: str = "Mathematics", all_name: str = "All Students") -> DataFrame:
     """school_key, total_prof, total_tested, math_prof_rate (percent)."""
     subj, sg, yr = _dims(star)
     fa = (star.fact_assessment
           .join(subj.where(F.col("subject_name") == F.lit(subject_name)).select("subject_key"), "subject_key")
           .join(sg.where(F.col("subgroup_name") == F.lit(all_name)).select("subgroup_key"), "subgroup_key"))
     if year_label is not None:
-        fa = fa.join(yr.where(F.col("school_year_label") == F.lit(year_label)).select("year_key"), "year_key")
+        fa = fa.where(F.col("year_key") == _year_key(yr, year_label))
     if year is not None:
         fa = fa.where(F.col("year_key") == F.lit(year))
-    if cap is not None:
-        fa = prefix_by_key(fa, cap, ["school_key"])
     return grouped_rate(fa, ["school_key"], "n_qual", "tested", 100.0, "math_prof_rate", "total_prof",
                         "total_tested")
 
@@ -233,7 +264,7 @@ def q1_share_corr_star(star: StarTables, year_label: str, subject_name: str = "M
     _, sg, yr = _dims(star)
     math = math_school_star(star, year_label=year_label, subject_name=subject_name, all_name=all_name)
     enroll = (star.fact_enrollment
-              .join(yr.where(F.col("school_year_label") == F.lit(year_label)).select("year_key"), "year_key")
+              .where(F.col("year_key") == _year_key(yr, year_label))
               .join(sg.select("subgroup_key", "subgroup_name"), "subgroup_key")
               .select("school_key", "subgroup_name", "n_students"))
     comp = share_of_group(enroll, ["school_key"], "n_students", "subgroup_share")
@@ -264,12 +295,12 @@ def q2_pairs_star(star: StarTables, year: int, all_name: str = "All Students") -
                .select("school_key", "attendance_rate", "math_prof_rate"))
 
 
-def q2_points_star(star: StarTables, year: int, all_name: str = "All Students", cap: int | None = None) -> DataFrame:
+def q2_points_star(star: StarTables, year: int, all_name: str = "All Students") -> DataFrame:
     """school_id, school_name, attendance_rate, math_prof_rate ordered by school_id."""
     pairs = q2_pairs_star(star, year, all_name)
     out = (pairs.join(star.dim_school, "school_key")
                 .select("school_id", "school_name", "attendance_rate", "math_prof_rate"))
-    return prefix_by_key(out, cap, ["school_id"]) if cap is not None else out.orderBy("school_id")
+    return out.orderBy("school_id")
 
 
 def q2_corr_star(star: StarTables, year: int, all_name: str = "All Students") -> DataFrame:

@@ -53,7 +53,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not (sc.master or "").startswith("local"):
+    if sc.master != "local" and not (sc.master or "").startswith("local["):  # not local-cluster
         raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder (HDFS, object store) for "
                            "checkpoints and written intermediate tables; a machine-local folder is not "
                            "visible to other executors")
@@ -69,6 +69,33 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return f"{root}/edulens/{leaf}-{uuid.uuid4().hex[:12]}"
 
 
+def hadoop_fs(spark: SparkSession, path: str):
+    """The file system of a path, and the path for it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def scratch_folder(spark: SparkSession, *parts: str) -> str:
+    """A fresh folder under the shared checkpoint folder; it goes when the driver ends."""
+    path = scratch_path(spark, *parts)
+    fs, where = hadoop_fs(spark, path)
+    fs.mkdirs(where)
+    fs.deleteOnExit(where)
+    return path
+
+
+def file_state(spark: SparkSession, *paths: str) -> tuple:
+    """Name, size and time of every file below the paths: it changes when the data do."""
+    found = []
+    for path in paths:
+        fs, where = hadoop_fs(spark, path)
+        files = fs.listFiles(where, True)
+        while files.hasNext():
+            f = files.next()
+            found.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(found))
+
+
 def env_int(name: str, default: int) -> int:
     try:
         return int(os.environ.get(name, default))

@@ -42,7 +42,7 @@ def copy_tables(spark: SparkSession, listing: DataFrame, source_path: Callable[[
             rows = spark.read.parquet(dest).count()
             report.append((name, "copied", int(rows), None))
         except Exception as exc:  # a table that cannot be read is reported, not fatal
-            report.append((name, "skipped", None, str(exc).splitlines()[0][:500]))
+            report.append((name, "skipped", None, str(exc)))
     return spark.createDataFrame(report, REPORT_SCHEMA)
 
 

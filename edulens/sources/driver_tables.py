@@ -47,33 +47,9 @@ FACTORS = [f"per_{s.lower()}" for s in SEGMENTS]
 SIZE_STEP = 10_000
 
 
-_TABLES: dict[tuple[str, str, str], DataFrame] = {}
-_FRAMES: dict[tuple, object] = {}
-
-
-def _per_session(fn):
-    """Keep the derived (lazy) frames per session and arguments: building a
-    frame is driver work only, and nothing is computed or cached by Spark."""
-    import functools
-
-    @functools.wraps(fn)
-    def wrapper(spark: SparkSession, sf_dir: str, *args, **kwargs):
-        key = (fn.__name__, spark.sparkContext.applicationId, sf_dir, args, tuple(sorted(kwargs.items())))
-        if key not in _FRAMES:
-            _FRAMES[key] = fn(spark, sf_dir, *args, **kwargs)
-        return _FRAMES[key]
-
-    return wrapper
-
-
 def read(spark: SparkSession, sf_dir: str, name: str, *cols: str) -> DataFrame:
-    """A driver table with its explicit schema; the relation (file listing
-    included) is created once per session and reused by every query."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    df = _TABLES.get(key)
-    if df is None:
-        df = spark.read.schema(schemas.DRIVER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
-        _TABLES[key] = df
+    """A driver table with its explicit schema, listed anew at each call."""
+    df = spark.read.schema(schemas.DRIVER_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
     return df.select(*cols) if cols else df
 
 
@@ -101,7 +77,6 @@ def _with_segment(spark: SparkSession, sf_dir: str, li: DataFrame) -> DataFrame:
               .join(cust, orders.o_custkey == cust.c_custkey))
 
 
-@_per_session
 def math_assessment(spark: SparkSession, sf_dir: str, year: int | None = None,
                     with_subgroups: bool = False) -> DataFrame:
     """'Annual EM MATH' analog: one 'All Students' row per lineitem, plus one
@@ -126,7 +101,6 @@ def math_assessment(spark: SparkSession, sf_dir: str, year: int | None = None,
     return out
 
 
-@_per_session
 def demographic_factors(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """'Demographic Factors' analog per (school, year): NUM_<SEGMENT> = quantity
     bought by customers of the segment, PER_<SEGMENT> = its percent of the
@@ -148,7 +122,6 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "supplier", "s_suppkey", "s_name")
 
 
-@_per_session
 def attendance(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """'Attendance' analog per (school, year)."""
     li = _lineitem(spark, sf_dir, year, "l_suppkey", "l_quantity", "l_discount")
@@ -162,7 +135,6 @@ def attendance(spark: SparkSession, sf_dir: str, year: int | None = None) -> Dat
         F.col("y").cast("double").alias("YEAR"), "ATTENDANCE_RATE", F.lit("Y").alias("DATA_REPORTED"))
 
 
-@_per_session
 def expenditures(spark: SparkSession, sf_dir: str) -> DataFrame:
     """'Expenditures per Pupil' analog (one school year)."""
     s = read(spark, sf_dir, "supplier", "s_suppkey", "s_name", "s_nationkey", "s_acctbal")
@@ -175,7 +147,6 @@ def expenditures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@_per_session
 def suspensions(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """'Suspensions' analog: returned items per (school, year)."""
     li = _lineitem(spark, sf_dir, year, "l_suppkey", "l_returnflag")
@@ -190,7 +161,6 @@ def suspensions(spark: SparkSession, sf_dir: str, year: int | None = None) -> Da
 
 # --- run log ----------------------------------------------------------------------
 
-@_per_session
 def run_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(query_launch, query_result) analog from ``events``. A launch's key is
     its first event id (unique, like a key handed out at its first insert)."""

@@ -1,15 +1,18 @@
 """Append run-log result files to the results table as they arrive.
 
 ``readStream`` picks up new Parquet files in a landing folder; each
-micro-batch is written by ``foreachBatch`` into its own ``batch_id=<n>``
-partition of the results table with ``mode("overwrite")`` for that
-partition only, so a retried batch replaces its own output instead of
-duplicating it (the checkpoint in the shared folder records which batches
-committed). Rows without a ``result_id`` get keys continuing after the
-largest key of earlier batches, ordered by (launch_id, dataset_size,
-run_index) -- the auto-increment key of a single insert, for a whole batch.
+micro-batch is written by ``foreachBatch`` into its own
+``ingest_id=<id>/batch_id=<n>`` partition of the results table with
+``mode("overwrite")`` for that partition only, so a retried batch replaces its
+own output instead of duplicating it (the checkpoint in the shared folder
+records which batches committed). The ingest id is the stream's own, kept in
+its checkpoint: another source, or a new checkpoint, has another id and so
+never touches rows that are there. Rows without a ``result_id`` get keys
+continuing after the largest key of other batches and of the batch itself,
+ordered by (launch_id, dataset_size, run_index) -- the auto-increment key of a single insert, for a whole batch.
 Each batch also writes its largest key to a one-row partition of a marks
 table next to the results, so finding the next key never scans the results.
+One stream at a time writes to a table.
 """
 
 from __future__ import annotations
@@ -21,7 +24,9 @@ from pyspark.sql.types import StructField, StructType
 
 from edulens import schemas
 from edulens.operators.ranking import global_row_number
+from edulens.session import hadoop_fs
 
+INGEST_COL = "ingest_id"
 BATCH_COL = "batch_id"
 ORDER = ["launch_id", "dataset_size", "run_index"]
 
@@ -39,36 +44,43 @@ def _marks_dir(table_dir: str) -> str:
     return table_dir.rstrip("/") + "_key_marks"
 
 
-def _previous_max(spark: SparkSession, table_dir: str, batch_id: int):
-    """Largest key of earlier batches, from the one-row-per-batch marks table
+def ingest_id(spark: SparkSession, checkpoint_dir: str) -> str:
+    """The stream's id, which Spark keeps in its checkpoint folder."""
+    return spark.read.text(f"{checkpoint_dir}/metadata").select(F.get_json_object("value", "$.id")).first()[0]
+
+
+def _previous_max(spark: SparkSession, table_dir: str, stream: str, batch_id: int):
+    """Largest key of other batches, from the one-row-per-batch marks table
     (never from a scan of the growing results table)."""
-    try:
-        marks = spark.read.parquet(_marks_dir(table_dir))
-    except Exception:  # first batch: no marks yet
+    fs, where = hadoop_fs(spark, _marks_dir(table_dir))
+    if not fs.exists(where):  # first batch
         return F.lit(0).cast("long")
-    return (marks.where(F.col(BATCH_COL) < batch_id)
+    marks = spark.read.schema(f"max_key long, {INGEST_COL} string, {BATCH_COL} long").parquet(_marks_dir(table_dir))
+    return (marks.where((F.col(INGEST_COL) != stream) | (F.col(BATCH_COL) != batch_id))
                  .agg(F.coalesce(F.max("max_key"), F.lit(0)).cast("long").alias("m")).select("m").scalar())
 
 
-def append_batch(table_dir: str):
+def append_batch(table_dir: str, checkpoint_dir: str):
     """``foreachBatch`` function writing one micro-batch idempotently."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        start = _previous_max(spark, table_dir, batch_id)
+        stream = ingest_id(spark, checkpoint_dir)
+        largest = batch.agg(F.max("result_id").cast("long").alias("m")).select("m").scalar()
+        start = F.greatest(_previous_max(spark, table_dir, stream, batch_id), F.coalesce(largest, F.lit(0).cast("long")))
         given = batch.where(F.col("result_id").isNotNull())
         missing = batch.where(F.col("result_id").isNull()).drop("result_id")
         keyed = (global_row_number(missing, ORDER, name="_rn")
                  .withColumn("result_id", (start + F.col("_rn")).cast("long")).drop("_rn"))
         cols = [f.name for f in schemas.QUERY_RESULT.fields]
-        out = (given.select(*cols).unionByName(keyed.select(*cols)).withColumn(BATCH_COL, F.lit(batch_id))
-                    .persist())
+        out = (given.select(*cols).unionByName(keyed.select(*cols))
+                    .withColumn(INGEST_COL, F.lit(stream)).withColumn(BATCH_COL, F.lit(batch_id)).persist())
         try:
             (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                .partitionBy(BATCH_COL).parquet(table_dir))
+                .partitionBy(INGEST_COL, BATCH_COL).parquet(table_dir))
             mark = out.agg(F.coalesce(F.max("result_id"), start).cast("long").alias("max_key"))
-            (mark.withColumn(BATCH_COL, F.lit(batch_id)).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(_marks_dir(table_dir)))
+            (mark.withColumn(INGEST_COL, F.lit(stream)).withColumn(BATCH_COL, F.lit(batch_id)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy(INGEST_COL, BATCH_COL).parquet(_marks_dir(table_dir)))
         finally:
             out.unpersist()
 
@@ -80,7 +92,7 @@ def start_ingest(spark: SparkSession, landing_dir: str, table_dir: str, checkpoi
     """Start the ingestion query. ``available_now`` processes what has
     landed and stops (a scheduled job); otherwise it runs continuously."""
     writer = (result_stream(spark, landing_dir, max_files_per_trigger).writeStream
-              .foreachBatch(append_batch(table_dir))
+              .foreachBatch(append_batch(table_dir, checkpoint_dir))
               .option("checkpointLocation", checkpoint_dir))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
     return writer.start()

@@ -73,3 +73,9 @@ def test_parse_ts(spark):
     df = spark.createDataFrame([("2025-01-02 03:04:05",), ("bad",)], "t string")
     got = [r[0] for r in df.select(parse_ts("t")).collect()]
     assert got[0].year == 2025 and got[1] is None
+
+
+def test_only_decimal_text_is_a_number(spark):
+    df = spark.createDataFrame([(s,) for s in ("NaN", "Infinity", "5d", "5f", "1e3", "-2.", ".5", "+7", "1,2,3", "", None)], "x string")
+    assert [r[0] for r in df.select(clean_real("x")).collect()] == [None] * 4 + [1000.0, -2.0, 0.5, 7.0, 123.0, None, None]
+    assert [r[0] for r in df.select(positive(F.lit(float("nan")))).limit(1).collect()] == [False]

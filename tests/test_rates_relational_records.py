@@ -6,10 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from edulens.operators.rates import composition_wide, grouped_rate, guarded_ratio, share_of_group, weighted_mean
-from edulens.operators.records import append_with_keys, constraint_report, delete_cascade, lookup, upsert
-from edulens.operators.relational import (TOP_N_SINGLE_TASK_LIMIT, bounded_broadcast, latest_per_group, members,
-                                          param_grid, prefix_by_key)
+from edulens.operators.rates import grouped_rate, guarded_ratio, share_of_group, weighted_mean
+from edulens.operators.records import append_with_keys, constraint_report, delete_cascade, lookup, update_rows
+from edulens.operators.relational import latest_per_group, members, prefix_by_key
 
 
 def test_guarded_ratio_zero_and_null(spark):
@@ -27,31 +26,29 @@ def test_grouped_rate_and_weighted_mean(spark):
     assert got["s"] == (pytest.approx(17.5), pytest.approx(82.5)) and got["z"] == (None, None)
 
 
-def test_composition_absent_subgroup_is_zero(spark):
-    df = spark.createDataFrame([("e1", "ALL", 200.0), ("e1", "ELL", 50.0), ("e2", "ALL", 0.0), ("e3", "ELL", 5.0)],
-                               "e string, sg string, v double")
-    out = {r["e"]: r for r in composition_wide(df, ["e"], "sg", "v", F.col("sg") == "ALL",
-                                               {"ELL": "per_ell", "SWD": "per_swd"}).collect()}
-    assert out["e1"]["per_ell"] == 25.0 and out["e1"]["per_swd"] == 0.0
-    assert out["e2"]["per_ell"] is None
-    assert "e3" not in out
-
-
 def test_share_of_group(spark):
     df = spark.createDataFrame([("s", "a", 1), ("s", "b", 3), ("t", "a", 0)], "k string, g string, n bigint")
     got = {(r["k"], r["g"]): r["share"] for r in share_of_group(df, ["k"], "n").collect()}
     assert got == {("s", "a"): 0.25, ("s", "b"): 0.75, ("t", "a"): None}
 
 
-def test_prefix_by_key_both_paths(spark):
+def test_prefix_is_exactly_n_rows(spark):
     df = spark.range(0, 30000).withColumn("k", (F.col("id") * 7) % 30011)
-    small = prefix_by_key(df, 5, ["k"]).collect()
-    assert sorted(r["k"] for r in small) == [0, 1, 2, 3, 4]
-    n = TOP_N_SINGLE_TASK_LIMIT + 7
-    big = prefix_by_key(df, n, ["k"])
-    ks = sorted(r["k"] for r in big.collect())
-    assert ks == sorted(r["k"] for r in df.orderBy("k").limit(n).collect())
-    assert prefix_by_key(df, None, ["k"]).count() == 30000
+    assert sorted(r["k"] for r in prefix_by_key(df, 5, ["k"]).collect()) == [0, 1, 2, 3, 4]
+    ks = sorted(r["k"] for r in prefix_by_key(df, 10_007, ["k"]).collect())
+    assert ks == sorted(r["k"] for r in df.orderBy("k").limit(10_007).collect())
+    assert prefix_by_key(df, 40000, ["k"]).count() == 30000 and prefix_by_key(df, 0, ["k"]).count() == 0
+
+
+def test_prefix_with_null_keys_ties_and_no_job(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), (None, 2), ("k1", 1), ("k2", 1)], "k string, v int")
+    assert rows(prefix_by_key(df, 2, ["k"])) == [(None, 1), (None, 2)]
+    assert rows(prefix_by_key(df, 4, ["k"])) == [("k1", 1), (None, 1), (None, 2), (None, 3)]
+    tied = spark.range(50).selectExpr("'a' AS k", "id")
+    spark.sparkContext.setJobGroup("prefix", "building")
+    five = prefix_by_key(tied, 5, ["k"])
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("prefix")
+    assert sorted(r["id"] for r in five.collect()) == [0, 1, 2, 3, 4]
 
 
 def test_latest_per_group_ties_prefer_higher_id(spark):
@@ -64,20 +61,10 @@ def test_latest_per_group_ties_prefer_higher_id(spark):
     assert got == [("q", 2), ("r", 4)]
 
 
-def test_bounded_broadcast_checks_size(spark):
-    small = spark.range(10)
-    big = spark.range(1000)
-    hinted = bounded_broadcast(small, 100)
-    assert hinted is not small and hinted.count() == 10
-    assert bounded_broadcast(big, 100) is big
-
-
-def test_members_and_grid(spark):
+def test_members(spark):
     df = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, v int")
     allowed = spark.createDataFrame([("a",), ("c",), ("c",)], "k string")
     assert rows(members(df, ["k"], allowed)) == [("a", 1), ("c", 3)]
-    g = param_grid(spark, ["label", "size"], [("q1",), ("q2",)], [(10,), (20,)])
-    assert rows(g) == [("q1", 10), ("q1", 20), ("q2", 10), ("q2", 20)]
 
 
 LAUNCH = "launch_id bigint, timestamp timestamp, query_name string, query_version string"
@@ -91,22 +78,31 @@ def test_append_with_keys_continues_after_max(spark):
                                  (None, t + dt.timedelta(seconds=1), "d", "1")], LAUNCH)
     out = rows(append_with_keys(old, new, "launch_id", ["timestamp", "query_name"]).select("launch_id", "query_name"))
     assert out == [(10, "d"), (11, "c"), (5, "a"), (9, "b")]
+    mixed = new.unionByName(spark.createDataFrame([(11, t, "e", "1")], LAUNCH))
+    keyed = rows(append_with_keys(old, mixed, "launch_id", ["timestamp", "query_name"]).select("launch_id", "query_name"))
+    assert sorted(keyed) == [(5, "a"), (9, "b"), (11, "e"), (12, "d"), (13, "c")]
     empty = spark.createDataFrame([], LAUNCH)
     assert rows(append_with_keys(empty, new, "launch_id", ["timestamp"]).select("launch_id")) == [(1,), (2,)]
 
 
-def test_lookup_upsert_delete(spark):
+def test_lookup_update_delete(spark):
     t = dt.datetime(2025, 1, 1)
     launch = spark.createDataFrame([(1, t, "a", "1"), (2, t, "b", "1"), (3, t, "a", "2")], LAUNCH)
     result = spark.createDataFrame([(10, 1, 100, 0, 0.5), (11, 1, 100, 1, None), (12, 2, 100, 0, 0.7)], RESULT)
     assert lookup(launch, "launch_id", 2).count() == 1 and lookup(launch, "launch_id", 7).count() == 0
     upd = spark.createDataFrame([(3, "9"), (8, "x")], "launch_id bigint, query_version string")
-    new, affected = upsert(launch, upd, "launch_id")
+    new, affected = update_rows(launch, upd, "launch_id")
     assert affected.collect()[0][0] == 1
     assert rows(new.select("launch_id", "query_version")) == [(1, "1"), (2, "1"), (3, "9")]
+    twice = spark.createDataFrame([(3, 1, "8"), (3, 2, None), (None, 3, "x")], "launch_id bigint, at int, query_version string")
+    new, affected = update_rows(launch, twice, "launch_id", ["at"])
+    assert affected.collect()[0][0] == 1  # the last update counts, and it sets NULL
+    assert rows(new.select("launch_id", "query_version")) == [(1, "1"), (2, "1"), (3, None)]
     p, c, counts = delete_cascade(launch, result, "launch_id", F.col("query_name") == "a")
     assert rows(p.select("launch_id")) == [(2,)] and rows(c.select("result_id")) == [(12,)]
     assert tuple(counts.collect()[0]) == (2, 2)
+    p, _, _ = delete_cascade(new, result, "launch_id", F.col("query_version") == "1")
+    assert rows(p.select("launch_id")) == [(3,)]  # unknown is no match
 
 
 def test_constraint_report_finds_violations(spark):

@@ -58,7 +58,7 @@ def test_schema_report(spark):
     rep = {r["column_name"]: r for r in schema_report_df(spark, "runlog", {"query_launch": df},
                                                          {"query_launch": "launch_id"}).collect()}
     assert rep["launch_id"]["pk"] and rep["launch_id"]["data_type"] == "bigint"
-    assert rep["timestamp"]["not_null"] is True or rep["timestamp"]["not_null"] is False
+    assert rep["timestamp"]["not_null"] is True
 
 
 def test_csv_round_trip_keeps_blanks(spark, tmp_path):

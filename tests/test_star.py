@@ -75,6 +75,25 @@ def test_materialized_star_matches_lazy(spark, school, tmp_path):
         assert a == b, name
 
 
+def test_no_row_is_lost_unseen(spark):
+    math = spark.createDataFrame([("001", 2024, "All Students", 10, 5), ("777", 2024, "All Students", 8, 2), (None, 2024, "X", 4, 1)],
+                                 "ENTITY_CD string, YEAR int, SUBGROUP_NAME string, NUM_TESTED int, NUM_PROF int")
+    demo = spark.createDataFrame([("001", 2024, 3)], "ENTITY_CD string, YEAR int, NUM_X int")
+    att = spark.createDataFrame([("777", 2024, 90.0), (None, 2024, 80.0)], "ENTITY_CD string, YEAR int, ATTENDANCE_RATE double")
+    schools = spark.createDataFrame([("001", "A"), (None, "nobody")], "ENTITY_CD string, ENTITY_NAME string")
+    s = star.build_star(spark, math, demo, att, schools, {"NUM_X": "X"})
+    assert sorted(tuple(r) for r in star.reconciliation(s).collect()) == [
+        ("fact_assessment", 3, 2, 1), ("fact_attendance", 2, 1, 1), ("fact_enrollment", 1, 1, 0)]
+    assert [tuple(r) for r in s.dim_school.orderBy("school_key").collect()] == [(1, "001", "A"), (2, "777", None)]
+
+
+def test_year_folders_are_pruned(spark, school, tmp_path):
+    s = star.materialize(lambda stage: _star(spark, school, stage), str(tmp_path / "star"))
+    for df in (star.q2_points_star(s, 2024), star.q1_share_corr_star(s, "2024"), star.q1_factor_corr_star(s, FACTOR_IDS)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(year_key" in plan
+
+
 def test_share_corr_drops_single_pair_subgroups(spark):
     s = star.StarTables(
         dim_school=spark.createDataFrame([(1, "001", "A"), (2, "002", "B"), (3, "003", "C")],
