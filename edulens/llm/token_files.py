@@ -49,6 +49,8 @@ CACHE_WORDS = 1_200_000
 
 #: Texts that are encoded together.
 ENCODE_ROWS = 2048
+#: Words whose bytes and ids are worked on together: arrays of these stay in a core's cache.
+WORDS_AT_ONCE = 1 << 13
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
 _MAGIC = b"RPT1"
 _HEAD = "<QIIIII"  # tokens, base, rules, symbols, width, bytes of the block's body
@@ -66,11 +68,29 @@ class _Words(dict):
         return ids
 
 
-#: White space other than a single blank or line end, and what may begin it in UTF-8.
-_OTHER_SPACE = [*(bytes([c]) for c in (0, 9, 11, 12, 13, 28, 29, 30, 31)), b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80",
-                b"\xe2\x81\x9f", b"\xe3\x80\x80", b"  ", b" \n", b"\n ", b"\n\n"]
-_STARTS = np.zeros(256, bool)
-_STARTS[[0, 10, 32]] = True
+#: Kinds of bytes: 1 what begins a word (a blank, a line end, and the zero byte before a text), 2 other white space, 3 what
+#: may begin it in UTF-8.
+_KIND = np.zeros(256, np.uint8)
+_KIND[[0, 10, 32]] = 1
+_KIND[[9, 11, 12, 13, 28, 29, 30, 31]] = 2
+_KIND[[0xC2, 0xE1, 0xE2, 0xE3]] = 3
+_STARTS = _KIND == 1
+
+
+def _odd_spaces(buf: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Where there is white space other than a single blank or line end
+    between two words; texts begin at ``heads``, each with a zero byte, and
+    the buffer ends with three more."""
+    kind = _KIND[buf]
+    at = np.flatnonzero(kind)
+    kind = kind[at]
+    blank = at[kind == 1]
+    lead = at[kind == 3]
+    a, b, c = buf[lead], buf[lead + 1], buf[lead + 2]
+    wide = (((a == 0xC2) & ((b == 0x85) | (b == 0xA0))) | ((a == 0xE1) & (b == 0x9A) & (c == 0x80)) | ((a == 0xE2) & (b == 0x80))
+            | ((a == 0xE2) & (b == 0x81) & (c == 0x9F)) | ((a == 0xE3) & (b == 0x80) & (c == 0x80)))
+    zeros = blank[buf[blank] == 0]
+    return np.concatenate([at[kind == 2], lead[wide], blank[:-1][np.diff(blank) == 1], np.setdiff1d(zeros, heads, assume_unique=True)])
 
 
 class Encoder:
@@ -90,7 +110,8 @@ class Encoder:
         plain = [c for c in range(256) if chr(c) in alphabet]  # other bytes stand for the letters after these, in order
         rest = iter(sorted(c for c in alphabet if ord(c) > 255))
         self._letters = {b: chr(b) if b in plain else next(rest) for b in range(256)}
-        self._whole_only = _OTHER_SPACE + [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self._blank = self._letters[ord(" ")]
+        self._added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
         self._newline = self.whole("\n")
         self._known, self._tails = _Words(self._word), _Words(self._piece)
 
@@ -103,6 +124,10 @@ class Encoder:
     def _word(self, word: bytes) -> bytes:
         before, body = word[:1], word[1:]
         letters = body.rstrip(_PUNCTUATION)
+        if before == b" " and letters.isalpha():  # ASCII letters stand for themselves
+            if len(letters) < len(body):
+                return self._known[before + letters] + self._tails[body[len(letters):]]
+            return array("I", [t.id for t in self._split(self._blank + letters.decode("ascii"))]).tobytes()
         text = letters.decode()
         # Latin letters, then punctuation: two pre-tokens whatever the version of the character tables
         if before != b"\0" and text.isalpha() and (text.isascii() or max(text) < "ɐ"):
@@ -111,29 +136,50 @@ class Encoder:
             return self._piece(word) if before == b" " else self._newline + self._piece(letters)
         return self.whole((word if before != b"\0" else body).decode())
 
-    def _parts(self, text: bytes) -> bool:
-        return (self.by_word and bool(text) and text[:1] not in (b" ", b"\n") and text[-1:] not in (b" ", b"\n")
-                and not any(s in text for s in self._whole_only))
+    def _by_word(self, texts: list[bytes]) -> np.ndarray:
+        """Which texts can be encoded word by word; one that is empty or begins or ends with white space cannot."""
+        if not self.by_word:
+            return np.zeros(len(texts), bool)
+        joined = b"".join(b"\0" + t for t in texts) + b"\0\0\0"
+        size = np.array([len(t) + 1 for t in texts])
+        heads = np.cumsum(size) - size
+        odd = _odd_spaces(np.frombuffer(joined, np.uint8), heads)
+        ok = np.ones(len(texts) + 1, bool)
+        ok[np.searchsorted(heads, odd[odd < len(joined) - 3], "right") - 1] = False
+        for added in self._added:
+            if added in joined:
+                ok[:-1] &= [added not in t for t in texts]
+        return ok[:-1]
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian 32-bit integers."""
         if len(self._known) > CACHE_WORDS:
             self._known.clear()
-        by_word = [self._parts(t) for t in texts]
+        by_word = self._by_word(texts).tolist()
         out = [b"" if ok else self.whole(t.decode()) for t, ok in zip(texts, by_word, strict=True)]
         joined = b"".join(b"\0" + t for t, ok in zip(texts, by_word, strict=True) if ok)
         if joined:
             buf = np.frombuffer(joined, np.uint8)
             starts = np.flatnonzero(_STARTS[buf])
             ends = np.append(starts[1:], len(buf))
-            _, first, inverse = np.unique(run_hashes(buf, starts, ends - starts), return_index=True, return_inverse=True)
-            ids = [self._known[joined[a:b]] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
-            sizes = np.array([len(i) for i in ids]) // 4
+            cuts = [slice(a, a + WORDS_AT_ONCE) for a in range(0, len(starts), WORDS_AT_ONCE)]
+            hashes = np.concatenate([
+                run_hashes(buf[starts[c][0] : ends[c][-1]], starts[c] - starts[c][0], ends[c] - starts[c]) for c in cuts])
+            order = np.argsort(hashes)  # words once each; any of equal ones stands for them
+            ranked = hashes[order]
+            new = np.append(True, ranked[1:] != ranked[:-1])
+            inverse = np.empty(len(order), np.int32)
+            inverse[order] = np.cumsum(new, dtype=np.int32) - 1
+            some = order[new]
+            ids = [self._known[joined[a:b]] for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             offsets, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u4")
-            count = sizes[inverse]
-            reach = np.cumsum(count)
-            found = flat[np.repeat(offsets[inverse] - (reach - count), count) + np.arange(reach[-1])].tobytes()
-            cuts = [*(4 * (reach - count)[buf[starts] == 0]).tolist(), len(found)]
+            parts, count = [], sizes[inverse]
+            for c in cuts:
+                reach = np.cumsum(count[c])
+                parts.append(flat[np.repeat(offsets[inverse[c]] - (reach - count[c]), count[c]) + np.arange(reach[-1])].tobytes())
+            found = b"".join(parts)
+            cuts = [*(4 * (np.cumsum(count) - count)[buf[starts] == 0]).tolist(), len(found)]
             at = 0
             for i, ok in enumerate(by_word):
                 if ok:
