@@ -155,6 +155,7 @@ class Encoder:
         """The ids of each UTF-8 text, as little-endian 32-bit integers."""
         if len(self._known) > CACHE_WORDS:
             self._known.clear()
+            self._tails.clear()
         by_word = self._by_word(texts).tolist()
         out = [b"" if ok else self.whole(t.decode()) for t, ok in zip(texts, by_word, strict=True)]
         joined = b"".join(b"\0" + t for t, ok in zip(texts, by_word, strict=True) if ok)

@@ -244,6 +244,18 @@ def test_encoder_equals_whole_texts():
     assert encode([t.encode() for t in texts]) == [encode.whole(t) for t in texts]
 
 
+def test_encoder_with_odd_white_space():
+    encode, rng = token_files.Encoder(BPE), random.Random(3)
+    odd = [" ", "\n", "  ", " \n", "\0", "\t", "\r", "\x1c", "\u0085", "\u00a0", "\u1680", "\u2003", "\u205f", "\u3000", "café,", "Foo,",
+           "it's", "42", "中文", "!!", "€", "Â", "</s>", "<s>", "$$$", "\u2019", "\U0001f600", ""]
+    for _ in range(200):
+        texts = [rng.choice([" ", " ", ""]).join(rng.choice(odd) if rng.random() < 0.5 else rng.choice(["the", "Runs", "x9", "n."])
+                                                 for _ in range(rng.randint(0, 8))).encode() for _ in range(rng.randint(0, 12))]
+        assert encode(texts) == [encode.whole(t.decode()) for t in texts]
+    assert encode._by_word([b"a b", b"a  b", b" a", b"a ", b"", b"a\nb", b"a\0b", b"x"]).tolist() == [
+        True, False, False, False, False, True, False, True]
+
+
 def test_repair_round_trip():
     rng = np.random.default_rng(2)
     for ids in (rng.integers(0, 6, 5000), np.zeros(999, int), rng.integers(0, 50_000, 100), np.arange(1), np.arange(0)):
