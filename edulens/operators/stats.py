@@ -106,37 +106,18 @@ def factor_table(df: DataFrame, y: str, factors: Sequence[str], name_col: str =
               .orderBy(F.abs(F.col("r")).desc_nulls_last()))
 
 
-def factor_table_raw_sums(df: DataFrame, y: str, factors: Sequence[str], name_col: str = "var") -> DataFrame:
-    """Same table in the branch-per-factor style: one aggregate per factor of
-    raw sums (n, sum x, sum x^2, sum xy) over rows where x is present,
-    ``unionByName`` of the branches, and the outcome sums (n, sum y, sum y^2)
-    over all rows attached from a one-row frame.
-
-    r = (n*Sxy - Sx*Sy) / sqrt((n*Sxx - Sx^2) * (N*Syy - Sy^2)),
-    slope = (n*Sxy - Sx*Sy) / (n*Sxx - Sx^2), NULL on non-positive terms.
-    Equal to :func:`factor_table` when no factor value is NULL; it reads the
-    input once per factor, so it is the slow form and kept for comparison.
-    """
-    base = df.where(F.col(y).isNotNull())
-    stats = base.agg(F.struct(F.count(F.lit(1)).alias("sn"), F.sum(y).alias("sumy"),
-                              F.sum(F.col(y) * F.col(y)).alias("sumy2")).alias("s")).select("s").scalar()
-    branches = None
+def factor_table_union(df: DataFrame, y: str, factors: Sequence[str], name_col: str = "var") -> DataFrame:
+    """The table of :func:`factor_table` from a UNION ALL: one (factor name,
+    x, y) relation per factor, correlated by factor name. It reads its input
+    once per factor; the one-pass form is the one to use on large inputs."""
+    long = None
     for f in factors:
-        b = (base.where(F.col(f).isNotNull())
-                 .agg(F.count(F.lit(1)).alias("n"), F.sum(f).alias("sumx"),
-                      F.sum(F.col(f) * F.col(f)).alias("sumx2"), F.sum(F.col(f) * F.col(y)).alias("sumxy"))
-                 .select(F.lit(f).alias(name_col), "*"))
-        branches = b if branches is None else branches.unionByName(b)
-    branches = branches.withColumn("_stats", stats)
-    sn, sumy, sumy2 = (F.col(f"_stats.{c}") for c in ("sn", "sumy", "sumy2"))
-    n, sx, sxx, sxy = (F.col(c) for c in ("n", "sumx", "sumx2", "sumxy"))
-    vx = n * sxx - sx * sx
-    vy = sn * sumy2 - sumy * sumy
-    cov = n * sxy - sx * sumy
-    r = F.when((vx > 0) & (vy > 0), cov / F.sqrt(vx * vy))
-    slope = F.when(vx != 0, F.try_divide(cov, vx))
-    return (branches.select(F.col(name_col), F.col("n").cast("long").alias("n"), r.alias("r"), slope.alias("slope"))
-                    .orderBy(F.abs(F.col("r")).desc_nulls_last()))
+        part = df.select(F.lit(f).alias(name_col), F.col(f).cast("double").alias("_x"), F.col(y).alias("_y"))
+        long = part if long is None else long.unionByName(part)
+    return (long.groupBy(name_col)
+                .agg(pair_count_expr("_x", "_y").cast("long").alias("n"), pearson_expr("_x", "_y").alias("r"),
+                     slope_expr("_x", "_y").alias("slope"))
+                .orderBy(F.abs(F.col("r")).desc_nulls_last()))
 
 
 # --- significance -----------------------------------------------------------

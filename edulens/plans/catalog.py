@@ -117,7 +117,7 @@ def q1_factor_corr_raw(spark, d):
 
 def q1_factor_corr_union(spark, d):
     return raw.q1_factor_corr(dt.math_assessment(spark, d), dt.demographic_factors(spark, d), FACTOR_MAP,
-                              raw_sums=True)
+                              by_union=True)
 
 
 def q1_fixed_period(spark, d):

@@ -16,7 +16,7 @@ from edulens.functions import (label_contains, label_startswith, not_like_ci, po
                                to_number, year_equals, year_of)
 from edulens.operators.quantiles import clip_above_quantile
 from edulens.operators.rates import guarded_ratio
-from edulens.operators.stats import (factor_table, factor_table_raw_sums, hist2d, pair_count_expr,
+from edulens.operators.stats import (factor_table, factor_table_union, hist2d, pair_count_expr,
                                      pearson, pearson_expr, slope_expr, intercept_expr, with_significance)
 
 ALL_PREFIX = "ALL STUDENTS"
@@ -74,10 +74,10 @@ def q1_pairs_latest_year(outcome: DataFrame, demo_view: DataFrame, factors: Sequ
 
 
 def q1_factor_corr(math_src: DataFrame, demo: DataFrame, factors: Mapping[str, str] = Q1_FACTORS,
-                   raw_sums: bool = False, all_prefix: str = ALL_PREFIX) -> DataFrame:
+                   by_union: bool = False, all_prefix: str = ALL_PREFIX) -> DataFrame:
     """var, n, r, slope of each factor against the math rate, by |r| desc.
 
-    ``raw_sums`` selects the branch-per-factor form instead of the one-pass
+    ``by_union`` selects the branch-per-factor form instead of the one-pass
     aggregate.
     """
     latest = q1_latest_year(math_src, all_prefix)
@@ -86,7 +86,7 @@ def q1_factor_corr(math_src: DataFrame, demo: DataFrame, factors: Mapping[str, s
     composition = q1_demo(demo.where(year_equals(demo, "YEAR", latest)), factors)
     pairs = q1_pairs_latest_year(outcome, composition, list(factors.values()), latest)
     base = pairs.where(F.col("math_prof_rate").isNotNull())
-    fn = factor_table_raw_sums if raw_sums else factor_table
+    fn = factor_table_union if by_union else factor_table
     return fn(base, "math_prof_rate", list(factors.values()))
 
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from edulens.operators.stats import (betainc_regularized, factor_table, factor_table_raw_sums, hist2d, linear_fit,
+from edulens.operators.stats import (betainc_regularized, factor_table, factor_table_union, hist2d, linear_fit,
                                      pearson, t_two_sided_p, with_significance)
 
 
@@ -70,7 +70,7 @@ def test_factor_table_forms_agree_without_nulls(spark):
         rows.append((a, b, c, 0.3 * a - 0.2 * b + random.random() * 0.1))
     df = spark.createDataFrame(rows, "fa double, fb double, fc double, y double")
     one = {r["var"]: r for r in factor_table(df, "y", ["fa", "fb", "fc"]).collect()}
-    branch = {r["var"]: r for r in factor_table_raw_sums(df, "y", ["fa", "fb", "fc"]).collect()}
+    branch = {r["var"]: r for r in factor_table_union(df, "y", ["fa", "fb", "fc"]).collect()}
     for k in one:
         assert one[k]["n"] == branch[k]["n"] == 200
         assert one[k]["r"] == pytest.approx(branch[k]["r"], abs=1e-9)
