@@ -21,47 +21,50 @@ from edulens.plans import catalog  # noqa: E402
 from edulens.session import build_session  # noqa: E402
 
 
-def plans(df) -> tuple[str, str]:
-    """(final adaptive plan, whole plan text) after one run."""
-    df.collect()
-    whole = df._jdf.queryExecution().executedPlan().toString()
-    final = whole
-    if "== Final Plan ==" in whole:  # adaptive: nodes are counted in the final plan only
-        final = whole.split("== Final Plan ==", 1)[1].split("== Initial Plan ==", 1)[0]
-    return final, whole
-
-
-def summarize(plan: str, whole: str) -> dict:
-    lines = plan.splitlines()
-    ex = collections.Counter()
-    joins = collections.Counter()
-    python = collections.Counter()
+STAGES = {"ShuffleQueryStage", "BroadcastQueryStage", "ResultQueryStage", "TableCacheQueryStage"}
+JOINS = {"BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin", "CartesianProduct"}
+
+
+def nodes(node):
+    """The nodes of an executed plan, subqueries included; what is reused is named, not entered again."""
+    name = node.nodeName()
+    yield name, node
+    if name in ("ReusedExchange", "ReusedSubquery"):
+        return
+    if name == "AdaptiveSparkPlan":
+        yield from nodes(node.executedPlan())
+    if name in STAGES:
+        yield from nodes(node.plan())
+    for below in (node.children(), node.subqueries()):
+        for k in range(below.size()):
+            yield from nodes(below.apply(k))
+
+
+def summarize(df) -> dict:
+    """Nodes of the final plan after one run."""
+    execution = df._jdf.queryExecution()
+    execution.executedPlan().executeCollect()
+    found = collections.defaultdict(collections.Counter)
     scans = []
-    for ln in whole.splitlines():
-        if "FileScan parquet" in ln or "Scan parquet" in ln:
-            table = re.search(r"Location: \w+\(\d+ paths?\)\[[^\]]*?/([A-Za-z_]+)(?:\.parquet)?\]", ln)
-            pushed = re.search(r"PushedFilters: \[(.*?)\]", ln)
-            schema = re.search(r"ReadSchema: struct<(.*?)>", ln)
-            scans.append((table.group(1) if table else "?", pushed.group(1) if pushed else "",
+    for name, node in nodes(execution.executedPlan()):
+        text = node.simpleString(100_000)
+        if name == "Exchange":
+            found["exchanges"][re.match(r"Exchange (\w+)", text).group(1)] += 1
+        elif name in ("BroadcastExchange", "ReusedExchange"):
+            found["exchanges"][{"BroadcastExchange": "broadcast"}.get(name, "reused")] += 1
+        elif name in JOINS:
+            found["joins"][name] += 1
+        elif "Pandas" in name or "Python" in name or "Arrow" in name:
+            found["python"][name] += 1
+        elif name in ("Subquery", "SubqueryBroadcast", "ReusedSubquery"):
+            found["subqueries"]["reused" if name == "ReusedSubquery" else "run"] += 1
+        elif "parquet" in text and "ReadSchema" in text:
+            table = re.search(r"/([A-Za-z_]+)(?:\.parquet)?\]", text)
+            part, pushed, schema = (re.search(p, text) for p in (
+                r"PartitionFilters: \[(.*?)\], PushedFilters", r"PushedFilters: \[(.*?)\], ReadSchema", r"ReadSchema: struct<(.*)>"))
+            scans.append((table.group(1) if table else "?", ", ".join(x.group(1) for x in (part, pushed) if x and x.group(1)),
                           ",".join(c.split(":")[0] for c in schema.group(1).split(",")) if schema else ""))
-    for ln in lines:
-        m = re.search(r"Exchange (rangepartitioning|hashpartitioning|SinglePartition|RoundRobinPartitioning)", ln)
-        if m and "ReusedExchange" not in ln and "Exchange" in ln.split("(")[0] + m.group(0):
-            ex[m.group(1)] += 1
-        if "BroadcastExchange" in ln and "ReusedExchange" not in ln:
-            ex["broadcast"] += 1
-        if "ReusedExchange" in ln:
-            ex["reused"] += 1
-        for j in ("BroadcastHashJoin", "SortMergeJoin", "ShuffledHashJoin", "BroadcastNestedLoopJoin",
-                  "CartesianProduct"):
-            if j in ln:
-                joins[j] += 1
-        for p in ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas"):
-            if p in ln:
-                python[p] += 1
-    reused = plan.count("ReusedSubquery")
-    return {"exchanges": dict(ex), "joins": dict(joins), "python": dict(python), "scans": scans,
-            "subqueries": plan.count("Subquery subquery") - reused, "reused_subqueries": reused}
+    return {k: dict(found[k]) for k in ("exchanges", "joins", "python", "subqueries")} | {"scans": scans}
 
 
 def main() -> None:
@@ -72,11 +75,10 @@ def main() -> None:
     print("Generated by `python scripts/plan_report.py`. Counts are plan nodes of the final adaptive plan,")
     print("subqueries included; `reused` counts exchanges read twice but computed once.\n")
     for name in bench.HEADLINE:
-        s = summarize(*plans(catalog.QUERIES[name](spark, sf_dir)))
+        s = summarize(catalog.QUERIES[name](spark, sf_dir))
         print(f"## {name}\n")
         print(f"- exchanges: {s['exchanges'] or 'none'}")
-        print(f"- joins: {s['joins'] or 'none'}; scalar subqueries: {s['subqueries']} "
-              f"(+{s['reused_subqueries']} reused)")
+        print(f"- joins: {s['joins'] or 'none'}; subqueries: {s['subqueries'] or 'none'}; scans: {len(s['scans'])}")
         print(f"- Python stages: {s['python'] or 'none'}")
         for t, pushed, cols in sorted(set(s["scans"])):
             print(f"- scan `{t}` reads [{cols}]" + (f", pushed: {pushed}" if pushed else ""))
