@@ -5,6 +5,7 @@ tables and extra columns with clashing names."""
 import hashlib
 import random
 import re
+import textwrap
 import zlib
 
 import numpy as np
@@ -308,6 +309,36 @@ def test_license_scan(spark, docs, empty):
     assert license_scan.scan(empty, license_scan.known_licences(spark)).count() == 0
 
 
+def wrappings(text):
+    """The text at several widths, by paragraph and as a whole, and on one line."""
+    fill = lambda t, n: textwrap.fill(" ".join(t.split()), n, break_long_words=False, break_on_hyphens=False)
+    paragraphs = [p for p in re.split(r"\n\s*\n", text) if p.strip()]
+    return [f(n) for n in (30, 60, 72, 78, 100, 132, 10**7) for f in (
+        lambda n: fill(text, n), lambda n: "\n\n".join(fill(p, n) for p in paragraphs))]
+
+
+def test_license_wrappings(spark):
+    known = license_scan.known_licences(spark)
+    every = [(i, t) for i, t in map(tuple, known.select("license_id", "text").collect())]
+    rows = [(k, form) for k, (_, text) in enumerate(every) for form in [text, *wrappings(text)]]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), known).collect()
+    assert len(got) == len(rows) and {(every[r["doc_id"]][0], r["license_id"]) for r in got} == {(i, i) for i, _ in every}
+    assert len({(r["doc_id"], r["digest"]) for r in got}) == len(every)
+
+
+def test_copyright_claims(spark):
+    mit = license_scan.KNOWN[0][1]
+    claims = ["Copyright (c) 2020 Someone", "// Copyright 2019-2021, A. B.", " * © Someone", "# (C) 2020 Someone", "Copyright The Foo Authors",
+              "All rights reserved.", "Copyright Google Inc. All Rights Reserved.", "Copyright [yyyy] [name of copyright owner]"]
+    wording = ["copyright notice", "(c) You must retain all notices", "COPYRIGHT HOLDERS BE LIABLE", "Copyright Holder means", "copyright law",
+               "(c) Copyright notices stay", "all rights reserved to the author"]
+    rows = [(0, mit), *((0, f"{c}\n{mit}") for c in claims), (0, "Copyright (c) 2020 Some One. All rights reserved. " + " ".join(mit.split()))]
+    rows += [(1 + k, f"{w}\nwords") for k, w in enumerate(wording)] + [(100, "words")]
+    got = license_scan.scan(spark.createDataFrame(rows, "doc_id long, text string"), license_scan.known_licences(spark)).collect()
+    assert {r["license_id"] for r in got if r["doc_id"] == 0} == {"MIT"}
+    assert len({r["digest"] for r in got if r["doc_id"] > 0}) == len(wording) + 1
+
+
 def test_token_counts(spark, docs, empty):
     vocabulary = token_counts.Vocabulary(PIECES)
 
