@@ -25,6 +25,9 @@ columns are ignored; empty tables give empty results.
 
 from __future__ import annotations
 
+import json
+from importlib.resources import files
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +42,19 @@ SPELLINGS = {
     "organised": "organized", "percent": "per cent", "programme": "program", "recognise": "recognize", "utilisation": "utilization",
     "whilst": "while", "wilful": "willful",
 }
+#: Further equal spellings, taken after those above; the oracle has only those above.
+MORE_SPELLINGS = {
+    "licencing": "licensing", "licencee": "licensee", "licencees": "licensees", "licencor": "licensor", "sublicence": "sublicense",
+    "sublicences": "sublicenses", "sublicenced": "sublicensed", "sublicencing": "sublicensing", "sub license": "sublicense",
+    "sub licenses": "sublicenses", "sub licensed": "sublicensed", "sub licensing": "sublicensing",
+    "copyright owner": "copyright holder", "copyright owners": "copyright holders", "https": "http",
+    "acknowledgements": "acknowledgments", "analyse": "analyze", "artefacts": "artifacts", "authorise": "authorize",
+    "calibre": "caliber", "cancelling": "canceling", "capitalisations": "capitalizations", "catalogue": "catalog", "categorise": "categorize",
+    "emphasised": "emphasized", "favours": "favors", "fulfilment": "fulfillment", "initialised": "initialized",
+    "judgements": "judgments", "labelling": "labeling", "maximise": "maximize", "modelled": "modeled", "modelling": "modeling",
+    "offence": "offense", "offences": "offenses", "optimise": "optimize", "organise": "organize", "practise": "practice",
+    "programmes": "programs", "realise": "realize", "recognised": "recognized", "signalling": "signaling", "utilise": "utilize", "wilfull": "willful",
+}
 COPYRIGHT_MARKS = ["copyright", "(c)", "©", "all rights reserved"]
 CLAIM_CHARS = 200
 #: What shows that a text may claim copyright.
@@ -46,7 +62,8 @@ _MARKED = r"(?i)copyright|\(c\)|©|&copy;|all rights reserved"
 _SIGN, _YEAR = r"(?:\(c\)|©|&copy;)", r"(?:(?:19|20)\d\d|\d?[\[<{](?:yyyy|years?|dates?|copyright|owner|name))"
 _BEGUN = rf"(?:copyright[\s:,-]*{_SIGN}|copyright[\s:,-]*{_YEAR}|{_SIGN}[\s:,-]*(?:copyright[\s:,-]*)?{_YEAR})"
 #: Words after a capital 'Copyright' that are no holder.
-_NO_HOLDER = "(?!(?i:notice|holder|owner|law|act|licen[cs]|statement|interest|right|disclaimer|protect|treat|claim|polic|and|or|in|of)s?)"
+_NO_HOLDER = (r"(?!(?i:(?:notice|holder|owner|statement|interest|right|disclaimer|licen[cs]|protect|treat|claim|polic)\w*|"
+              r"laws?|acts?|and|or|in|of|each|every|any|all|no|this|you|your|as|is)\b)")
 _HOLDER = rf"(?:{_SIGN}\s*)?Copyright[\s:,-]*(?:by\s+)?(?:[Tt]he\s+)?{_NO_HOLDER}[A-Z][a-z]"
 _COMMENT = r"[\s/*#;%!'\"<>|:.=~+-]*(?:(?i:dnl|rem)\s+)?"
 _CLAIM = rf"^{_COMMENT}(?:(?i:{_BEGUN}|©|&copy;)|{_HOLDER}|(?i:all rights reserved)\W*$)"
@@ -60,7 +77,7 @@ _OWN_CLAIM = (
     r"\[yyyy\]\s+\[name\s+of\s+copyright\s+owner\]|(?:<?year>?|19[xy]{2})\s+(?:<name\s+of\s+author>|name\s+of\s+author|your\s+name)|_+)")
 PUNCTUATION = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
-#: Known licences and notices, as their public texts state them.
+#: Known licences and notices, as their public texts state them; ``licences.json`` has more.
 KNOWN = [
     ("MIT", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
 documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use,
@@ -94,8 +111,8 @@ def canonical(text: Column) -> Column:
     kept = F.when(text.rlike(_MARKED), F.array_join(lines, " ")).otherwise(text)
     small = F.translate(kept, CAPITALS, SMALL)
     words = F.regexp_replace(F.concat(F.lit(" "), small, F.lit(" ")), PUNCTUATION, "  ")
-    for spelling, common in SPELLINGS.items():
-        words = F.replace(words, F.lit(f" {spelling} "), F.lit(f" {common.replace('-', '  ').replace(' ', '  ')} "))
+    for spelling, common in [*SPELLINGS.items(), *MORE_SPELLINGS.items()]:
+        words = F.replace(words, F.lit(f" {spelling.replace(' ', '  ')} "), F.lit(f" {common.replace('-', '  ').replace(' ', '  ')} "))
     return words
 
 
@@ -104,7 +121,12 @@ def digest(text: Column) -> Column:
 
 
 def known_licences(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(KNOWN, "license_id string, text string")
+    """``license_id, text``: ``KNOWN``, and the full texts in ``licences.json``
+    without a title and with each of their usual titles."""
+    rows = list(KNOWN)
+    for licence in json.loads(files(__package__).joinpath("licences.json").read_text("utf-8")):
+        rows += [(licence["license_id"], f"{title}\n\n{text}") for title in ["", *licence["titles"]] for text in licence["texts"]]
+    return spark.createDataFrame(rows, "license_id string, text string")
 
 
 def scan(docs: DataFrame, licences: DataFrame) -> DataFrame:

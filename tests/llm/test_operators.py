@@ -3,10 +3,12 @@ nulls in any column, empty and very long texts, ties, repeated rows, empty
 tables and extra columns with clashing names."""
 
 import hashlib
+import json
 import random
 import re
 import textwrap
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -326,9 +328,24 @@ def test_license_wrappings(spark):
     assert len({(r["doc_id"], r["digest"]) for r in got}) == len(every)
 
 
+def test_license_files(spark):
+    """Whole files as they stand in repositories."""
+    rows = [(i, Path(f"/usr/share/common-licenses/{i}").read_text()) for i in ("Apache-2.0", "CC0-1.0", "MPL-2.0", "GPL-2", "GPL-3", "LGPL-2.1", "LGPL-3")]
+    texts = {e["license_id"]: e["texts"][0] for e in json.loads(Path(license_scan.__file__).with_name("licences.json").read_text("utf-8"))}
+    rows += [("MIT", "The MIT License (MIT)\n\nCopyright (c) 2020 Some One\n\n" + license_scan.KNOWN[0][1]),
+             ("MIT", license_scan.KNOWN[0][1].replace("sublicense", "sub-license").replace("COPYRIGHT HOLDERS", "COPYRIGHT OWNERS")),
+             ("0BSD", "Zero-Clause BSD\n=============\n\n" + license_scan.KNOWN[1][1]),
+             ("ISC", "ISC License\n\nCopyright 2020 Some One\n\n" + texts["ISC"]), ("Unlicense", texts["Unlicense"].replace("http:", "https:")),
+             ("BSD-3-Clause", "BSD 3-Clause License\n\nCopyright (c) 2020, Some One\nAll rights reserved.\n\n" + texts["BSD-3-Clause"])]
+    frame = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["license_id"] for r in license_scan.scan(frame, license_scan.known_licences(spark)).collect()}
+    short = {"GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-3": "LGPL-3.0"}
+    assert [got[k] for k in range(len(rows))] == [short.get(i, i) for i, _ in rows]
+
+
 def test_copyright_claims(spark):
     mit = license_scan.KNOWN[0][1]
-    claims = ["Copyright (c) 2020 Someone", "// Copyright 2019-2021, A. B.", " * © Someone", "# (C) 2020 Someone", "Copyright The Foo Authors",
+    claims = ["Copyright (c) 2020 Someone", "// Copyright 2019-2021, A. B.", " * © Someone", "# (C) 2020 Someone", "Copyright The Foo Authors", "Copyright Oracle",
               "All rights reserved.", "Copyright Google Inc. All Rights Reserved.", "Copyright [yyyy] [name of copyright owner]"]
     wording = ["copyright notice", "(c) You must retain all notices", "COPYRIGHT HOLDERS BE LIABLE", "Copyright Holder means", "copyright law",
                "(c) Copyright notices stay", "all rights reserved to the author"]
