@@ -3,12 +3,14 @@
 Benchmark items and documents are normalised alike: A-Z lowered, every ASCII
 character that is not a letter or digit a blank, words parted by one blank.
 Runs of ten words of an item (or the whole item, if shorter) are the patterns
-of one automaton. Each task builds it once and scans every whole text once;
-matches are mapped back to words and to character offsets of the original.
+of an automaton, and every whole text is scanned; matches are mapped back to
+words and to character offsets of the original.
 
 The windows lie in a written table, in blocks of at most ``WINDOWS_PER_BLOCK``
-windows, so an automaton has a fixed size. A larger benchmark has more blocks;
-a text is then scanned once for each block. Documents are never shuffled.
+windows, so an automaton has a fixed size. With one block a task builds its
+automaton once. A larger benchmark has more blocks: they go one after the other
+over each slice of texts, so each is built once a slice, and a text is scanned
+once for each block. Documents are never shuffled.
 
 Null and empty texts have no words and no hits; null or empty items have no
 windows. A null ``item_id`` counts as the id ``''``; rows that repeat an id are
@@ -81,26 +83,37 @@ def _automaton(path: str) -> tuple[ahocorasick.Automaton, list[tuple[int, list[s
     return _automata[path]
 
 
-def _scan(text: bytes, blocks: list[str]) -> tuple[int, np.ndarray, set[str]]:
-    """Number of words, which words are hit, and the items."""
-    words = plain_words(text)
-    cover, items = np.zeros(len(words) + 1, np.int64), set()
-    if words:
-        line = b" " + b" ".join(words) + b" "
-        chars, blanks = line.decode("latin-1"), None
-        for path in blocks:
-            automaton, values = _automaton(path)
-            if not len(automaton):
+def _scan_all(texts: list[bytes], blocks: list[str]) -> Iterator[tuple[int, np.ndarray, set[str]]]:
+    """For each text the number of words, which words are hit, and the items.
+    Blocks go one after the other over all texts, so that one automaton is held and each is built once."""
+    counts = [0] * len(texts) if blocks else [len(plain_words(t)) for t in texts]
+    found: dict[int, tuple[np.ndarray, set[str]]] = {}
+    for path in blocks:
+        automaton, values = _automaton(path)
+        for i, text in enumerate(texts):
+            words = plain_words(text)
+            counts[i] = len(words)
+            if not words or not len(automaton):
                 continue
-            for end, value in automaton.iter(chars):
+            line = b" " + b" ".join(words) + b" "
+            blanks = None
+            for end, value in automaton.iter(line.decode("latin-1")):
                 if blanks is None:
                     blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
+                    cover, items = found.setdefault(i, (np.zeros(len(words) + 1, np.int64), set()))
                 after = int(np.searchsorted(blanks, end))  # words before this blank
                 size, of = values[value]
                 cover[after - size] += 1
                 cover[after] -= 1
                 items.update(of)
-    return len(words), np.cumsum(cover[:-1]) > 0, items
+    for i, n in enumerate(counts):
+        cover, items = found.get(i, (None, set()))
+        yield n, np.zeros(n, bool) if cover is None else np.cumsum(cover[:-1]) > 0, items
+
+
+def _scan(text: bytes, blocks: list[str]) -> tuple[int, np.ndarray, set[str]]:
+    """Those of one text."""
+    return next(_scan_all([text], blocks))
 
 
 def _spans(text: bytes, hit: np.ndarray) -> list[dict]:
@@ -121,8 +134,8 @@ def _scanned(blocks: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             out: list[list] = [[], [], [], []]
-            for text in utf8(batch.column(1)):
-                n, hit, items = _scan(text, blocks)
+            texts = list(utf8(batch.column(1)))
+            for text, (n, hit, items) in zip(texts, _scan_all(texts, blocks), strict=True):
                 for column, value in zip(out, (n, int(hit.sum()), sorted(items), _spans(text, hit)), strict=True):
                     column.append(value)
             kinds = [pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(_FOUND)]
@@ -169,6 +182,6 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = WINDOW)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            yield batch.filter(pa.array([not _scan(t, blocks)[2] for t in utf8(batch.column(at))], pa.bool_()))
+            yield batch.filter(pa.array([not items for _, _, items in _scan_all(list(utf8(batch.column(at))), blocks)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

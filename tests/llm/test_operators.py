@@ -12,6 +12,7 @@ from pathlib import Path
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from edulens.llm import (
     decontaminate,
@@ -173,6 +174,21 @@ def test_decontamination_in_blocks(spark, docs):
     assert decontaminate._scan(text, decontaminate._present(blocks))[1].all()
 
 
+def test_decontamination_builds_blocks_once(spark, docs, monkeypatch):
+    items = [(f"i{k}", " ".join(f"w{k}x{j}" for j in range(12))) for k in range(40)]
+    blocks = decontaminate._present(decontaminate.write_windows(spark.createDataFrame(items, "item_id string, text string"), per_block=40))
+    assert len(blocks) > 1
+    built = []
+    kind = decontaminate.ahocorasick.Automaton
+    monkeypatch.setattr(decontaminate.ahocorasick, "Automaton", lambda *a: built.append(1) or kind(*a))
+    decontaminate._automata.clear()
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(42)), "text": [*(t for _, t in items), None, "no hit"]})
+    (got,) = decontaminate._scanned(blocks)(iter([batch]))
+    found = got.to_pydict()
+    assert list(zip(found["n_words"], found["n_hit"], found["items"])) == [(12, 12, [i]) for i, _ in items] + [(0, 0, []), (2, 0, [])]
+    assert len(built) == len(blocks)
+
+
 def test_sharding(spark, docs, empty):
     got = sharding.shard_by_bytes(docs, shards=4).collect()
     sizes = sorted((r[0], len((r[1] or "").encode()) + 8, zlib.crc32((r[1] or "").encode())) for r in corpus() if r[0] is not None)
