@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from . import (
     decontaminate,
+    filter_audit,
     license_scan,
     mixing,
     ngram_join,
@@ -80,10 +81,14 @@ def op10_shard_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharded(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_index, op2_mix_sources, op3_token_shards, op4_license_digests, op5_ngram_jaccard, op6_toxicity,
-        op7_quality_rules, op8_token_counts, op9_decontaminate, op10_shard_bytes)
+        op7_quality_rules, op8_token_counts, op9_decontaminate, op10_shard_bytes, op11_filter_audit)
 }
 
-ORACLE: dict[str, str] = {"op4_license_digests": license_scan.oracle_sql()}
+ORACLE: dict[str, str] = {"op4_license_digests": license_scan.oracle_sql(), "op11_filter_audit": filter_audit.oracle_sql()}
