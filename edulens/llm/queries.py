@@ -16,6 +16,7 @@ from . import (
     mixing,
     ngram_join,
     quality,
+    quality_model,
     sharding,
     token_counts,
     token_files,
@@ -85,10 +86,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op12_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_model.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_index, op2_mix_sources, op3_token_shards, op4_license_digests, op5_ngram_jaccard, op6_toxicity,
-        op7_quality_rules, op8_token_counts, op9_decontaminate, op10_shard_bytes, op11_filter_audit)
+        op7_quality_rules, op8_token_counts, op9_decontaminate, op10_shard_bytes, op11_filter_audit, op12_quality_model)
 }
 
 ORACLE: dict[str, str] = {"op4_license_digests": license_scan.oracle_sql(), "op11_filter_audit": filter_audit.oracle_sql()}
