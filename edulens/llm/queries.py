@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
+    conversation_trie,
     decontaminate,
     filter_audit,
     license_scan,
@@ -90,10 +91,14 @@ def op12_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.prefix_trie(spark, *conversation_trie.rebuilt(_table(spark, sf_dir, "conversations")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_warc_index, op2_mix_sources, op3_token_shards, op4_license_digests, op5_ngram_jaccard, op6_toxicity,
-        op7_quality_rules, op8_token_counts, op9_decontaminate, op10_shard_bytes, op11_filter_audit, op12_quality_model)
+        op7_quality_rules, op8_token_counts, op9_decontaminate, op10_shard_bytes, op11_filter_audit, op12_quality_model, op13_conversation_trie)
 }
 
 ORACLE: dict[str, str] = {"op4_license_digests": license_scan.oracle_sql(), "op11_filter_audit": filter_audit.oracle_sql()}
