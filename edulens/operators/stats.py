@@ -12,15 +12,10 @@ non-NULL), which keeps |r| <= 1 when either side has gaps.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
-
 
 
 def q(name: str) -> str:
@@ -87,23 +82,22 @@ def linear_fit(df: DataFrame, x: str, y: str, by: Sequence[str] = ()) -> DataFra
     )
 
 
-def factor_table(df: DataFrame, y: str, factors: Sequence[str], name_col: str = "var") -> DataFrame:
+def factor_table(df: DataFrame, y: str, factors: Sequence[str], name_col: str = "var", by: Sequence[str] = ()) -> DataFrame:
     """Correlate many factor columns with one outcome in a single pass.
 
-    One global aggregation computes (n, r, slope) for every factor with
-    masked complete-pair moments; the one-row result is turned into one row
-    per factor. Output: ``var, n, r, slope`` ordered by |r| desc, NULLs last.
+    One aggregation (per group of ``by``) computes (n, r, slope) for every factor
+    with masked complete-pair moments; each aggregated row is turned into one row
+    per factor. Output: ``by``, ``var, n, r, slope`` ordered by ``by``, then |r|
+    desc, NULLs last.
     """
     aggs = []
     for i, f in enumerate(factors):
         _, _, both = _masked(f, y)
-        aggs += [f"count(CASE WHEN {both} THEN 1 END) AS n{i}", f"{pearson_sql(f, y)} AS r{i}",
-                 f"regr_slope({q(y)}, {q(f)}) AS s{i}"]
-    rows = ", ".join(f"named_struct('{name_col}', '{f}', 'n', CAST(n{i} AS BIGINT), 'r', r{i}, 'slope', s{i})"
-                     for i, f in enumerate(factors))
-    return (df.selectExpr(*aggs)
-              .selectExpr(f"inline(array({rows}))")
-              .orderBy(F.abs(F.col("r")).desc_nulls_last()))
+        aggs += [F.expr(f"count(CASE WHEN {both} THEN 1 END)").alias(f"n{i}"), pearson_expr(f, y).alias(f"r{i}"),
+                 slope_expr(f, y).alias(f"s{i}")]
+    rows = F.array(*[F.struct(F.lit(f).alias(name_col), F.col(f"n{i}").cast("long").alias("n"), F.col(f"r{i}").alias("r"),
+                              F.col(f"s{i}").alias("slope")) for i, f in enumerate(factors)])
+    return df.groupBy(*by).agg(*aggs).select(*by, F.inline(rows)).orderBy(*by, F.abs(F.col("r")).desc_nulls_last())
 
 
 def factor_table_union(df: DataFrame, y: str, factors: Sequence[str], name_col: str = "var") -> DataFrame:
@@ -122,79 +116,24 @@ def factor_table_union(df: DataFrame, y: str, factors: Sequence[str], name_col:
 
 # --- significance -----------------------------------------------------------
 
-def _betacf(a: np.ndarray, b: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Continued fraction for the regularized incomplete beta (modified Lentz)."""
-    tiny = 1e-300
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c = np.ones_like(x)
-    d = 1.0 - qab * x / qap
-    d = np.where(np.abs(d) < tiny, tiny, d)
-    d = 1.0 / d
-    h = d.copy()
-    for m in range(1, 300):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = np.where(np.abs(d) < tiny, tiny, d)
-        c = 1.0 + aa / c
-        c = np.where(np.abs(c) < tiny, tiny, c)
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if np.all(np.abs(delta - 1.0) < 1e-15):
-            break
-    return h
-
-
-def betainc_regularized(a, b, x) -> np.ndarray:
-    """I_x(a, b) for arrays, using the symmetry relation for convergence."""
-    a, b, x = (np.asarray(v, dtype=float) for v in (a, b, x))
-    out = np.full(np.broadcast(a, b, x).shape, np.nan)
-    a, b, x = np.broadcast_arrays(a, b, x)
-    ok = (x >= 0) & (x <= 1) & (a > 0) & (b > 0)
-    out[ok & (x == 0)] = 0.0
-    out[ok & (x == 1)] = 1.0
-    mid = ok & (x > 0) & (x < 1)
-    if np.any(mid):
-        am, bm, xm = a[mid], b[mid], x[mid]
-        lbeta = np.array([math.lgamma(p) + math.lgamma(q) - math.lgamma(p + q) for p, q in zip(am, bm)])
-        front = np.exp(np.log(xm) * am + np.log1p(-xm) * bm - lbeta)
-        direct = xm < (am + 1.0) / (am + bm + 2.0)
-        res = np.empty_like(xm)
-        if np.any(direct):
-            res[direct] = front[direct] * _betacf(am[direct], bm[direct], xm[direct]) / am[direct]
-        flip = ~direct
-        if np.any(flip):
-            res[flip] = 1.0 - front[flip] * _betacf(bm[flip], am[flip], 1.0 - xm[flip]) / bm[flip]
-        out[mid] = res
-    return out
-
-
-def t_two_sided_p(t: np.ndarray, df: np.ndarray) -> np.ndarray:
-    """Two-sided p-value of Student's t: I_{df/(df+t^2)}(df/2, 1/2)."""
-    t, df = np.asarray(t, dtype=float), np.asarray(df, dtype=float)
-    p = np.full(t.shape, np.nan)
-    ok = np.isfinite(df) & (df > 0) & ~np.isnan(t)
-    inf = ok & np.isinf(t)
-    p[inf] = 0.0
-    fin = ok & np.isfinite(t)
-    if np.any(fin):
-        x = df[fin] / (df[fin] + t[fin] ** 2)
-        p[fin] = betainc_regularized(df[fin] / 2.0, 0.5, x)
-    return p
-
-
-@F.pandas_udf(DoubleType())
-def _p_value_udf(t: pd.Series, dof: pd.Series) -> pd.Series:
-    p = t_two_sided_p(t.to_numpy(dtype=float, na_value=np.nan), dof.to_numpy(dtype=float, na_value=np.nan))
-    return pd.Series(p).where(~np.isnan(p), None)
+#: Intervals of the quadrature, and standard deviations that it covers.
+TAIL_STEPS, TAIL_WIDTH = 1000, 9
+
+
+def t_two_sided_p_sql(r: str, dof: str) -> str:
+    """Two-sided p of a Pearson r with ``dof`` = n - 2 degrees of freedom.
+
+    With t = sqrt(dof) * tan(a) the t density turns into cos(a)^(dof-1), and the
+    angle of t is asin|r|: p is the part of that curve's area beyond the angle.
+    Both areas are Simpson sums over at most ``TAIL_WIDTH`` / sqrt(dof), beyond
+    which less than 1e-17 of the area is left."""
+    def area(start: str) -> str:
+        stop = f"least(pi() / 2, {start} + {TAIL_WIDTH} / sqrt({dof}))"
+        weight = f"CASE WHEN k IN (0, {TAIL_STEPS}) THEN 1 WHEN k % 2 = 1 THEN 4 ELSE 2 END"
+        node = f"{start} + ({stop} - {start}) * k / {TAIL_STEPS}"
+        return (f"(({stop} - {start}) * aggregate(sequence(0, {TAIL_STEPS}), 0.0D, "
+                f"(s, k) -> s + {weight} * pow(greatest(cos({node}), 0.0D), {dof} - 1)))")
+    return f"least(1.0D, {area(f'asin(abs({r}))')} / {area('0.0D')})"
 
 
 def t_statistic_expr(n: Column, r: Column) -> Column:
@@ -204,15 +143,12 @@ def t_statistic_expr(n: Column, r: Column) -> Column:
 
 
 def with_significance(df: DataFrame, n_col: str = "n", r_col: str = "r") -> DataFrame:
-    """Add ``t`` and two-sided ``p`` (Pearson r test, df = n-2) to aggregated
-    rows. The p-value is an Arrow-batched pandas UDF over the already
-    aggregated rows (no t distribution exists among Spark's built-ins)."""
+    """Add ``t`` and two-sided ``p_value`` (Pearson r test, n - 2 degrees of
+    freedom) to aggregated rows: 0 for |r| = 1, NULL for n <= 2 or no r."""
     n, r = F.col(n_col), F.col(r_col)
-    t = t_statistic_expr(n, r)
-    out = df.withColumn("t", t)
-    p = (F.when((n > 2) & (F.abs(r) >= 1), F.lit(0.0))
-          .when((n > 2) & r.isNotNull(), _p_value_udf(F.col("t"), (n - 2).cast("double"))))
-    return out.withColumn("p_value", p)
+    tail = F.expr(t_two_sided_p_sql(q(r_col), f"({q(n_col)} - 2)"))
+    return df.withColumn("t", t_statistic_expr(n, r)).withColumn(
+        "p_value", F.when((n > 2) & (F.abs(r) >= 1), F.lit(0.0)).when((n > 2) & r.isNotNull(), tail))
 
 
 # --- 2-D histogram --------------------------------------------------------------
