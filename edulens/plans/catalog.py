@@ -39,6 +39,7 @@ COMPARISONS = [("query1", ("view", "0"), ("view", "1")),
                ("query3", ("purchase", "1"), ("signup", "2"))]
 GRID_SIZES = [10000, 20000, 30000, 40000, 50000, 60000]
 PREFIX_ROWS = 30000
+SWEEP_CAPS = [1000, 2000, 5000, 10000, 20000, 50000, 100000, 200000, 300000, 400000, 500000]
 PREFIX_MATH_ROWS_AFTER = 5000
 PREFIX_SCHOOLS_AFTER = 60
 LOOKUP_KEY = 17
@@ -167,6 +168,22 @@ def prefix_before_filter(spark, d):
     return raw.q1_factor_corr(math, dt.demographic_factors(spark, d), FACTOR_MAP)
 
 
+def _staged(spark):
+    """Writes a table to the shared folder and reads it back."""
+    root = scratch_folder(spark, "sweep")
+
+    def stage(name, df):
+        df.write.parquet(f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+    return stage
+
+
+def q1_prefix_sweep(spark, d):
+    """Q1 at every cap of the published benchmark, from one pass over the rows."""
+    return raw.q1_prefix_sweep(dt.math_assessment(spark, d), dt.demographic_factors(spark, d), SWEEP_CAPS, ["ROW_ID"],
+                               FACTOR_MAP, stage=_staged(spark))
+
+
 def prefix_after_filter(spark, d):
     math = prefix_by_key(dt.math_assessment(spark, d, YEAR), PREFIX_MATH_ROWS_AFTER, ["ROW_ID"])
     att = dt.attendance(spark, d, YEAR)
@@ -457,6 +474,7 @@ QUERIES: dict[str, Query] = {
     "latency_trend": latency_trend,
     "prefix_before_filter": prefix_before_filter,
     "prefix_after_filter": prefix_after_filter,
+    "q1_prefix_sweep": q1_prefix_sweep,
     "top_k_excluding_suffix": top_k_excluding_suffix,
     "top_k_sql_params": top_k_sql_params,
     "log_append_keys": log_append_keys,

@@ -16,6 +16,7 @@ from edulens.functions import (label_contains, label_startswith, not_like_ci, po
                                to_number, year_equals, year_of)
 from edulens.operators.quantiles import clip_above_quantile
 from edulens.operators.rates import guarded_ratio
+from edulens.operators.relational import cap_intervals
 from edulens.operators.stats import (factor_table, factor_table_union, hist2d, pair_count_expr,
                                      pearson, pearson_expr, slope_expr, intercept_expr, with_significance)
 
@@ -90,6 +91,39 @@ def q1_factor_corr(math_src: DataFrame, demo: DataFrame, factors: Mapping[str, s
     return fn(base, "math_prof_rate", list(factors.values()))
 
 
+def q1_prefix_sweep(math_src: DataFrame, demo: DataFrame, caps: Sequence[int], order_cols: Sequence[str],
+                    factors: Mapping[str, str] = Q1_FACTORS, all_prefix: str = ALL_PREFIX, stage=lambda name, df: df
+                    ) -> DataFrame:
+    """:func:`q1_factor_corr` of the first n rows of ``math_src`` for every n of
+    the ascending ``caps``: cap, var, n, r, slope.
+
+    The rows are cut once into intervals between caps, and summed up by school,
+    year and interval. The sums of a cap are running sums over the intervals, and
+    its latest year is the running maximum, so neither input is read again for
+    another cap. ``stage(name, df)`` may write the two small tables that are read
+    more than once; without it the plan stays lazy. A cap without pairs has n = 0.
+    """
+    kept = label_startswith("SUBGROUP_NAME", all_prefix) & label_contains("ASSESSMENT_NAME", MATH_WORD)
+    slim = math_src.select(*order_cols, kept.alias("kept"), F.col("ENTITY_CD").alias("entity_cd"), year_of(math_src, "YEAR").alias("year"),
+                           to_number(math_src, "NUM_PROF", integral=True).alias("prof"),
+                           to_number(math_src, "NUM_TESTED", integral=True).alias("tested"))
+    rows = cap_intervals(stage("rows", slim), caps, order_cols).where("kept")
+    copies = F.col("copies")
+    sums = stage("sums", rows.groupBy("entity_cd", "year", "cap").agg(
+        F.sum(F.col("prof") * copies).alias("prof"), F.sum(F.col("tested") * copies).alias("tested")))
+    held = lambda n, c: F.when(F.col("cap") <= n, F.col(c))
+    newest = sums.agg(F.array(*[F.max(held(n, "year")) for n in caps]).alias("y")).scalar()
+    running = F.array(*[F.struct(F.lit(int(n)).cast("long").alias("cap"), F.sum(held(n, "prof")).alias("prof"),
+                                 F.sum(held(n, "tested")).alias("tested"), F.lit(i).alias("at")) for i, n in enumerate(caps)])
+    rates = (sums.groupBy("entity_cd", "year").agg(running.alias("caps"))
+             .join(q1_demo(demo, factors), ["entity_cd", "year"], "left")
+             .select("year", *factors.values(), F.inline("caps"))
+             .withColumn("rate", guarded_ratio("prof", "tested", 1.0)))
+    counts = (F.col("year") == F.get(newest, F.col("at"))) & positive("rate")
+    pairs = rates.select("cap", *factors.values(), F.when(counts, F.col("rate")).alias("math_prof_rate"))
+    return factor_table(pairs, "math_prof_rate", list(factors.values()), by=["cap"])
+
+
 def q1_fixed_period(math_src: DataFrame, demo: DataFrame, year: int, factors: Mapping[str, str] = Q1_FACTORS,
                     all_prefix: str = ALL_PREFIX) -> DataFrame:
     """Factor table for a given year (``year = {year}``), zero rates kept."""
