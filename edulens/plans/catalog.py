@@ -9,8 +9,11 @@ version) an exact one.
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,10 +23,15 @@ from edulens.functions import (clean_digit_text, clean_int, clean_real, label_co
                                not_like_ci, in_values, positive, flag_is)
 from edulens.operators import records
 from edulens.operators.relational import prefix_by_key
-from edulens.plans import raw, runlog, star as starplans
-from edulens.schemas import RUNLOG_FOREIGN_KEYS, RUNLOG_NOT_NULL, RUNLOG_PRIMARY_KEYS
+from edulens.operators.stats import pearson_expr
+from edulens.plans import raw, runlog, specs, star as starplans
+from edulens.plans.steps import run_steps, run_together
+from edulens.schemas import DRIVER_TABLES, RUNLOG_FOREIGN_KEYS, RUNLOG_NOT_NULL, RUNLOG_PRIMARY_KEYS
 from edulens.session import file_state, scratch_folder
 from edulens.sources import driver_tables as dt
+from edulens.sources import registry
+from edulens.sources.published import published
+from edulens.sources.registry import Database, TableSource, register_database, star_database
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -245,7 +253,7 @@ def build_star_from_driver(spark: SparkSession, d: str, stage=None) -> starplans
 
 
 #: The written star of a folder, and the state of the files it was built from.
-_STARS: dict[tuple[str, str], tuple[tuple, starplans.StarTables]] = {}
+_STARS: dict[tuple[str, str], tuple[tuple, starplans.StarTables, str]] = {}
 STAR_SOURCES = ("lineitem", "orders", "customer", "supplier")
 
 
@@ -257,15 +265,16 @@ def star_tables(spark: SparkSession, d: str) -> starplans.StarTables:
     """Star tables for ``d``, written under the shared checkpoint folder (ETL
     once, then every star analysis reads the written tables, as star queries
     read a prebuilt star schema). Built anew when a file of ``d`` has changed."""
-    built_from, star = _STARS.get((spark.sparkContext.applicationId, d), (None, None))
+    built_from, star, _ = _STARS.get((spark.sparkContext.applicationId, d), (None, None, None))
     return star if star and built_from == _star_state(spark, d) else materialize_star(spark, d)
 
 
 def materialize_star(spark: SparkSession, d: str) -> starplans.StarTables:
     """Build the star once and write it to the shared checkpoint folder."""
     state = _star_state(spark, d)
-    star = starplans.materialize(lambda stage: build_star_from_driver(spark, d, stage), scratch_folder(spark, "star"))
-    _STARS[(spark.sparkContext.applicationId, d)] = state, star
+    root = scratch_folder(spark, "star")
+    star = starplans.materialize(lambda stage: build_star_from_driver(spark, d, stage), root)
+    _STARS[(spark.sparkContext.applicationId, d)] = state, star, root
     return star
 
 
@@ -419,6 +428,82 @@ def category_counts(spark, d):
     return p.groupBy("p_type").agg(F.count(F.lit(1)).cast("long").alias("n"))
 
 
+# --- registered databases and ordered steps ------------------------------------------
+
+def school_catalog(spark: SparkSession, d: str) -> dict[str, str]:
+    """The published databases of ``d`` and its star as namespaces of the
+    session catalog: name -> name in the catalog, which carries the folder's mark
+    so that several folders can be registered at once."""
+    dbs = published(spark, d)
+    star_tables(spark, d)
+    star_root = _STARS[(spark.sparkContext.applicationId, d)][2]
+    mark = "x" + re.sub(r"\W", "", (dbs[0].tables[0].path.split("/")[-3] + star_root.split("/")[-1]).replace("published", "").replace("star", "")) + "_"
+    known = {db.name: mark + db.name for db in [*dbs, star_database(star_root)]}
+    if not spark.catalog.databaseExists(known["star_schema"]):
+        for db in [*dbs, star_database(star_root)]:
+            register_database(spark, db, mark)
+    return known
+
+
+QUALIFIED_SQL = """
+SELECT coalesce(new.entity_cd, old.entity_cd) AS entity_cd, coalesce(new.year, old.year) AS year,
+       new.n_rows AS rows_new, old.n_rows AS rows_old, new.tested AS tested_new, old.tested AS tested_old
+FROM (SELECT ENTITY_CD AS entity_cd, CAST(YEAR AS INT) AS year, count(*) AS n_rows,
+             sum(try_cast(replace(NUM_TESTED, ',', '') AS BIGINT)) AS tested
+      FROM IDENTIFIER(:new || '.annual_em_math') GROUP BY 1, 2) new
+FULL JOIN (SELECT ENTITY_CD AS entity_cd, CAST(YEAR AS INT) AS year, count(*) AS n_rows,
+             sum(try_cast(replace(NUM_TESTED, ',', '') AS BIGINT)) AS tested
+      FROM IDENTIFIER(:old || '.annual_em_math') GROUP BY 1, 2) old
+  ON new.entity_cd = old.entity_cd AND new.year = old.year
+"""
+
+
+def qualified_scan(spark, d):
+    """Two releases of one table side by side, each by its database's name."""
+    known = school_catalog(spark, d)
+    return spark.sql(QUALIFIED_SQL, args={"new": known["reportcard_database_23_24"], "old": known["reportcard_database_22_23"]})
+
+
+def schema_report(spark, d):
+    """Columns of the driver's tables as registered, with keys and nullability of the run log's."""
+    names = [*DRIVER_TABLES]
+    tables = tuple(TableSource(n, f"{d}/{n}.parquet") for n in names)
+    name = register_database(spark, Database("driver", tables), "s" + hashlib.sha256(d.encode()).hexdigest()[:12] + "_")
+    report = registry.schema_report(spark, [name], {"supplier": "s_suppkey", "customer": "c_custkey", "orders": "o_orderkey"})
+    return report.drop("database_name")
+
+
+def spec_baseline_query1(spark, d):
+    """Q1 run as ordered steps from the published tables."""
+    return run_steps(spark, specs.BASELINE_1, school_catalog(spark, d))
+
+
+def spec_versions(spark, d):
+    """Two versions of one query at the same time, each in a session of its own:
+    the points' own correlation, and the one of the correlating version."""
+    points, corr = run_together(spark, [specs.BASELINE_2_POINTS, specs.BASELINE_2], school_catalog(spark, d),
+                                year=YEAR, district=dt.DISTRICT_PATTERN)
+    x, y = "ATTENDANCE_RATE", "math_prof_rate"
+    first = points.agg(F.count(F.lit(1)).alias("n"), pearson_expr(x, y).alias("correlation"))
+    return (first.select(F.lit("1.2").alias("version"), "n", "correlation")
+            .unionByName(corr.select(F.lit("2.2").alias("version"), F.lit(None).cast("long").alias("n"), "correlation")))
+
+
+def spec_correlations(spark, d):
+    """The specs with one correlation, run at the same time."""
+    chosen = [specs.BASELINE_2, specs.BASELINE_3, specs.STAR_3]
+    found = run_together(spark, chosen, school_catalog(spark, d), year=YEAR, district=dt.DISTRICT_PATTERN)
+    rows = [df.select(F.lit(s.name).alias("name"), F.lit(s.version).alias("version"), "correlation") for s, df in zip(chosen, found)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def spec_star_versions(spark, d):
+    """The share query of the star in its stepwise and its direct version, side by side."""
+    steps, direct = run_together(spark, [specs.STAR_1_STEPS, specs.STAR_1_SHARE], school_catalog(spark, d), year=YEAR)
+    return (steps.withColumnRenamed("correlation", "by_steps")
+            .join(direct.withColumnRenamed("correlation", "direct"), "subgroup_name", "full"))
+
+
 # --- sources and sinks ---------------------------------------------------------------
 
 def catalog_copy_report(spark, d):
@@ -488,6 +573,12 @@ QUERIES: dict[str, Query] = {
     "wide_school_year": wide_school_year,
     "catalog_copy_report": catalog_copy_report,
     "csv_round_trip": csv_round_trip,
+    "qualified_scan": qualified_scan,
+    "schema_report": schema_report,
+    "spec_baseline_query1": spec_baseline_query1,
+    "spec_versions": spec_versions,
+    "spec_correlations": spec_correlations,
+    "spec_star_versions": spec_star_versions,
 }
 
 

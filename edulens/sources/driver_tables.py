@@ -66,7 +66,8 @@ def _year_range(df: DataFrame, year: int | None) -> DataFrame:
                     & (F.col("l_shipdate") < F.lit(hi).cast("timestamp_ntz")))
 
 
-def _lineitem(spark, sf_dir, year, *cols) -> DataFrame:
+def read_lineitem(spark, sf_dir, year, *cols) -> DataFrame:
+    """Lineitems with their date, of one year when it is given."""
     return _year_range(read(spark, sf_dir, "lineitem", "l_shipdate", *cols), year)
 
 
@@ -81,7 +82,7 @@ def math_assessment(spark: SparkSession, sf_dir: str, year: int | None = None,
                     with_subgroups: bool = False) -> DataFrame:
     """'Annual EM MATH' analog: one 'All Students' row per lineitem, plus one
     row per lineitem under its customer's segment when ``with_subgroups``."""
-    li = _lineitem(spark, sf_dir, year, "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
+    li = read_lineitem(spark, sf_dir, year, "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_returnflag")
 
     def shape(df: DataFrame, subgroup: Column) -> DataFrame:
         return df.select(
@@ -105,7 +106,7 @@ def demographic_factors(spark: SparkSession, sf_dir: str, year: int | None = Non
     """'Demographic Factors' analog per (school, year): NUM_<SEGMENT> = quantity
     bought by customers of the segment, PER_<SEGMENT> = its percent of the
     school's quantity (one pass of conditional sums)."""
-    li = _lineitem(spark, sf_dir, year, "l_orderkey", "l_suppkey", "l_quantity")
+    li = read_lineitem(spark, sf_dir, year, "l_orderkey", "l_suppkey", "l_quantity")
     rows = _with_segment(spark, sf_dir, li).select(
         entity_code("l_suppkey").alias("ENTITY_CD"), F.year("l_shipdate").cast("double").alias("YEAR"),
         "c_mktsegment", "l_quantity")
@@ -124,7 +125,7 @@ def _names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def attendance(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """'Attendance' analog per (school, year)."""
-    li = _lineitem(spark, sf_dir, year, "l_suppkey", "l_quantity", "l_discount")
+    li = read_lineitem(spark, sf_dir, year, "l_suppkey", "l_quantity", "l_discount")
     li = li.select("l_suppkey", F.year("l_shipdate").alias("y"), "l_quantity",
                    (F.col("l_discount") * 100).alias("absence"))
     att = weighted_mean(li, ["l_suppkey", "y"], "absence", "l_quantity", name="absence_rate",
@@ -149,7 +150,7 @@ def expenditures(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def suspensions(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """'Suspensions' analog: returned items per (school, year)."""
-    li = _lineitem(spark, sf_dir, year, "l_suppkey", "l_returnflag")
+    li = read_lineitem(spark, sf_dir, year, "l_suppkey", "l_returnflag")
     agg = (li.groupBy("l_suppkey", F.year("l_shipdate").alias("y"))
              .agg(F.count(F.when(F.col("l_returnflag") == "R", F.lit(1))).alias("k"), F.count(F.lit(1)).alias("m")))
     names = _names(spark, sf_dir)

@@ -8,6 +8,8 @@ spaces included (``spark.table("`Annual EM MATH`")``).
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
 
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from edulens import schemas
+from edulens.session import checkpoint_root, hadoop_fs
 
 
 @dataclass(frozen=True)
@@ -23,6 +26,7 @@ class TableSource:
     path: str                 # parquet location (file or folder)
     schema: StructType | None = None
     fmt: str = "parquet"
+    partitions: tuple[str, ...] = ()  # columns that are folders
 
 
 @dataclass(frozen=True)
@@ -83,17 +87,77 @@ def school_databases(root: str) -> list[Database]:
 
 
 def star_database(root: str) -> Database:
-    return Database("star_schema", tuple(TableSource(n, f"{root}/{n}", s) for n, s in schemas.STAR_TABLES.items()))
-
-
-def driver_database(sf_dir: str, names: Iterable[str] | None = None) -> Database:
-    names = list(names or schemas.DRIVER_TABLES)
-    return Database("driver", tuple(TableSource(n, f"{sf_dir}/{n}.parquet", schemas.DRIVER_TABLES.get(n))
-                                    for n in names))
-
-
-def tables_by_name(frames: Mapping[str, DataFrame], *names: str) -> list[DataFrame]:
-    return [frames[n] for n in names]
+    return Database("star_schema", tuple(TableSource(n, f"{root}/{n}", s, partitions=("year_key",) if n.startswith("fact_") else ())
+                                         for n, s in schemas.STAR_TABLES.items()))
+
+
+# --- namespaces of the session catalog -----------------------------------------------
+
+#: Topics of the published databases and the school years of their releases (fixed values).
+TOPICS = ["student_educator", "reportcard", "grad_rate", "pathways", "enrollment", "digital_resources", "ap_ib_course",
+          "ap_ib_assessment", "ell"]
+#: Table property with the columns that the declared schema has as NOT NULL.
+NOT_NULL = "edulens.not_null"
+DATABASES = [f"{topic}_database_{release}" for release in ("23_24", "22_23") for topic in TOPICS]
+
+
+def table_name(published: str) -> str:
+    """The catalog name of a published table: the session catalog takes letters,
+    digits and underscores only ('Annual EM MATH' -> annual_em_math)."""
+    return re.sub(r"\W+", "_", published.strip()).strip("_").lower()
+
+
+def register_database(spark: SparkSession, db: Database, prefix: str = "") -> str:
+    """Make ``db`` a namespace of the session catalog with one external table of
+    declared schema for each source, so that queries of any session name them
+    ``database.table`` and equal table names of two releases never meet. A source
+    without a schema gets that of its files. Tables that are already registered
+    are registered anew; their files are never touched. Returns the name."""
+    name = prefix + db.name
+    home = f"{checkpoint_root(spark).rstrip('/')}/edulens/namespaces/{name}"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)} LOCATION '{home}'")
+    for t in db.tables:
+        full = f"{quoted(name)}.{quoted(table_name(t.name))}"
+        spark.sql(f"DROP TABLE IF EXISTS {full}")
+        schema = t.schema or spark.read.format(t.fmt).load(t.path).schema
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+        # tables over files take NULL in every column; what the schema declares is kept beside it
+        declared = json.dumps([f.name for f in schema.fields if not f.nullable]).replace("'", "''")
+        folders = f" PARTITIONED BY ({', '.join(map(quoted, t.partitions))})" if t.partitions else ""
+        spark.sql(f"CREATE TABLE {full} ({columns}) USING {t.fmt}{folders} LOCATION '{t.path}' TBLPROPERTIES ('{NOT_NULL}' = '{declared}')")
+        if t.partitions:
+            spark.catalog.recoverPartitions(full)
+    return name
+
+
+def discover(spark: SparkSession, name: str, path: str) -> Database:
+    """A database from the folders of ``path``, one table each, e.g. what a catalog copy has written."""
+    fs, where = hadoop_fs(spark, path)
+    folders = sorted(s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()) if fs.exists(where) else []
+    return Database(name, tuple(TableSource(f, f"{path}/{f}") for f in folders if not f.startswith(("_", "."))))
+
+
+def drop_database(spark: SparkSession, name: str) -> None:
+    """Drop the namespace and its table entries; the files of external tables stay."""
+    spark.sql(f"DROP DATABASE IF EXISTS {quoted(name)} CASCADE")
+
+
+def schema_report(spark: SparkSession, names: Iterable[str], primary_keys: Mapping[str, str] | None = None) -> DataFrame:
+    """database, table, position, column, type, pk and not_null of every column
+    of the registered tables, from their declared schemas (files say 'nullable'
+    of every column)."""
+    pks, rows = dict(primary_keys or {}), []
+    for name in names:
+        for t in spark.catalog.listTables(name):
+            if t.isTemporary:
+                continue
+            full = f"{quoted(name)}.{quoted(t.name)}"
+            properties = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {full}").collect()}
+            required = json.loads(properties.get(NOT_NULL, "[]"))
+            for i, c in enumerate(spark.catalog.listColumns(full)):
+                rows.append((name, t.name, i + 1, c.name, c.dataType, pks.get(t.name) == c.name, c.name in required))
+    return spark.createDataFrame(rows, "database_name string, table_name string, position int, column_name string, "
+                                       "data_type string, pk boolean, not_null boolean")
 
 
 def materialize_view(df: DataFrame, name: str) -> DataFrame:
