@@ -24,7 +24,8 @@ from edulens.functions import (clean_digit_text, clean_int, clean_real, label_co
 from edulens.operators import records
 from edulens.operators.relational import prefix_by_key
 from edulens.operators.stats import pearson_expr
-from edulens.plans import raw, runlog, specs, star as starplans
+from edulens.operators.rates import grouped_rate
+from edulens.plans import raw, runlog, specs, star as starplans, star_load
 from edulens.plans.steps import run_steps, run_together
 from edulens.schemas import DRIVER_TABLES, RUNLOG_FOREIGN_KEYS, RUNLOG_NOT_NULL, RUNLOG_PRIMARY_KEYS
 from edulens.session import file_state, scratch_folder
@@ -311,6 +312,68 @@ def star_facts(spark, d):
     return fa.unionByName(fe).unionByName(fat)
 
 
+#: Fixed values of the two loads: the first has older years and four schools in five, the second all schools;
+#: the year between is in both and the second replaces it.
+FIRST_YEARS, SECOND_YEARS = (1995, 1996, 1997, 1998), (1998, 1999, 2000, 2001)
+_LOADED: dict[tuple[str, str], tuple[tuple, str, DataFrame]] = {}
+
+
+def _load_batch(spark: SparkSession, d: str, years: tuple[int, ...], some: bool) -> star_load.Batch:
+    schools = dt.read(spark, d, "supplier", "s_suppkey", "s_name").select(
+        dt.entity_code("s_suppkey").alias("ENTITY_CD"), F.col("s_name").alias("ENTITY_NAME"))
+    keep = lambda df: df.where(F.col("ENTITY_CD").cast("long") % 5 != 0) if some else df
+    return star_load.Batch(years, *[keep(df) for df in (dt.subject_assessment(spark, d), dt.demographic_factors(spark, d),
+                                                        dt.attendance(spark, d), schools)], COUNT_MAP, dt.ALL_STUDENTS)
+
+
+def loaded_star(spark: SparkSession, d: str) -> tuple[starplans.StarTables, DataFrame]:
+    """The star after both loads, and its members (table, key, code) after the first."""
+    key, state = (spark.sparkContext.applicationId, d), file_state(spark, *[f"{d}/{n}.parquet" for n in (*STAR_SOURCES, "part")])
+    if _LOADED.get(key, (None,))[0] != state:
+        root = scratch_folder(spark, "loads")
+        first = star_load.load_star(spark, f"{root}/star", _load_batch(spark, d, FIRST_YEARS, True), 1)
+        _members(first).write.parquet(f"{root}/members")
+        star_load.load_star(spark, f"{root}/star", _load_batch(spark, d, SECOND_YEARS, False), 2)
+        _LOADED[key] = state, root, spark.read.parquet(f"{root}/members")
+    _, root, members = _LOADED[key]
+    return star_load.read_star(spark, f"{root}/star"), members
+
+
+def _members(star: starplans.StarTables) -> DataFrame:
+    return reduce(DataFrame.unionByName, [
+        getattr(star, name).select(F.lit(name).alias("table_name"), F.col(key).cast("long").alias("key"), F.col(code).alias("code"))
+        for name, (key, _, code, _) in star_load.DIMENSIONS.items()])
+
+
+def star_incremental(spark, d):
+    """All facts after two loads, by their members' codes."""
+    return star_load.by_codes(loaded_star(spark, d)[0])
+
+
+def star_key_stability(spark, d):
+    """Of each dimension: members after the first load, how many have the same
+    key and code after the second, new members and the first key of these."""
+    star, before = loaded_star(spark, d)
+    now = _members(star)
+    old = before.select("table_name", "key", "code", F.lit(True).alias("old"))
+    new = F.col("old").isNull()
+    return (now.join(old, ["table_name", "key", "code"], "left").groupBy("table_name").agg(
+        F.count_if(~new).alias("kept"), F.count_if(new).alias("added"), F.min(F.when(new, F.col("key"))).alias("first_added"),
+        F.countDistinct("key").alias("keys"), F.countDistinct("code").alias("codes"))
+        .join(before.groupBy("table_name").agg(F.count(F.lit(1)).alias("members_before")), "table_name"))
+
+
+def star_subject_rates(spark, d):
+    """Rates of one subject and of all, by school, from the loaded star of several subjects."""
+    star, _ = loaded_star(spark, d)
+    one = starplans.math_school_star(star, year=YEAR, all_name=dt.ALL_STUDENTS).select("school_key", "math_prof_rate")
+    group = star.dim_subgroup.where(F.col("subgroup_name") == dt.ALL_STUDENTS).select("subgroup_key")
+    every = grouped_rate(star.fact_assessment.where(F.col("year_key") == YEAR).join(group, "subgroup_key"), ["school_key"],
+                         "n_qual", "tested", 100.0, "any_rate").select("school_key", "any_rate")
+    return (every.join(one, "school_key", "left").join(star.dim_school, "school_key")
+            .select("school_id", "school_name", "math_prof_rate", "any_rate"))
+
+
 def q1_factor_corr_star(spark, d):
     return starplans.q1_factor_corr_star(star_tables(spark, d), FACTOR_IDS)
 
@@ -540,6 +603,9 @@ QUERIES: dict[str, Query] = {
     "star_dims": star_dims,
     "star_facts": star_facts,
     "star_reconciliation": star_reconciliation,
+    "star_incremental": star_incremental,
+    "star_key_stability": star_key_stability,
+    "star_subject_rates": star_subject_rates,
     "q1_factor_corr_star": q1_factor_corr_star,
     "q1_share_corr_star": q1_share_corr_star,
     "q2_points_star": q2_points_star,

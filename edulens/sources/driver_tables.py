@@ -102,6 +102,25 @@ def math_assessment(spark: SparkSession, sf_dir: str, year: int | None = None,
     return out
 
 
+#: The part type whose lines are mathematics; the other types are subjects of their own.
+MATH_TYPE = "STANDARD"
+
+
+def subject_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Assessment rows of several subjects (the part's type), of all students and of each segment."""
+    li = read_lineitem(spark, sf_dir, None, "l_orderkey", "l_suppkey", "l_partkey", "l_quantity", "l_returnflag")
+    part = read(spark, sf_dir, "part", "p_partkey", "p_type")
+    math = F.col("p_type") == MATH_TYPE
+    rows = _with_segment(spark, sf_dir, li).join(part, F.col("l_partkey") == part.p_partkey)
+    return rows.select(
+        entity_code("l_suppkey").alias("ENTITY_CD"), F.year("l_shipdate").cast("double").alias("YEAR"),
+        F.when(math, "Math").otherwise(F.col("p_type")).alias("SUBJECT_ID"),
+        F.when(math, "Mathematics").otherwise(F.initcap("p_type")).alias("SUBJECT_NAME"),
+        F.explode(F.array(F.lit(ALL_STUDENTS), F.col("c_mktsegment"))).alias("SUBGROUP_NAME"),
+        F.col("l_quantity").alias("NUM_TESTED"),
+        F.when(F.col("l_returnflag") == "R", F.col("l_quantity")).otherwise(F.lit(0.0)).alias("NUM_PROF"))
+
+
 def demographic_factors(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """'Demographic Factors' analog per (school, year): NUM_<SEGMENT> = quantity
     bought by customers of the segment, PER_<SEGMENT> = its percent of the
