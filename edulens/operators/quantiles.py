@@ -49,12 +49,15 @@ def _covers(rank: Column) -> Column:
 
 def exact_quantiles(df: DataFrame, value_col: str, stats: Mapping[str, tuple],
                     group_cols: Sequence[str] = (), count_name: str | None = "n",
-                    num_slices: int | None = None) -> DataFrame:
+                    num_slices: int | None = None, weight_col: str | None = None) -> DataFrame:
     """One row per group with the requested exact statistics of ``value_col``
-    (NULL values ignored; groups with no value are absent)."""
+    (NULL values ignored; groups with no value are absent). With ``weight_col``
+    a row stands for that many values, e.g. in a table of counts."""
     g = list(group_cols)
-    counted = (df.where(F.col(value_col).isNotNull())
-                 .groupBy(*g, value_col).agg(F.count(F.lit(1)).alias(_COUNT)))
+    times = F.count(F.lit(1)) if weight_col is None else F.sum(F.col(weight_col)).cast("long")
+    counted = df.where(F.col(value_col).isNotNull()).groupBy(*g, value_col).agg(times.alias(_COUNT))
+    if weight_col is not None:
+        counted = counted.where(F.col(_COUNT) > 0)
     ranked = prefix_weights(counted, [value_col], g, _COUNT, num_slices)
     n = F.col(TOTAL)
     targets = {name: _targets(spec, n) for name, spec in stats.items()}

@@ -21,7 +21,7 @@ from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType, Byt
 
 from edulens.functions import (clean_digit_text, clean_int, clean_real, label_contains, label_startswith,
                                not_like_ci, in_values, positive, flag_is)
-from edulens.operators import records
+from edulens.operators import ranged, records
 from edulens.operators.relational import prefix_by_key
 from edulens.operators.stats import pearson_expr
 from edulens.operators.rates import grouped_rate
@@ -33,6 +33,7 @@ from edulens.sources import driver_tables as dt
 from edulens.sources import registry
 from edulens.sources.published import published
 from edulens.sources.registry import Database, TableSource, register_database, star_database
+from edulens.streaming import runlog_ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -447,6 +448,55 @@ def log_lookup(spark, d):
     return records.lookup(launch, "launch_id", LOOKUP_KEY)
 
 
+#: Keys of a range of the run log's laid-out tables, and a run-time list: every such key (fixed values)
+RANGE_WIDTH, LIST_STEP = 1000, 7
+
+
+def _ranged_launches(spark, d):
+    launch, _ = dt.run_log(spark, d)
+    return ranged.save_ranged(launch, scratch_folder(spark, "ranged") + "/query_launch", "launch_id", RANGE_WIDTH)
+
+
+def log_lookup_list(spark, d):
+    """Launches of a run-time list of keys, from a table laid out by ranges of its key."""
+    table = _ranged_launches(spark, d)
+    launch, _ = dt.run_log(spark, d)
+    keys = launch.where((F.col("launch_id") % LIST_STEP == 0) & (F.floor(F.col("launch_id") / RANGE_WIDTH) % 3 == 1)).select("launch_id")
+    return ranged.members_ranged(spark, table, keys).unionByName(ranged.lookup_ranged(spark, table, LOOKUP_KEY))
+
+
+def _some_launches(launch):
+    """Launches of one query in every third range, and keys that no launch has."""
+    return (launch.where((F.col("query_name") == "error") & (F.floor(F.col("launch_id") / RANGE_WIDTH) % 3 == 0)).select("launch_id")
+            .unionByName(launch.select((-1 - F.col("launch_id")).alias("launch_id"))))
+
+
+def log_update_ranges(spark, d):
+    """An update, then a delete of a table laid out by ranges of its key: rows
+    and ranges that each has touched, and what the table holds then."""
+    table = _ranged_launches(spark, d)
+    launch, _ = dt.run_log(spark, d)
+    keys = _some_launches(launch)
+    updated = ranged.update_ranged(spark, table, keys.withColumn("query_version", F.lit("new")))
+    gone = keys.where(F.col("launch_id") % 2 == 0)
+    deleted = ranged.delete_ranged(spark, table, gone)
+    now = table.read(spark).agg(F.count(F.lit(1)).alias("rows_left"), F.count_if(F.col("query_version") == "new").alias("new_left"))
+    both = updated.select(F.lit("update").alias("change"), "*").unionByName(deleted.select(F.lit("delete").alias("change"), "*"))
+    return (both.withColumn("rows_left", now.select("rows_left").scalar()).withColumn("new_left", now.select("new_left").scalar())
+            .select("change", "affected", "ranges_rewritten", "ranges_kept", "rows_left", "new_left"))
+
+
+def latency_percentiles_stream(spark, d):
+    """Percentiles from the counts that a stream has kept while the results came
+    in three parts; the results are not read again."""
+    launch, result = dt.run_log(spark, d)
+    root = scratch_folder(spark, "counts")
+    for part in range(3):
+        result.where(F.col("run_index") % 3 == part).write.mode("append").parquet(f"{root}/landing")
+        runlog_ingest.start_counts(spark, f"{root}/landing", f"{root}/counts", f"{root}/checkpoint", launch).awaitTermination()
+    return runlog.percentiles_of_counts(runlog_ingest.read_counts(spark, f"{root}/counts"))
+
+
 def log_upsert(spark, d):
     launch, _ = dt.run_log(spark, d)
     updates = (launch.where(F.col("query_name") == "error")
@@ -630,6 +680,9 @@ QUERIES: dict[str, Query] = {
     "top_k_sql_params": top_k_sql_params,
     "log_append_keys": log_append_keys,
     "log_lookup": log_lookup,
+    "log_lookup_list": log_lookup_list,
+    "log_update_ranges": log_update_ranges,
+    "latency_percentiles_stream": latency_percentiles_stream,
     "log_upsert": log_upsert,
     "log_update_null": log_update_null,
     "launch_timeline": launch_timeline,

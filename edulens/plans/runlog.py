@@ -40,15 +40,36 @@ def latency_percentiles(launch: DataFrame, result: DataFrame, latest_only: bool
     launches = selected_launches(launch, latest_only)
     if queries is not None:
         launches = members(launches, KEY, queries)
-    timed = (result.where(F.col("elapsed_seconds").isNotNull())
-                   .join(launches.select("launch_id", *KEY), "launch_id")
-                   .select(*KEY, "dataset_size", "elapsed_seconds"))
+    return _percentiles(timed_results(launches, result))
+
+
+def timed_results(launches: DataFrame, result: DataFrame) -> DataFrame:
+    """The elapsed times of ``launches``, without those that were not timed."""
+    return (result.where(F.col("elapsed_seconds").isNotNull())
+                  .join(launches.select("launch_id", *KEY), "launch_id")
+                  .select(*KEY, "dataset_size", "elapsed_seconds"))
+
+
+def _percentiles(timed: DataFrame, weight_col: str | None = None) -> DataFrame:
     per_size = exact_quantiles(timed, "elapsed_seconds", {"p50_s": ("median",), "p95_s": ("nearest_rank", 95)},
-                               group_cols=[*KEY, "dataset_size"], count_name="size_runs")
+                               group_cols=[*KEY, "dataset_size"], count_name="size_runs", weight_col=weight_col)
     # every timed result is in one size, so the sizes sum up to the runs
     return per_size.withColumn("num_runs", F.sum("size_runs").over(Window.partitionBy(*KEY)))
 
 
+def latency_counts(launch: DataFrame, result: DataFrame) -> DataFrame:
+    """query_name, query_version, dataset_size, elapsed_seconds, n: how often each
+    time was measured. Counts of parts of the results add up to those of all, so
+    a table of them serves percentiles without the results."""
+    timed = timed_results(launch.select("launch_id", *KEY), result)
+    return timed.groupBy(*timed.columns).agg(F.count(F.lit(1)).alias("n"))
+
+
+def percentiles_of_counts(counts: DataFrame) -> DataFrame:
+    """:func:`latency_percentiles` of all launches, from tables of :func:`latency_counts`."""
+    return _percentiles(counts, "n")
+
+
 def two_queries(stats: DataFrame, a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
     """Side by side per dataset size: a_p50_s, a_p95_s, b_p50_s, b_p95_s
     (NULL where a query has no result at that size)."""

@@ -24,6 +24,7 @@ from pyspark.sql.types import StructField, StructType
 
 from edulens import schemas
 from edulens.operators.ranking import global_row_number
+from edulens.plans.runlog import latency_counts
 from edulens.session import hadoop_fs
 
 INGEST_COL = "ingest_id"
@@ -87,6 +88,39 @@ def append_batch(table_dir: str, checkpoint_dir: str):
     return write
 
 
+COUNTS = "query_name string, query_version string, dataset_size long, elapsed_seconds double, n long"
+
+
+def count_batch(counts_dir: str, checkpoint_dir: str, launches: DataFrame):
+    """``foreachBatch`` function that adds the counts of one micro-batch's times
+    (:func:`edulens.plans.runlog.latency_counts`) as a partition of its own, which
+    a retried batch overwrites. ``launches`` names the query of a launch."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stream = ingest_id(batch.sparkSession, checkpoint_dir)
+        (latency_counts(launches, batch).withColumn(INGEST_COL, F.lit(stream)).withColumn(BATCH_COL, F.lit(batch_id))
+         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(INGEST_COL, BATCH_COL).parquet(counts_dir))
+
+    return write
+
+
+def read_counts(spark: SparkSession, counts_dir: str) -> DataFrame:
+    """The counts of all batches; none before the first."""
+    fs, where = hadoop_fs(spark, counts_dir)
+    return spark.read.schema(COUNTS).parquet(counts_dir) if fs.exists(where) else spark.createDataFrame([], COUNTS)
+
+
+def start_counts(spark: SparkSession, landing_dir: str, counts_dir: str, checkpoint_dir: str, launches: DataFrame,
+                 available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
+    """Keep the table of counts up to date with the results that land. Each query
+    that counts has a checkpoint of its own."""
+    writer = (result_stream(spark, landing_dir, max_files_per_trigger).writeStream
+              .foreachBatch(count_batch(counts_dir, checkpoint_dir, launches))
+              .option("checkpointLocation", checkpoint_dir))
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 seconds")
+    return writer.start()
+
+
 def start_ingest(spark: SparkSession, landing_dir: str, table_dir: str, checkpoint_dir: str,
                  available_now: bool = True, max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the ingestion query. ``available_now`` processes what has
