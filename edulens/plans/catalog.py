@@ -17,7 +17,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType, ByteType
+from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType, ByteType, StructType
 
 from edulens.functions import (clean_digit_text, clean_int, clean_real, label_contains, label_startswith,
                                not_like_ci, in_values, positive, flag_is)
@@ -25,7 +25,7 @@ from edulens.operators import ranged, records
 from edulens.operators.relational import prefix_by_key
 from edulens.operators.stats import pearson_expr
 from edulens.operators.rates import grouped_rate
-from edulens.plans import raw, runlog, specs, star as starplans, star_load
+from edulens.plans import raw, runlog, specs, star as starplans, star_load, wide
 from edulens.plans.steps import run_steps, run_together
 from edulens.schemas import DRIVER_TABLES, RUNLOG_FOREIGN_KEYS, RUNLOG_NOT_NULL, RUNLOG_PRIMARY_KEYS
 from edulens.session import file_state, scratch_folder
@@ -123,7 +123,8 @@ def q2_corr_raw(spark, d):
 
 
 def q1_factor_corr_raw(spark, d):
-    return raw.q1_factor_corr(dt.math_assessment(spark, d), dt.demographic_factors(spark, d), FACTOR_MAP)
+    latest = dt.latest_year(spark, d)  # every line is a math row of all students here
+    return raw.q1_factor_corr(dt.math_assessment(spark, d, latest), dt.demographic_factors(spark, d, latest), FACTOR_MAP, latest=latest)
 
 
 def q1_factor_corr_union(spark, d):
@@ -626,7 +627,52 @@ def catalog_copy_report(spark, d):
     listing = spark.createDataFrame([(n, "TABLE") for n in names] + [("MSysObjects", "SYSTEM TABLE"),
                                                                      ("~tmp", "TABLE"), ("supplier", "TABLE")],
                                     "table_name string, table_type string")
-    return copy_tables(spark, listing, lambda n: f"{d}/{n}.parquet", scratch_folder(spark, "copy"))
+    return copy_tables(spark, listing, lambda n: f"{d}/{n}.parquet", scratch_folder(spark, "copy")).drop("checksum")
+
+
+def catalog_copy_resumed(spark, d):
+    """A copy, one of whose tables is then cut in half, run again: both reports,
+    and whether the checksums of source and copy agree in the end."""
+    from edulens.sources.copy import copy_tables, fingerprint
+    names = ["nation", "orders", "events", "embeddings"]
+    root, source = scratch_folder(spark, "copy"), lambda n: f"{d}/{n}.parquet"
+    listing = spark.createDataFrame([(n, "TABLE") for n in names], "table_name string, table_type string")
+    first = copy_tables(spark, listing, source, root)
+    dt.read(spark, d, "orders").where(F.col("o_orderkey") % 2 == 0).write.mode("overwrite").parquet(f"{root}/orders")
+    again = copy_tables(spark, listing, source, root, skip_existing=True)
+    same = spark.createDataFrame([(n, fingerprint(spark.read.parquet(source(n))) == fingerprint(spark.read.parquet(f"{root}/{n}")))
+                                  for n in names], "table_name string, same boolean")
+    return (first.select("table_name", "rows", F.col("status").alias("first_status"))
+            .join(again.select("table_name", F.col("status").alias("second_status")), "table_name").join(same, "table_name"))
+
+
+def csv_reject_report(spark, d):
+    """Results as CSV lines, some with a word for a number, a field too many or
+    too few: what the intake keeps and rejects."""
+    from edulens.sources.csv_io import intake_csv
+    ev = dt.read(spark, d, "events", "event_id", "user_id", "value")
+    k = F.col("event_id") % 20
+    line = F.concat_ws(",", F.when(k == 3, "abc").otherwise(F.col("event_id").cast("string")), F.when(k != 7, F.col("user_id").cast("string")),
+                       F.format_string("%.2f", "value"), F.when(k == 11, F.lit("more")))
+    path = scratch_folder(spark, "csv") + "/lines"
+    ev.select(line).write.text(path)
+    schema = StructType().add("result", "long").add("launch", "long").add("elapsed", "double")
+    kept, rejected, counts = intake_csv(spark, path, schema, header=False)
+    return counts.select(
+        "*", kept.agg(F.sum("elapsed")).scalar().alias("sum_kept"),
+        rejected.agg(F.count_if(F.col("line").startswith("abc"))).scalar().alias("bad_number"),
+        rejected.agg(F.count_if(F.col("line").endswith("more"))).scalar().alias("too_many"),
+        rejected.agg(F.count_if(F.size(F.split("line", ",")) < 3)).scalar().alias("too_few"))
+
+
+def wide_fact(spark, d):
+    """All sources of a school and year side by side, over a spine of every
+    (school, year) that any of them knows."""
+    sources = {"outcome": raw.q1_math_outcome(dt.math_assessment(spark, d)),
+               "attendance": dt.attendance(spark, d).select(F.col("ENTITY_CD").alias("entity_cd"), F.col("YEAR").cast("int").alias("year"),
+                                                            F.col("ATTENDANCE_RATE").alias("attendance_rate")),
+               **dt.school_year_sources(spark, d)}
+    return wide.wide_rows(spark, sources)
 
 
 def csv_round_trip(spark, d):
@@ -692,6 +738,9 @@ QUERIES: dict[str, Query] = {
     "wide_school_year": wide_school_year,
     "catalog_copy_report": catalog_copy_report,
     "csv_round_trip": csv_round_trip,
+    "catalog_copy_resumed": catalog_copy_resumed,
+    "csv_reject_report": csv_reject_report,
+    "wide_fact": wide_fact,
     "qualified_scan": qualified_scan,
     "schema_report": schema_report,
     "spec_baseline_query1": spec_baseline_query1,

@@ -75,13 +75,13 @@ def q1_pairs_latest_year(outcome: DataFrame, demo_view: DataFrame, factors: Sequ
 
 
 def q1_factor_corr(math_src: DataFrame, demo: DataFrame, factors: Mapping[str, str] = Q1_FACTORS,
-                   by_union: bool = False, all_prefix: str = ALL_PREFIX) -> DataFrame:
+                   by_union: bool = False, all_prefix: str = ALL_PREFIX, latest=None) -> DataFrame:
     """var, n, r, slope of each factor against the math rate, by |r| desc.
 
     ``by_union`` selects the branch-per-factor form instead of the one-pass
-    aggregate.
+    aggregate; ``latest`` is the newest year of the math rows where it is known.
     """
-    latest = q1_latest_year(math_src, all_prefix)
+    latest = q1_latest_year(math_src, all_prefix) if latest is None else latest
     # the range on the stored year skips row groups of both scans
     outcome = q1_math_outcome(math_src.where(year_equals(math_src, "YEAR", latest)), all_prefix)
     composition = q1_demo(demo.where(year_equals(demo, "YEAR", latest)), factors)

@@ -58,12 +58,20 @@ def entity_code(c) -> Column:
     return F.lpad(F.col(c).cast("string"), 12, "0")
 
 
-def _year_range(df: DataFrame, year: int | None) -> DataFrame:
+def _year_range(df: DataFrame, year: int | Column | None) -> DataFrame:
     if year is None:
         return df
-    lo, hi = _dt.datetime(year, 1, 1), _dt.datetime(year + 1, 1, 1)
-    return df.where((F.col("l_shipdate") >= F.lit(lo).cast("timestamp_ntz"))
-                    & (F.col("l_shipdate") < F.lit(hi).cast("timestamp_ntz")))
+    if isinstance(year, Column):  # a scalar subquery: its dates reach the scan at run time
+        lo, hi = (F.make_date(y, F.lit(1), F.lit(1)) for y in (year, year + 1))
+    else:
+        lo, hi = (F.lit(_dt.datetime(y, 1, 1)) for y in (year, year + 1))
+    return df.where((F.col("l_shipdate") >= lo.cast("timestamp_ntz")) & (F.col("l_shipdate") < hi.cast("timestamp_ntz")))
+
+
+def latest_year(spark: SparkSession, sf_dir: str) -> Column:
+    """The newest year of the lineitems, a maximum over the date column alone."""
+    newest = read(spark, sf_dir, "lineitem", "l_shipdate").agg(F.max("l_shipdate").alias("d"))
+    return newest.select(F.year("d").alias("y")).scalar()
 
 
 def read_lineitem(spark, sf_dir, year, *cols) -> DataFrame:
@@ -179,6 +187,35 @@ def suspensions(spark: SparkSession, sf_dir: str, year: int | None = None) -> Da
         (F.lit(100.0) * F.col("k") / F.col("m")).alias("PER_SUSPENSIONS"), F.lit("Y").alias("DATA_REPORTED"))
 
 
+def school_year_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """What the other published databases know of a (school, year), each summed
+    up by itself (fixed values of the analog): participation, the percent of
+    quantity on finished lines ('F'); absenteeism, the percent of lines with a
+    discount of 8 % or more; lunch, the percent of quantity bought by HOUSEHOLD;
+    class size, the mean quantity; staffing, lines taxed under 2 % and their
+    ratio to all; suspensions, returned lines."""
+    def by(*aggs: Column, cols: tuple[str, ...]) -> DataFrame:
+        li = read_lineitem(spark, sf_dir, None, "l_suppkey", *cols)
+        return li.groupBy(entity_code("l_suppkey").alias("entity_cd"), F.year("l_shipdate").alias("year")).agg(*aggs)
+
+    share = lambda part, whole: F.lit(100.0) * F.try_divide(F.sum(part), F.sum(whole))
+    one, zero = F.lit(1.0), F.lit(0.0)
+    q = F.col("l_quantity")
+    return {
+        "participation": by(share(F.when(F.col("l_linestatus") == "F", q).otherwise(zero), q).alias("participation_rate"),
+                            cols=("l_quantity", "l_linestatus")),
+        "absenteeism": by(share(F.when(F.col("l_discount") >= 0.08, one).otherwise(zero), one).alias("chronic_absence_rate"), cols=("l_discount",)),
+        "lunch": demographic_factors(spark, sf_dir).select(F.col("ENTITY_CD").alias("entity_cd"), F.col("YEAR").cast("int").alias("year"),
+                                                           F.col("PER_HOUSEHOLD").alias("free_lunch_rate")),
+        "class_size": by(F.avg(q).alias("class_size"), cols=("l_quantity",)),
+        "staffing": by(F.count_if(F.col("l_tax") < 0.02).alias("n_teachers"),
+                       F.try_divide(F.count(F.lit(1)), F.count_if(F.col("l_tax") < 0.02)).alias("students_per_teacher"), cols=("l_tax",)),
+        "suspension": by(F.count_if(F.col("l_returnflag") == "R").alias("n_suspensions"), cols=("l_returnflag",)),
+        "spending": expenditures(spark, sf_dir).select(F.col("ENTITY_CD").alias("entity_cd"), F.col("YEAR").alias("year"),
+                                                       F.col("PER_FED_STATE_LOCAL_EXP").alias("per_pupil_expenditure")),
+    }
+
+
 # --- run log ----------------------------------------------------------------------
 
 def run_log(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
