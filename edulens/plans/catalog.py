@@ -21,6 +21,7 @@ from pyspark.sql.types import DoubleType, FloatType, IntegerType, ShortType, Byt
 
 from edulens.functions import (clean_digit_text, clean_int, clean_real, label_contains, label_startswith,
                                not_like_ci, in_values, positive, flag_is)
+from edulens.functions.formatting import TS_FORMAT, now_text, parse_ts
 from edulens.operators import ranged, records
 from edulens.operators.relational import prefix_by_key
 from edulens.operators.stats import pearson_expr
@@ -578,6 +579,50 @@ def qualified_scan(spark, d):
     return spark.sql(QUALIFIED_SQL, args={"new": known["reportcard_database_23_24"], "old": known["reportcard_database_22_23"]})
 
 
+def releases_union(spark, d):
+    """UNION ALL of the same table of two releases, summed up by release, year and subgroup."""
+    known = school_catalog(spark, d)
+    parts = [spark.table(f"{known[f'reportcard_database_{r}']}.annual_em_math").select(F.lit(r).alias("release"), "*") for r in ("23_24", "22_23")]
+    math = reduce(DataFrame.unionByName, parts)
+    return math.groupBy("release", F.col("YEAR").cast("int").alias("year"), F.trim("SUBGROUP_NAME").alias("subgroup")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(clean_int("TOTAL_COUNT")).alias("total"), F.count(clean_real("NUM_PROF")).alias("n_known"))
+
+
+def temp_table_life(spark, d):
+    """A temp table of the newest year's points from its making to its drop: rows
+    held, rows of a preview, and whether the name is there before, then and after."""
+    name = "points_" + spark.sparkContext.applicationId.replace("-", "_")
+    there = lambda: spark.catalog.tableExists(name)
+    before = there()
+    kept = registry.materialize_view(q2_points_raw(spark, d), name)
+    held, then = spark.sql(f"SELECT count(*) FROM {name}").first()[0], there()
+    shown = len(registry.preview(kept, 5))
+    registry.release_view(spark, name, kept)
+    return spark.createDataFrame([(held, shown, before, then, there())], "rows_held long, rows_shown long, before boolean, then boolean, after boolean")
+
+
+def spec_listing(spark, d):
+    """Every registered spec, run by name and version: rows of its result, and whether its name alone means it."""
+    known, found = school_catalog(spark, d), sorted(specs.SPECS)
+    latest = {name: version for name, version in specs.SPECS}  # the last one registered
+    frames = run_together(spark, [specs.SPECS[k] for k in found], known, year=YEAR, district=dt.DISTRICT_PATTERN, factor_ids=FACTOR_IDS)
+    parts = [df.agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("name"), F.lit(version).alias("version"),
+                                                             F.lit(latest[name] == version).alias("latest"), "n_rows")
+             for (name, version), df in zip(found, frames)]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def launch_time_text(spark, d):
+    """Launch times as text of second resolution and back again, by day; text of now is not before any of them."""
+    launch, _ = dt.run_log(spark, d)
+    text = F.date_format("timestamp", TS_FORMAT)
+    back = parse_ts(text).cast("timestamp_ntz")
+    return launch.groupBy(F.date_format("timestamp", "yyyy-MM-dd").alias("day")).agg(
+        F.count(F.lit(1)).alias("n"), F.min(text).alias("first_text"), F.max(text).alias("last_text"),
+        F.count_if(back == F.date_trunc("second", "timestamp").cast("timestamp_ntz")).alias("n_equal"),
+        F.count(parse_ts(F.concat(text, F.lit(" x")))).alias("n_odd"), F.bool_and(text <= now_text()).alias("not_after_now"))
+
+
 def schema_report(spark, d):
     """Columns of the driver's tables as registered, with keys and nullability of the run log's."""
     names = [*DRIVER_TABLES]
@@ -743,6 +788,10 @@ QUERIES: dict[str, Query] = {
     "wide_fact": wide_fact,
     "qualified_scan": qualified_scan,
     "schema_report": schema_report,
+    "releases_union": releases_union,
+    "temp_table_life": temp_table_life,
+    "spec_listing": spec_listing,
+    "launch_time_text": launch_time_text,
     "spec_baseline_query1": spec_baseline_query1,
     "spec_versions": spec_versions,
     "spec_correlations": spec_correlations,

@@ -83,5 +83,6 @@ STAR_3 = StepSpec("star_query3", "0.0", {**STAR, **REPORTCARD}, [
     Step("correlation", lambda run: starplans.q3_corr_star(
         _star(run), run.table("reportcard_database_23_24", "expenditures_per_pupil"), run.params["year"], run.params["district"]))], PARAMS)
 
-SPECS = {(s.name, s.version): s for s in (BASELINE_1, BASELINE_2_POINTS, BASELINE_2, BASELINE_3, STAR_1_STEPS, STAR_1_SHARE,
+#: In order of registration: a name alone means its last version.
+SPECS = {(s.name, s.version): s for s in (BASELINE_1, BASELINE_2_POINTS, BASELINE_2, BASELINE_3, STAR_1_SHARE, STAR_1_STEPS,
                                           STAR_1_FACTORS, STAR_2, STAR_3)}

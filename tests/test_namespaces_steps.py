@@ -142,3 +142,9 @@ def test_star_facts_prune_year_folders(spark, known):
 
 def test_published_once(spark):
     assert published(spark, SF0001) is published(spark, SF0001)
+
+
+def test_spec_listing_runs_every_spec(spark, known):
+    listing = {(r["name"], r["version"]): r for r in catalog.spec_listing(spark, SF0001).collect()}
+    assert sorted(listing) == sorted(specs.SPECS) and sum(r["latest"] for r in listing.values()) == 6
+    assert {k for k, r in listing.items() if r["latest"]} >= {("baseline_query2", "2.2"), ("star_query1", "2.0")}
