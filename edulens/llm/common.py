@@ -76,11 +76,15 @@ def row_position(docs: DataFrame) -> tuple[DataFrame, str, str]:
     number in that file, and their names. Frames that read no files are first
     written to the shared folder, so that the position never changes."""
     file, row = free_name(docs, "__file"), free_name(docs, "__row")
-    where = [F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(row)]
+
+    def placed(df: DataFrame) -> DataFrame:
+        where = df.metadataColumn("_metadata")  # also where a column of the rows has this name
+        return df.select("*", where["file_path"].alias(file), where["row_index"].alias(row))
+
     try:
-        return docs.select("*", *where), file, row
+        return placed(docs), file, row
     except AnalysisException:
-        return write_table(docs.sparkSession, docs, "rows").select("*", *where), file, row
+        return placed(write_table(docs.sparkSession, docs, "rows")), file, row
 
 
 def free_name(df: DataFrame, name: str) -> str:

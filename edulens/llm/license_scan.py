@@ -70,11 +70,12 @@ _CLAIM = rf"^{_COMMENT}(?:(?i:{_BEGUN}|©|&copy;)|{_HOLDER}|(?i:all rights reser
 _OPENING = (r"permission\s+is\s+(?:hereby\s+)?granted|permission\s+to\s+use|redistribution\s+and\s+use|licensed\s+under|everyone\s+is\s+permitted|"
             r"this\s+(?:program|library|software|font\s+software)\s+is")
 _BEFORE_OPENING = rf"(?i)\b{_BEGUN}[^\n]{{0,{CLAIM_CHARS}}}?(?:all\s+rights\s+reserved[.\s]*)?(?={_OPENING})"
+#: Runs of blanks are never given back, so that a long run costs its length once.
 _OWN_CLAIM = (
-    r"(?i)copyright\s+(?:\(c\)\s+)?(?:"
-    r"[\d,\s]+free\s+software\s+foundation,\s+inc\.,?(?:\s+<https?://(?:www\.)?fsf\.org/?>)?"
+    r"(?i)copyright(?:\s++\(c\))?+(?:"
+    r"(?=\s[\d,\s])[\d,\s]++free\s++software\s++foundation,\s++inc\.,?(?:\s+<https?://(?:www\.)?fsf\.org/?>)?"
     r"(?:\s+5[19]\s+(?:franklin\s+st(?:reet)?,\s+fifth\s+floor|temple\s+place,?\s+-?\s*suite\s+330),\s+boston,\s+ma\s+0211\d-130\d,?\s+usa)?|"
-    r"\[yyyy\]\s+\[name\s+of\s+copyright\s+owner\]|(?:<?year>?|19[xy]{2})\s+(?:<name\s+of\s+author>|name\s+of\s+author|your\s+name)|_+)")
+    r"\s++\[yyyy\]\s+\[name\s+of\s+copyright\s+owner\]|\s++(?:<?year>?|19[xy]{2})\s+(?:<name\s+of\s+author>|name\s+of\s+author|your\s+name)|\s++_+)")
 PUNCTUATION = r"[\x00-\x2f\x3a-\x60\x7b-\x7f]+"
 
 #: Known licences and notices, as their public texts state them; ``licences.json`` has more.

@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import numbered, row_position, write_table
+from .common import free_name, numbered, row_position, write_table
 
 BLOCK_ROWS = 16
 MAX_SOURCES = 4096
@@ -102,8 +102,9 @@ def in_mixed_order(docs: DataFrame, weights: DataFrame | None = None, block_rows
     """``docs`` with all columns, its rows in mixed order: partitions hold
     successive slots, and rows are sorted in them (sources without a weight last)."""
     placed, file, row = row_position(docs)
+    slot, number = free_name(placed, "__slot"), free_name(placed, "__number")
     place = write_table(docs.sparkSession, _mixed(placed, file, row, weights, block_rows).select(
-        F.col("file").alias(file), F.col("row").alias(row), F.coalesce("slot", F.lit((1 << 63) - 1)).alias("__slot"),
-        F.col("number").alias("__number")), "mixed")
-    order = ["__slot", "__number", file, row]
+        F.col("file").alias(file), F.col("row").alias(row), F.coalesce("slot", F.lit((1 << 63) - 1)).alias(slot),
+        F.col("number").alias(number)), "mixed")
+    order = [slot, number, file, row]
     return placed.join(place.hint("merge"), [file, row]).repartitionByRange(*order).sortWithinPartitions(*order).select(*docs.columns)
