@@ -36,7 +36,6 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer, pre_tokenizers
 
 from .common import make_folder, slices, utf8, write_table
-from .words import run_hashes
 
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
@@ -47,8 +46,8 @@ MIN_SAVING = 0.15
 #: Words whose ids an encoder remembers.
 CACHE_WORDS = 1_200_000
 
-#: Texts that are encoded together.
-ENCODE_ROWS = 2048
+#: Texts of so many bytes, or one, are encoded together.
+ENCODE_BYTES = 1 << 25
 #: Words whose bytes and ids are worked on together: arrays of these stay in a core's cache.
 WORDS_AT_ONCE = 1 << 13
 _PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
@@ -162,17 +161,12 @@ class Encoder:
         if joined:
             buf = np.frombuffer(joined, np.uint8)
             starts = np.flatnonzero(_STARTS[buf])
-            ends = np.append(starts[1:], len(buf))
             cuts = [slice(a, a + WORDS_AT_ONCE) for a in range(0, len(starts), WORDS_AT_ONCE)]
-            hashes = np.concatenate([
-                run_hashes(buf[starts[c][0] : ends[c][-1]], starts[c] - starts[c][0], ends[c] - starts[c]) for c in cuts])
-            order = np.argsort(hashes)  # words once each; any of equal ones stands for them
-            ranked = hashes[order]
-            new = np.append(True, ranked[1:] != ranked[:-1])
-            inverse = np.empty(len(order), np.int32)
-            inverse[order] = np.cumsum(new, dtype=np.int32) - 1
-            some = order[new]
-            ids = [self._known[joined[a:b]] for a, b in zip(starts[some].tolist(), ends[some].tolist(), strict=True)]
+            edges = np.append(starts, len(buf)).astype(np.int64)
+            # each distinct word once, compared by its bytes
+            words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(joined)]).dictionary_encode()
+            inverse = words.indices.to_numpy()
+            ids = [self._known[w] for w in words.dictionary.to_pylist()]
             sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
             offsets, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u4")
             parts, count = [], sizes[inverse]
@@ -323,6 +317,18 @@ class ShardFile:
         return np.concatenate(out)
 
 
+def _lots(texts: Iterator[bytes]) -> Iterator[list[bytes]]:
+    lot, size = [], 0
+    for text in texts:
+        if lot and size + len(text) > ENCODE_BYTES:
+            yield lot
+            lot, size = [], 0
+        lot.append(text)
+        size += len(text)
+    if lot:
+        yield lot
+
+
 def _written(folder: str, path: str, end_id: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(path)
@@ -346,9 +352,10 @@ def _written(folder: str, path: str, end_id: int, block: int):
             if sink is None and batch.num_rows:
                 fs, where = pafs.FileSystem.from_uri(uri)
                 sink = fs.open_output_stream(where, compression=None)
-            for at in range(0, batch.num_rows, ENCODE_ROWS):
-                rows = batch.slice(at, ENCODE_ROWS)
-                for doc_id, found in zip(rows.column(0).to_pylist(), encode(list(utf8(rows.column(1)))), strict=True):
+            numbers = iter(batch.column(0).to_pylist())
+            for texts in _lots(utf8(batch.column(1))):
+                for found in encode(texts):
+                    doc_id = next(numbers)
                     ids.append(doc_id or 0)
                     null.append(doc_id is None)
                     starts.append(tokens)

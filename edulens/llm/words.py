@@ -52,13 +52,6 @@ def word_hashes(text: bytes, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return mixed(np.add.reduceat(_BYTE[keep] * keys[place], first) + lengths.astype(U))
 
 
-def run_hashes(buf: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The hash of each run of bytes; the runs cover ``buf`` one after another."""
-    place = np.arange(len(buf)) - np.repeat(starts, lengths)
-    keys = _PLACE if (longest := int(lengths.max())) <= len(_PLACE) else _place_keys(longest)
-    return mixed(np.add.reduceat(_BYTE[buf] * keys[place], starts) + lengths.astype(U))
-
-
 def window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     """The hash of each run of ``size`` words, in order of the text."""
     n = len(words) - size + 1
