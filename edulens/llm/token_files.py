@@ -40,9 +40,9 @@ from .common import make_folder, slices, utf8, write_table
 END_ID = 2
 BLOCK_TOKENS = 1 << 20
 #: A pair becomes a rule if it occurs so often in its block.
-MIN_COUNT = 16
+MIN_COUNT = 4
 #: The rounds end when one saves less than this share of the symbols.
-MIN_SAVING = 0.15
+MIN_SAVING = 0.005
 #: Words whose ids an encoder remembers.
 CACHE_WORDS = 1_200_000
 
