@@ -40,6 +40,8 @@ LISTS = [*FILTERS, "good", "toxic"]
 RANGE = 1 << 16
 #: Ids that a list moves on by at most in one round of a merge.
 BLOCK = 1 << 10
+#: A text of over one row in so many meets its rows by broadcast: there are fewer than this.
+HOT = 1000
 
 _CAPITALS = bytes(range(65, 91))
 _MARKS = re.compile(rb"[#$%&*|]")
@@ -74,11 +76,16 @@ def postings(docs: DataFrame, labels: DataFrame) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("part"))
     rows = write_table(spark, texts.mapInArrow(_scanned, "part string, range long, id int, doc_id long, digest binary, lists int"), "scanned")
     # one row a text, summed before the shuffle; only texts that stand under several ids meet their rows again
-    firsts = (rows.where("doc_id is not null").groupBy("digest").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-              .where("first < last").drop("last"))
+    firsts = write_table(spark, rows.where("doc_id is not null").groupBy("digest").agg(
+        F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count(F.lit(1)).alias("n")).where("first < last"), "firsts")
     bit = {name: 1 << i for i, name in enumerate(LISTS)}
     place = ["part", "range", "id"]
-    copies = rows.join(firsts, "digest").where("doc_id > first").select(*place, F.lit(bit["E"]).alias("lists"))
+    often = F.col("n") * HOT > rows.count()
+    hot = firsts.where(often).select("digest", F.col("first").alias("hot_first"))  # under HOT rows
+    met = rows.select(*place, "doc_id", "digest").join(F.broadcast(hot), "digest", "left")
+    copies = (met.where("doc_id > hot_first").select(*place)
+              .union(met.where("hot_first is null").join(firsts.where(~often), "digest").where("doc_id > first").select(*place))
+              .withColumn("lists", F.lit(bit["E"])))
     holds = lambda c: F.max(F.when(F.col(c) == 1, 1).otherwise(0))
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "toxic").where("doc_id is not null and (quality = 1 or toxic = 1)")
              .groupBy("doc_id").agg((holds("quality") * bit["good"] + holds("toxic") * bit["toxic"]).alias("marks")))
