@@ -153,6 +153,21 @@ def write_by_file(spark: SparkSession, picked: DataFrame, name: str) -> RowsByFi
     return RowsByFile(f"{folder}/rows", FILE_BUCKETS)
 
 
+def without_rows(placed: DataFrame, file: str, row: str, gone: RowsByFile, docs: DataFrame) -> DataFrame:
+    """The rows of ``placed`` (:func:`row_position` of ``docs``) that are not
+    among ``gone``, with the columns of ``docs``."""
+    names = placed.columns
+    at, keep = (names.index(file), names.index(row)), [names.index(c) for c in docs.columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            stays = np.ones(batch.num_rows, bool)
+            stays[gone.among(batch.column(at[0]), batch.column(at[1]))[0]] = False
+            yield batch.select(keep).filter(pa.array(stays))
+
+    return placed.mapInArrow(run, docs.schema)
+
+
 #: Rows of a file that are numbered together.
 CHUNK = 1024
 

@@ -12,13 +12,27 @@ over an array, and block j takes the slot of its place in the period: the work
 on the rows is counting. When a source has run out its slots stay empty, and
 the others go on in the same proportions; no row is dropped or repeated.
 
+Weights that are whole numbers of a sum of at most ``MAX_PERIOD`` are the blocks
+of a period. Others are apportioned by largest remainders, at least one block
+each, to as many slots as a fold of ``FOLD_STEPS`` serves (``MAX_PERIOD`` at
+most); the bound above is to the weights so apportioned.
+
+A fold over all sources would grow with their square, so above ``2 * FAN``
+sources, the light ones (less than 1 / ``FAN`` of all weight) are dealt to
+bundles by a hash, ``FAN`` to a bundle on average. A bundle is scheduled as a
+source of their common weight, and its slots are dealt to its sources in the
+same way; bundles of many bundles are bundled again. Any number of sources has
+a schedule then, and each fold is over a bounded array in a row of its own. A
+source that is in no bundle is less than one block away from its weight; one in
+bundles, less than one block and, for each, its share of the bundle's weight.
+
 Rows of a source are counted in chunks of a file, so a source with a third of
-all rows is spread over many tasks. The weights are a small table with one row
-for each source (at most ``MAX_SOURCES``, else an error).
+all rows is spread over many tasks. Schedules are tables with one row for each
+source, which Spark broadcasts only where their files are small.
 
 A null source is a source of its own, and comes first. Null ids and texts and
-repeated rows are rows like others. Extra columns are ignored. An empty table
-gives an empty result.
+repeated rows are rows like others. Extra columns are ignored. Weights that are
+null or not positive are none. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,18 +43,16 @@ from pyspark.sql import functions as F
 from .common import free_name, numbered, row_position, write_table
 
 BLOCK_ROWS = 16
-MAX_SOURCES = 4096
-#: Blocks of a period for each source, on average.
-MEAN_BLOCKS = 8
+#: Sources of a bundle, on average.
+FAN = 64
+#: Slots of a period, at most, and slots times sources.
+MAX_PERIOD = 8192
+FOLD_STEPS = 1 << 18
 
 
-def tempered_weights(docs: DataFrame, power: float = 0.5, mean_blocks: int = MEAN_BLOCKS) -> DataFrame:
-    """Blocks of a period for each source (``source, blocks``): in proportion
-    to a power of its rows, rounded, at least one."""
-    counts = docs.groupBy("source").agg(F.pow(F.count(F.lit(1)).cast("double"), F.lit(power)).alias("share"))
-    total = counts.agg(F.sum("share").alias("total"), F.count(F.lit(1)).alias("sources"))
-    return counts.join(F.broadcast(total)).select(
-        "source", F.greatest(F.lit(1), F.round(F.col("share") / F.col("total") * F.col("sources") * mean_blocks)).cast("int").alias("blocks"))
+def tempered_weights(docs: DataFrame, power: float = 0.5) -> DataFrame:
+    """The weight of each source (``source, blocks``): a power of its rows."""
+    return docs.groupBy("source").agg(F.pow(F.count(F.lit(1)).cast("double"), F.lit(power)).alias("blocks"))
 
 
 def _key(source: Column) -> Column:
@@ -48,15 +60,28 @@ def _key(source: Column) -> Column:
     return F.when(source.isNull(), F.lit("0")).otherwise(F.concat(F.lit("1"), source.cast("string")))
 
 
-def one_period(weights: DataFrame) -> DataFrame:
-    """The slots of one period: ``key, source, blocks, period, place`` (of the
-    block among those of its source) and ``slot``."""
-    listed = weights.agg(F.sort_array(F.collect_list(F.struct(_key(F.col("source")).alias("key"), "source", "blocks"))).alias("s"))
-    checked = listed.select(F.when(F.size("s") <= MAX_SOURCES, F.col("s")).otherwise(
-        F.raise_error(F.lit(f"more than {MAX_SOURCES} sources: give weights to fewer"))).alias("s"))
-    sized = checked.where(F.size("s") > 0).select("s", F.expr("aggregate(s, 0L, (t, x) -> t + x.blocks)").alias("period"))
-    # a step of the fold: the released block with the earliest deadline; done counts blocks by source
-    picked = F.expr("""aggregate(sequence(0L, period - 1),
+def _apportioned(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (``bundle, node, weight``) with whole ``blocks`` of a period of their bundle."""
+    of = Window.partitionBy("bundle")
+    weight, total, members = F.col("weight"), F.sum("weight").over(of), F.count(F.lit(1)).over(of)
+    whole = (F.max(weight - F.floor(weight)).over(of) == 0) & (total <= MAX_PERIOD)
+    slots = F.greatest(members, F.least(F.lit(MAX_PERIOD), F.floor(FOLD_STEPS / members)))
+    shared = nodes.withColumn("share", F.when(whole, weight).otherwise(weight / total * slots)).withColumn(
+        "blocks", F.greatest(F.lit(1), F.floor("share")).cast("long"))
+    left = F.round(F.sum("share").over(of)) - F.sum("blocks").over(of)
+    by_remainder = F.row_number().over(of.orderBy((F.col("share") - F.floor("share")).desc(), "node"))
+    return (shared.withColumn("more", F.when(by_remainder <= left, 1).otherwise(0))
+            .withColumn("blocks", F.col("blocks") + F.col("more")).drop("share", "more"))
+
+
+def _periods(nodes: DataFrame, tasks: int = 1) -> DataFrame:
+    """``bundle, period, node, blocks, slots`` of each of ``nodes`` (``bundle,
+    node, blocks``): the slots in which its blocks run in a period of its bundle."""
+    listed = nodes.repartition(tasks, "bundle").groupBy("bundle").agg(
+        F.sort_array(F.collect_list(F.struct("node", F.col("blocks").cast("long").alias("blocks")))).alias("s"))
+    sized = listed.withColumn("period", F.expr("aggregate(s, 0L, (t, x) -> t + x.blocks)"))
+    # a step of the fold: the released block with the earliest deadline; done counts blocks by node
+    ran = F.expr("""aggregate(sequence(0L, period - 1),
         struct(transform(s, x -> 0L) as done, cast(array() as array<int>) as ran),
         (state, t) -> transform(
             array(array_min(transform(s, (x, i) -> struct(
@@ -64,9 +89,37 @@ def one_period(weights: DataFrame) -> DataFrame:
                    ceil((state.done[i] + 1) * period / x.blocks), period * 2) as due, i as i))).i),
             p -> struct(transform(state.done, (d, i) -> if(i = p, d + 1, d)) as done, concat(state.ran, array(p)) as ran))[0],
         state -> state.ran)""")
-    slots = sized.select("s", "period", F.posexplode(picked).alias("slot", "i")).select(
-        "slot", "period", "i", F.expr("s[i].key").alias("key"), F.expr("s[i].source").alias("source"), F.expr("s[i].blocks").alias("blocks"))
-    return slots.withColumn("place", F.row_number().over(Window.partitionBy("i").orderBy("slot")) - 1).drop("i")
+    slots = sized.select("bundle", "s", "period", F.posexplode(ran).alias("slot", "i"))
+    return slots.groupBy("bundle", "period", F.expr("s[i].node").alias("node"), F.expr("s[i].blocks").alias("blocks")).agg(
+        F.sort_array(F.collect_list("slot")).alias("slots"))
+
+
+def one_period(weights: DataFrame) -> DataFrame:
+    """The slots of one period of ``weights`` (``source, blocks``), all in one
+    bundle: ``source, blocks, period, place`` (of the block among those of its
+    source) and ``slot``."""
+    nodes = weights.select(F.lit("").alias("bundle"), _key(F.col("source")).alias("node"), "blocks")
+    return _periods(nodes).select(
+        F.when(F.col("node") != "0", F.substring("node", 2, 1 << 30)).alias("source"), "blocks", "period",
+        F.posexplode("slots").alias("place", "slot"))
+
+
+def schedule(weights: DataFrame) -> list[DataFrame]:
+    """The schedule of ``weights`` (``source, blocks``) as tables of
+    ``bundle, period, node, blocks, slots``: sources in bundles first, last the nodes of the whole."""
+    spark, levels = weights.sparkSession, []
+    nodes = weights.where("blocks > 0").groupBy(_key(F.col("source")).alias("node")).agg(F.sum(F.col("blocks").cast("double")).alias("weight"))
+    while True:
+        nodes = write_table(spark, nodes, "weights")
+        n, total = nodes.agg(F.count(F.lit(1)), F.sum("weight")).first()
+        bundles = 1 if n <= 2 * FAN else -(-n // FAN)
+        dealt = F.when(F.col("weight") * FAN >= F.lit(total), F.concat(F.lit("="), "node")).otherwise(
+            F.pmod(F.xxhash64("node", F.lit(len(levels))), F.lit(bundles)).cast("string"))
+        bundled = nodes.withColumn("bundle", F.lit("") if bundles == 1 else dealt)
+        levels.append(write_table(spark, _periods(_apportioned(bundled), -(-bundles // 8)), "period"))
+        if bundles == 1:
+            return levels
+        nodes = bundled.groupBy(F.col("bundle").alias("node")).agg(F.sum("weight").alias("weight"))
 
 
 def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -74,28 +127,25 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = BLO
     ``doc_id, source, number`` (in its source), ``block`` (from 1), ``release,
     deadline, slot``, and ``file, row`` that place it in the input. Sorted by
     ``slot, number`` the rows are in mixed order. ``weights`` has ``source,
-    blocks`` (of a period); by default they follow the square root of the
+    blocks`` (positive numbers, in proportion); by default they follow the square root of the
     source's rows. Rows of sources without a weight come with null slots."""
     return _mixed(*row_position(docs), weights, block_rows)
 
 
 def _mixed(placed: DataFrame, file: str, row: str, weights: DataFrame | None, block_rows: int) -> DataFrame:
     rows = placed.select(F.col("doc_id"), F.col("source"), F.col(file).alias("file"), F.col(row).alias("row"),
-                         _key(F.col("source")).alias("key"))
-    weights = tempered_weights(rows) if weights is None else weights
-    period = write_table(placed.sparkSession, one_period(weights), "period")
-    counted = numbered(rows, "key", "file", "row", "number")
-    j = F.floor(F.col("number") / block_rows)
-    blocked = counted.withColumn("block", j + 1)
-    share = period.select("key", "blocks", "period").distinct()
-    placed_in = (blocked.join(F.broadcast(share), "key", "left")
-                 .withColumn("place", F.pmod(F.col("block") - 1, F.col("blocks")))
-                 .join(F.broadcast(period.select("key", "place", "slot")), ["key", "place"], "left"))
-    return placed_in.select(
-        "doc_id", "source", "number", "block",
-        F.floor((F.col("block") - 1) * F.col("period") / F.col("blocks")).alias("release"),
-        F.ceil(F.col("block") * F.col("period") / F.col("blocks")).alias("deadline"),
-        (F.floor((F.col("block") - 1) / F.col("blocks")) * F.col("period") + F.col("slot")).alias("slot"), "file", "row")
+                         _key(F.col("source")).alias("node"))
+    levels = schedule(tempered_weights(rows) if weights is None else weights)
+    blocked = numbered(rows, "node", "file", "row", "number").withColumn("block", F.floor(F.col("number") / block_rows) + 1)
+    # a block's slot among those of its bundle is the bundle's block before (from 0), up to the whole
+    kept = [c for c in blocked.columns if c != "node"]
+    out = blocked.withColumn("slot", F.col("block") - 1).withColumn("gap", F.lit(1.0))
+    for level in levels:
+        out = out.join(level, "node", "left").select(
+            *kept, F.col("bundle").alias("node"), (F.col("gap") * F.col("period") / F.col("blocks")).alias("gap"),
+            F.expr("slot div blocks * period + slots[cast(slot % blocks as int)]").alias("slot"))
+    return out.select("doc_id", "source", "number", "block", F.floor((F.col("block") - 1) * F.col("gap")).alias("release"),
+                      F.ceil(F.col("block") * F.col("gap")).alias("deadline"), "slot", "file", "row")
 
 
 def in_mixed_order(docs: DataFrame, weights: DataFrame | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:

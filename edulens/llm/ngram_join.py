@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import RowsByFile, row_position, slices, utf8, write_by_file, write_table
+from .common import RowsByFile, row_position, slices, utf8, without_rows, write_by_file, write_table
 from .graph import components
 from .words import U, mixed, shingle_set
 
@@ -423,13 +423,4 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, words: int = WORDS, t
     first = out.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "file", "row")).alias("first"))
     gone = write_by_file(spark, out.join(first, "root").where("file <> first.file or row <> first.row")
                          .select("file", "row", F.lit(0).cast("long").alias("value")), "gone")
-    names = placed.columns
-    at, keep = (names.index(file), names.index(row)), [names.index(c) for c in docs.columns]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            stays = np.ones(batch.num_rows, bool)
-            stays[gone.among(batch.column(at[0]), batch.column(at[1]))[0]] = False
-            yield batch.select(keep).filter(pa.array(stays))
-
-    return placed.mapInArrow(run, docs.schema)
+    return without_rows(placed, file, row, gone, docs)

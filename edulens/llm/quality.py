@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, utf8, write_table
+from .common import row_position, slices, utf8, without_rows, write_by_file, write_table
 from .words import window_hashes, word_hashes, word_spans
 
 FEATURES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -156,10 +156,11 @@ def _featured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["doc_id", *FEATURES, "votes"])
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        code, n = np.unique(_judged(utf8(batch.column(0)))[1], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n)], ["votes", "n"])
+        f, code = _judged(utf8(batch.column(2)))
+        failed = _base_failed({c: f[:, i] for i, c in enumerate(FEATURES)})
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(code), pa.array(failed)], ["file", "row", "votes", "failed"])
 
 
 def _fit_counts(rows: list) -> tuple[np.ndarray, np.ndarray]:
@@ -187,17 +188,14 @@ def judge(docs: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, with all their columns.
-    Texts are read twice, once to count vote patterns and once to filter, so
-    that none is shuffled or stored."""
-    counts = docs.select("text").mapInArrow(_counted, "votes long, n long").groupBy("votes").agg(F.sum("n")).collect()
-    codes, good = _fit_counts(counts)
-    fine = np.sort(codes[good >= 0.5])
-    at = docs.columns.index("text")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
-            f, code = _judged(utf8(batch.column(at)))
-            failed = _base_failed({c: f[:, i] for i, c in enumerate(FEATURES)})
-            yield batch.filter(pa.array(~failed & np.isin(code, fine)))
-
-    return docs.mapInArrow(run, docs.schema)
+    Features are computed once; the place and votes of each row are stored, and
+    a second scan takes the places of the rows that go, so that no text is shuffled."""
+    spark = docs.sparkSession
+    placed, file, row = row_position(docs)
+    rows = placed.select(F.col(file).alias("file"), F.col(row).alias("row"), "text")
+    table = write_table(spark, rows.mapInArrow(_placed, "file string, row long, votes long, failed boolean"), "votes")
+    codes, good = _fit_counts(table.groupBy("votes").count().collect())  # at most 3**N_RULES rows
+    junk = spark.createDataFrame([(c,) for c in codes[good < 0.5].tolist()], "votes long").withColumn("junk", F.lit(True))
+    gone = write_by_file(spark, table.join(F.broadcast(junk), "votes", "left").where("failed or junk")
+                         .select("file", "row", F.lit(0).cast("long").alias("value")), "rejected")
+    return without_rows(placed, file, row, gone, docs)

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +37,8 @@ FOLDS = 5
 #: Features in fewer labelled texts have no weight.
 MIN_TEXTS = 5
 RANGES = 16
+#: Parts of a range that are added together, at most.
+FAN = 64
 STEPS, PENALTY = 60, 1e-2
 
 _KEYS = mixed(np.arange(max(SIZES), dtype=U) + U(1 << 61)) | U(1)
@@ -87,13 +90,28 @@ def _counted(labelled: RowsByFile, fit: set[tuple[str, int]]):
             rows += [(r, None, counts[:, r * width : (r + 1) * width].astype("<i8").tobytes()) for r in range(RANGES)]
         kinds = [pa.int32(), pa.int32(), pa.binary()]
         columns = list(zip(*rows, strict=True)) or [(), (), ()]
-        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["range", "label", "packed"])
+        part = pa.array([TaskContext.get().partitionId()] * len(rows), pa.int32())
+        yield pa.RecordBatch.from_arrays([*(pa.array(c, k) for c, k in zip(columns, kinds, strict=True)), part],
+                                         ["range", "label", "packed", "part"])
     return run
 
 
 def _summed(table: pa.Table) -> pa.Table:
     total = sum(np.frombuffer(p, "<i8") for p in table.column("packed").to_pylist())
-    return pa.table({"range": table.column("range")[:1], "packed": pa.array([total.astype("<i8").tobytes()], pa.binary())})
+    return pa.table({"range": table.column("range")[:1], "packed": pa.array([total.astype("<i8").tobytes()], pa.binary()),
+                     "part": table.column("part")[:1]})
+
+
+def _levels(counts: DataFrame) -> DataFrame:
+    """The sum of ``counts`` (``range, packed, part``) of each range. At most
+    ``FAN`` parts are added in a task, level by level, however many there are."""
+    last = counts.agg(F.max("part")).first()[0] or 0
+    while True:
+        counts = counts.withColumn("part", F.floor(F.col("part") / FAN).cast("int")).groupBy("range", "part").applyInArrow(
+            _summed, "range int, packed binary, part int")
+        last //= FAN
+        if not last:
+            return counts
 
 
 def log_ratios(counts: np.ndarray) -> np.ndarray:
@@ -160,8 +178,8 @@ def train(docs: DataFrame, labels: DataFrame) -> tuple[np.ndarray, float]:
     order = [F.xxhash64("doc_id"), F.col("file"), F.col("row")]
     fit = {(r["file"], r["row"]) for value in (0, 1) for r in marked.where(F.col("value") == value).orderBy(*order).limit(FIT_ROWS).collect()}
     labelled = write_by_file(spark, marked, "labelled")
-    found = write_table(spark, rows.select("file", "row", "text").mapInArrow(_counted(labelled, fit), "range int, label int, packed binary"), "counts")
-    summed = found.where("range is not null").groupBy("range").applyInArrow(_summed, "range int, packed binary").collect()
+    found = write_table(spark, rows.select("file", "row", "text").mapInArrow(_counted(labelled, fit), "range int, label int, packed binary, part int"), "counts")
+    summed = _levels(found.where("range is not null").select("range", "packed", "part")).collect()
     counts = np.zeros((2, DIMENSIONS), np.int64)
     width = DIMENSIONS // RANGES
     for r in summed:

@@ -42,6 +42,8 @@ from .common import RowsByFile, byte_length, make_folder, row_position, slices,
 MIN_REVISIT = 1000
 ARCHIVE_BYTES = 1 << 28
 BLOCK_LINES = 1000
+#: Captures of an index file, and lookups of a task, on average.
+INDEX_ROWS, LOOKUP_ROWS = 1 << 17, 1 << 14
 CAPTURE_DATE = "2024-01-01T00:00:00Z"
 #: Archives that a reading task holds open.
 OPEN_FILES = 64
@@ -194,11 +196,17 @@ def _indexed(folder: str, block_lines: int):
     return run
 
 
+def _ranges(rows: DataFrame, each: int) -> int:
+    """Ranges to cut ``rows`` in: keys are small, so their bytes say nothing of the work."""
+    return max(1, -(-rows.count() // each))
+
+
 def write_index(folder: str, captures: DataFrame, block_lines: int = BLOCK_LINES) -> list[tuple[tuple[str, str], str]]:
     """Write the index files of ``captures``; the top of the index: the first
     line and the file of each, in order (one entry for each partition)."""
     spark = captures.sparkSession
-    ordered = captures.select("key", "id", "archive", "place", "size").repartitionByRange("key", "id").sortWithinPartitions("key", "id")
+    ordered = captures.select("key", "id", "archive", "place", "size").repartitionByRange(
+        _ranges(captures, INDEX_ROWS), "key", "id").sortWithinPartitions("key", "id")
     files = write_table(spark, ordered.mapInArrow(_indexed(folder, block_lines), "name string, key string, id string, lines long"), "index")
     return sorted(((r["key"], r["id"]), f"{folder}/{r['name']}.cdx") for r in files.select("key", "id", "name").collect())
 
@@ -284,6 +292,7 @@ def lookup(wanted: DataFrame, folder: str, top: list[tuple[tuple[str, str], str]
     """The records of ``wanted`` (``page_id``, ``url``; each pair once), read
     through the index: ``page_id, payload_bytes, payload_digest, record_type, refers_to``."""
     keys = (wanted.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"))
-            .mapInArrow(_keys, "key string, id string").distinct().repartitionByRange("key", "id").sortWithinPartitions("key", "id"))
+            .mapInArrow(_keys, "key string, id string").distinct()
+            .repartitionByRange(_ranges(wanted, LOOKUP_ROWS), "key", "id").sortWithinPartitions("key", "id"))
     return keys.mapInArrow(_fetched(folder, top),
                            "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
