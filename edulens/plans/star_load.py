@@ -98,12 +98,13 @@ def _grow(spark: SparkSession, root: str, name: str, offered: DataFrame, load: i
     return read_dimension(spark, root, name)
 
 
-def _replace(spark: SparkSession, root: str, name: str, fact: DataFrame, years: Iterable[int]) -> None:
-    """Overwrite the folders of ``years``; a year without rows any more loses its folder."""
+def _replace(spark: SparkSession, root: str, name: str, fact: DataFrame, held: DataFrame, years: Iterable[int]) -> None:
+    """Overwrite the folders of ``years``; a year without rows any more loses its
+    folder. ``held``: the year_key of the fact's rows, without the joins that drop none."""
     columns = [f.split(" ") for f in FACTS[name].split(", ")]
     (fact.select(*[F.col(c).cast(kind).alias(c) for c, kind in columns]).hint("rebalance", "year_key")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year_key").parquet(f"{root}/{name}"))
-    left = {r["year_key"] for r in fact.select("year_key").distinct().collect()}
+    left = {r["year_key"] for r in held.select("year_key").distinct().collect()}
     for year in set(years) - left:
         fs, where = hadoop_fs(spark, f"{root}/{name}/year_key={year}")
         fs.delete(where, True)
@@ -120,9 +121,13 @@ def load_star(spark: SparkSession, root: str, batch: Batch, load: int) -> StarTa
         return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
     m, a = batch.math_rows, batch.attendance
-    natural = staged("assessment", m.groupBy("ENTITY_CD", year_of(m, "YEAR").alias("year_key"), "SUBJECT_ID", "SUBGROUP_NAME").agg(
-        F.max("SUBJECT_NAME").alias("SUBJECT_NAME"), F.sum(to_number(m, "NUM_TESTED", integral=True)).alias("tested"),
+    # the name is a key here: a maximum of texts would sort every raw row
+    by_name = staged("assessment", m.groupBy("ENTITY_CD", year_of(m, "YEAR").alias("year_key"), "SUBJECT_ID", "SUBJECT_NAME", "SUBGROUP_NAME").agg(
+        F.sum(to_number(m, "NUM_TESTED", integral=True)).alias("tested"),
         F.sum(to_number(m, "NUM_PROF", integral=True)).alias("n_qual")).where(in_years))
+    # by school alone, as the join with the schools needs them too
+    natural = by_name.repartition("ENTITY_CD").groupBy("ENTITY_CD", "year_key", "SUBJECT_ID", "SUBGROUP_NAME").agg(
+        F.sum("tested").alias("tested"), F.sum("n_qual").alias("n_qual"))
     stack = F.array(*[F.struct(F.lit(name).alias("SUBGROUP_NAME"), to_number(batch.demo_counts, col, integral=True).alias("n_students"))
                       for col, name in batch.count_columns.items()])
     enrolled = staged("enrollment", batch.demo_counts.select(
@@ -131,24 +136,29 @@ def load_star(spark: SparkSession, root: str, batch: Batch, load: int) -> StarTa
                                            (100.0 - to_number(a, "ATTENDANCE_RATE")).alias("absence_rate")).where(in_years))
 
     codes = batch.schools.select(F.col("ENTITY_CD").alias("school_id"), F.col("ENTITY_NAME").alias("school_name"))
-    for df in (natural, enrolled, absent):
-        codes = codes.unionByName(df.select(F.col("ENTITY_CD").alias("school_id"), F.lit(None).cast("string").alias("school_name")))
-    schools = _grow(spark, root, "dim_school", codes, load)
-    subjects = _grow(spark, root, "dim_subject", natural.select(F.col("SUBJECT_ID").alias("subject_id"), F.col("SUBJECT_NAME").alias("subject_name")), load)
-    names = natural.select("SUBGROUP_NAME").unionByName(enrolled.select("SUBGROUP_NAME"))
+    for df in (by_name, enrolled, absent):
+        codes = codes.unionByName(df.select(F.col("ENTITY_CD").alias("school_id")).distinct()
+                                  .withColumn("school_name", F.lit(None).cast("string")))
+    schools = _grow(spark, root, "dim_school", staged("schools", codes.groupBy("school_id").agg(F.max("school_name").alias("school_name"))), load)
+    subjects = _grow(spark, root, "dim_subject", by_name.select(F.col("SUBJECT_ID").alias("subject_id"), F.col("SUBJECT_NAME").alias("subject_name")).distinct(), load)
+    names = by_name.select("SUBGROUP_NAME").unionByName(enrolled.select("SUBGROUP_NAME")).distinct()
     group_id = F.when(F.col("SUBGROUP_NAME") == batch.all_label, batch.all_id).otherwise(F.col("SUBGROUP_NAME"))
     subgroups = _grow(spark, root, "dim_subgroup", names.select(group_id.alias("subgroup_id"), F.col("SUBGROUP_NAME").alias("subgroup_name")), load)
 
     school = schools.select(F.col("school_id").alias("ENTITY_CD"), "school_key")
     subject = subjects.select(F.col("subject_id").alias("SUBJECT_ID"), "subject_key")
     group = subgroups.select(F.col("subgroup_name").alias("SUBGROUP_NAME"), "subgroup_key")
-    _replace(spark, root, "fact_assessment", natural.join(school, "ENTITY_CD").join(subject, "SUBJECT_ID").join(group, "SUBGROUP_NAME"), batch.years)
-    _replace(spark, root, "fact_enrollment", enrolled.join(school, "ENTITY_CD").join(group, "SUBGROUP_NAME"), batch.years)
+    # every code that is not null has a school by now
+    coded = F.col("ENTITY_CD").isNotNull()
+    _replace(spark, root, "fact_assessment", natural.join(school, "ENTITY_CD").join(subject, "SUBJECT_ID").join(group, "SUBGROUP_NAME"),
+             by_name.where(coded).join(subject, "SUBJECT_ID").join(group, "SUBGROUP_NAME"), batch.years)
+    _replace(spark, root, "fact_enrollment", enrolled.join(school, "ENTITY_CD").join(group, "SUBGROUP_NAME"),
+             enrolled.where(coded).join(group, "SUBGROUP_NAME"), batch.years)
     totals = natural.where((F.col("SUBGROUP_NAME") == batch.all_label) & (F.col("SUBJECT_ID") == batch.main_subject)).select(
         "ENTITY_CD", "year_key", F.col("tested").alias("enrollment"))
     everyone = subgroups.where(F.col("subgroup_id") == batch.all_id).select("subgroup_key").scalar()
     _replace(spark, root, "fact_attendance", absent.join(totals, ["ENTITY_CD", "year_key"], "left").join(school, "ENTITY_CD")
-             .withColumn("subgroup_key", everyone), batch.years)
+             .withColumn("subgroup_key", everyone), absent.where(coded), batch.years)
     return read_star(spark, root)
 
 
