@@ -21,11 +21,13 @@ of ids and two integers for each document of a shard.
 
 from __future__ import annotations
 
+import os
 import struct
 import uuid
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,45 +45,55 @@ BLOCK_TOKENS = 1 << 20
 MIN_COUNT = 4
 #: The rounds end when one saves less than this share of the symbols.
 MIN_SAVING = 0.005
-#: Words whose ids an encoder remembers.
+#: Pieces of words whose ids an encoder remembers.
 CACHE_WORDS = 1_200_000
 
 #: Texts of so many bytes, or one, are encoded together.
 ENCODE_BYTES = 1 << 25
-#: Words whose bytes and ids are worked on together: arrays of these stay in a core's cache.
+#: Words whose ids are copied together: arrays of these stay in a core's cache.
 WORDS_AT_ONCE = 1 << 13
-_PUNCTUATION = bytes(c for c in range(33, 127) if not chr(c).isalnum())
+#: Pieces of words that the library encodes in one call.
+PIECES_AT_ONCE = 1 << 14
 _MAGIC = b"RPT1"
 _HEAD = "<QIIIII"  # tokens, base, rules, symbols, width, bytes of the block's body
 _TRAILER = "<QQQ4s"  # bytes of the documents and the directory, numbers of documents and of blocks
 
 
-class _Words(dict):
-    """Ids of words, found on first use."""
-
-    def __init__(self, ids_of):
-        self.ids_of = ids_of
-
-    def __missing__(self, word: bytes) -> bytes:
-        ids = self[word] = self.ids_of(word)
-        return ids
+def _table(*kinds: bytes) -> bytes:
+    """For ``bytes.translate``: the number (from 1) of the kind that a byte is in, else 0."""
+    return bytes(next((n for n, kind in enumerate(kinds, 1) if c in kind), 0) for c in range(256))
 
 
 #: Kinds of bytes: 1 what begins a word (a blank, a line end, and the zero byte before a text), 2 other white space, 3 what
 #: may begin it in UTF-8.
-_KIND = np.zeros(256, np.uint8)
-_KIND[[0, 10, 32]] = 1
-_KIND[[9, 11, 12, 13, 28, 29, 30, 31]] = 2
-_KIND[[0xC2, 0xE1, 0xE2, 0xE3]] = 3
-_STARTS = _KIND == 1
+_KIND = _table(b"\0\n ", bytes([9, 11, 12, 13, 28, 29, 30, 31]), bytes([0xC2, 0xE1, 0xE2, 0xE3]))
+#: 1 ASCII letters and digits, 2 ASCII punctuation, 3 what begins a two-byte letter from U+00C0 to U+023F.
+_LETTER = _table(bytes(c for c in range(33, 127) if chr(c).isalnum()), bytes(c for c in range(33, 127) if not chr(c).isalnum()),
+                 bytes(range(0xC3, 0xC9)))
+
+
+def _kinds(joined: bytes, table: bytes) -> np.ndarray:
+    return np.frombuffer(joined.translate(table), np.uint8)
+
+
+def _pieces(joined: bytes) -> np.ndarray:
+    """Where the pieces of texts begin, each text with a zero byte before it:
+    at a blank, a line end or the zero byte, and at punctuation after a letter or digit."""
+    kind = _kinds(joined, _LETTER)
+    begins = _kinds(joined, _KIND) == 1
+    begins[1:] |= (kind[1:] == 2) & (kind[:-1] == 1)
+    wide = np.flatnonzero((kind[2:] == 2) & (kind[:-2] == 3))
+    second = np.frombuffer(joined, np.uint8)[wide + 1]
+    begins[wide[(second != 0x97) & (second != 0xB7)] + 2] = True  # the signs for times and divided are no letters
+    return np.flatnonzero(begins)
 
 
-def _odd_spaces(buf: np.ndarray, heads: np.ndarray) -> np.ndarray:
+def _odd_spaces(joined: bytes, heads: np.ndarray) -> np.ndarray:
     """Where there is white space other than a single blank or line end
     between two words; texts begin at ``heads``, each with a zero byte, and
     the buffer ends with three more."""
-    kind = _KIND[buf]
-    at = np.flatnonzero(kind)
+    buf, kind = np.frombuffer(joined, np.uint8), _kinds(joined, _KIND)
+    at = np.flatnonzero(kind != 0)
     kind = kind[at]
     blank = at[kind == 1]
     lead = at[kind == 3]
@@ -94,46 +106,66 @@ def _odd_spaces(buf: np.ndarray, heads: np.ndarray) -> np.ndarray:
 
 class Encoder:
     """Ids of whole texts. Byte-level BPE never merges across a blank or line
-    end between two words, so each distinct word is encoded once and remembered
-    (a word is keyed with the blank or line end before it, or a zero byte at the
-    start of a text). Texts with other runs of white space, and tokenizers of
-    another kind, are encoded whole."""
+    end between two words, nor from a letter or digit to punctuation after it.
+    Texts are cut there, and each distinct piece is encoded once and remembered
+    (with the blank or line end before it, or a zero byte at the start of a
+    text). Texts with other runs of white space, and tokenizers of another kind,
+    are encoded whole."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
-        self._split = self.tokenizer.model.tokenize
         before = self.tokenizer.pre_tokenizer
         self.by_word = (isinstance(before, pre_tokenizers.ByteLevel) and not before.add_prefix_space and before.use_regex
                         and self.tokenizer.normalizer is None)
-        alphabet = sorted(pre_tokenizers.ByteLevel.alphabet())
-        plain = [c for c in range(256) if chr(c) in alphabet]  # other bytes stand for the letters after these, in order
-        rest = iter(sorted(c for c in alphabet if ord(c) > 255))
-        self._letters = {b: chr(b) if b in plain else next(rest) for b in range(256)}
-        self._blank = self._letters[ord(" ")]
         self._added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._newline = self.whole("\n")
-        self._known, self._tails = _Words(self._word), _Words(self._piece)
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self._bytes = np.zeros(max(self.tokenizer.get_vocab().values(), default=0) + 1, np.int64)  # that a token stands for
+        for token, k in vocabulary.items():  # it has a letter for each
+            self._bytes[k] = len(token)
+        self._newline = vocabulary.get("\u010a", -1)
+        self._forget()
+
+    def _forget(self) -> None:
+        self._known: dict[bytes, int] = {}  # numbers of pieces
+        self._flat, self._counts = np.empty(0, np.uint32), np.empty(0, np.int64)  # ids of all pieces, and of each how many
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _piece(self, piece: bytes) -> bytes:
-        return array("I", [t.id for t in self._split(piece.decode("latin-1").translate(self._letters))]).tobytes()
-
-    def _word(self, word: bytes) -> bytes:
-        before, body = word[:1], word[1:]
-        letters = body.rstrip(_PUNCTUATION)
-        if before == b" " and letters.isalpha():  # ASCII letters stand for themselves
-            if len(letters) < len(body):
-                return self._known[before + letters] + self._tails[body[len(letters):]]
-            return array("I", [t.id for t in self._split(self._blank + letters.decode("ascii"))]).tobytes()
-        text = letters.decode()
-        # Latin letters, then punctuation: two pre-tokens whatever the version of the character tables
-        if before != b"\0" and text.isalpha() and (text.isascii() or max(text) < "ɐ"):
-            if len(letters) < len(body):
-                return self._known[before + letters] + self._tails[body[len(letters):]]
-            return self._piece(word) if before == b" " else self._newline + self._piece(letters)
-        return self.whole((word if before != b"\0" else body).decode())
+    def _encoded(self, pieces: list[bytes]) -> tuple[np.ndarray, list[int]]:
+        """The ids of all pieces, and how many each has. Pieces are encoded as
+        one text, and the bytes that a token stands for tell where each ends;
+        one without a blank or line end gets a line end, whose id is dropped."""
+        lone = np.array([p[0] not in b" \n" for p in pieces])
+        texts = [b"\n" + p.lstrip(b"\0") if add else p for p, add in zip(pieces, lone.tolist(), strict=True)]
+        found = self.tokenizer.encode_batch_fast([b"".join(texts).decode()], add_special_tokens=False)[0]
+        ids, edges = np.array(found.ids, np.uint32), np.cumsum([len(t) for t in texts])
+        ends = np.cumsum(self._bytes[ids])
+        if len(ids) and ends[-1] == edges[-1]:
+            last = np.searchsorted(ends, edges)
+            counts = np.diff(last, prepend=-1)
+            extra = (last - counts + 1)[lone]
+            if (ends[last] == edges).all() and (ids[extra] == self._newline).all():
+                return np.delete(ids, extra), (counts - lone).tolist()
+        each = [self.whole(p.lstrip(b"\0").decode()) for p in pieces]  # tokens that do not stand for bytes
+        return np.frombuffer(b"".join(each), np.uint32), [len(e) // 4 for e in each]
+
+    def _numbers(self, pieces: list[bytes]) -> np.ndarray:
+        """The numbers of pieces among those that are remembered; new ones are encoded."""
+        found = np.fromiter(map(self._known.get, pieces, repeat(-1)), np.int64, len(pieces))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            flat, counts, n = [self._flat], [], len(self._known)
+            words = [pieces[i] for i in new.tolist()]
+            for a in range(0, len(words), PIECES_AT_ONCE):
+                ids, sizes = self._encoded(words[a : a + PIECES_AT_ONCE])
+                flat.append(ids)
+                counts += sizes
+            self._flat, self._counts = np.concatenate(flat), np.append(self._counts, counts)
+            found[new] = np.arange(n, n + len(new))
+            self._known.update(zip(words, range(n, n + len(new)), strict=True))
+        return found
 
     def _by_word(self, texts: list[bytes]) -> np.ndarray:
         """Which texts can be encoded word by word; one that is empty or begins or ends with white space cannot."""
@@ -142,7 +174,7 @@ class Encoder:
         joined = b"".join(b"\0" + t for t in texts) + b"\0\0\0"
         size = np.array([len(t) + 1 for t in texts])
         heads = np.cumsum(size) - size
-        odd = _odd_spaces(np.frombuffer(joined, np.uint8), heads)
+        odd = _odd_spaces(joined, heads)
         ok = np.ones(len(texts) + 1, bool)
         ok[np.searchsorted(heads, odd[odd < len(joined) - 3], "right") - 1] = False
         for added in self._added:
@@ -153,27 +185,20 @@ class Encoder:
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """The ids of each UTF-8 text, as little-endian 32-bit integers."""
         if len(self._known) > CACHE_WORDS:
-            self._known.clear()
-            self._tails.clear()
+            self._forget()
         by_word = self._by_word(texts).tolist()
         out = [b"" if ok else self.whole(t.decode()) for t, ok in zip(texts, by_word, strict=True)]
         joined = b"".join(b"\0" + t for t, ok in zip(texts, by_word, strict=True) if ok)
         if joined:
             buf = np.frombuffer(joined, np.uint8)
-            starts = np.flatnonzero(_STARTS[buf])
-            cuts = [slice(a, a + WORDS_AT_ONCE) for a in range(0, len(starts), WORDS_AT_ONCE)]
+            starts = _pieces(joined)
             edges = np.append(starts, len(buf)).astype(np.int64)
-            # each distinct word once, compared by its bytes
-            words = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(joined)]).dictionary_encode()
-            inverse = words.indices.to_numpy()
-            ids = [self._known[w] for w in words.dictionary.to_pylist()]
-            sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            offsets, flat = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(ids), "<u4")
-            parts, count = [], sizes[inverse]
-            for c in cuts:
-                reach = np.cumsum(count[c])
-                parts.append(flat[np.repeat(offsets[inverse[c]] - (reach - count[c]), count[c]) + np.arange(reach[-1])].tobytes())
-            found = b"".join(parts)
+            # each distinct piece once, compared by its bytes
+            pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(joined)]).dictionary_encode()
+            inverse = pieces.indices.to_numpy()
+            number = self._numbers(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+            count = self._counts[number][inverse]
+            found = _runs(self._flat, (np.cumsum(self._counts) - self._counts)[number][inverse], count).tobytes()
             cuts = [*(4 * (np.cumsum(count) - count)[buf[starts] == 0]).tolist(), len(found)]
             at = 0
             for i, ok in enumerate(by_word):
@@ -192,56 +217,88 @@ def encoder(path: str) -> Encoder:
     return _encoders[path]
 
 
+def _slots(pairs: np.ndarray) -> np.ndarray:
+    """Hashes of 18 bits."""
+    return ((pairs * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - 18)).view(np.int64)
+
+
 def repair(ids: np.ndarray, base: int, min_count: int = MIN_COUNT, min_saving: float = MIN_SAVING) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Symbols, rules (n, 2) and the rules' lengths; symbol ``base + i`` is rule i."""
-    seq = ids.astype(np.uint32)
+    seq = ids.astype(np.uint64)
     rules, lengths = [np.empty((0, 2), np.uint32)], [np.empty(0, np.int64)]
     top = base
     while len(seq) > 1:
-        pairs = (seq[:-1].astype(np.uint64) << np.uint64(32)) | seq[1:]
+        pairs = (seq[:-1] << np.uint64(32)) | seq[1:]
+        # only pairs whose hash occurs often enough can do so themselves; the others need no sorting
+        slot = _slots(pairs)
+        at = np.flatnonzero((np.bincount(slot, minlength=1 << 18) >= min_count)[slot])
+        pairs, slot = pairs[at], slot[at]
         found, counts = np.unique(pairs, return_counts=True)
         frequent = counts >= min_count
-        if counts[frequent].sum() < min_saving * len(seq):  # overlaps can only lower what a round saves
+        least = max(1, min_saving * len(seq))
+        if counts[frequent].sum() < least:  # overlaps can only lower what a round saves
             break
         found = found[frequent]
         # a table of hashed pairs finds the rule of each place; pairs that share a slot but one wait for the next round
-        bits = np.uint64(64 - 18)
-        spread = np.uint64(0x9E3779B97F4A7C15)
         table = np.zeros(1 << 18, np.int32)
-        table[((found * spread) >> bits).astype(np.int64)] = np.arange(len(found))
-        rule = table[((pairs * spread) >> bits).astype(np.int64)]
-        at = np.flatnonzero(found[rule] == pairs)
+        table[_slots(found)] = np.arange(len(found))
+        rule = table[slot]
+        fits = found[rule] == pairs
+        at, rule = at[fits], rule[fits]
         # of neighbouring places, every second one from the left
-        start = np.concatenate(([True], np.diff(at) > 1))
-        run = np.flatnonzero(start)
-        at = at[(np.arange(len(at)) - np.repeat(run, np.diff(np.append(run, len(at))))) % 2 == 0]
-        if len(at) < min_saving * len(seq):
+        run = np.flatnonzero(np.concatenate(([True], np.diff(at) > 1)))
+        odd = np.repeat((run & 1).astype(np.uint8), np.diff(np.append(run, len(at))))
+        odd[1::2] ^= 1
+        kept = np.flatnonzero(odd == 0)
+        at, rule = at[kept], rule[kept]
+        if len(at) < least:
             break
-        used, number = np.unique(rule[at], return_inverse=True)
+        taken = np.zeros(len(found), bool)
+        taken[rule] = True
+        used, number = np.flatnonzero(taken), (np.cumsum(taken) - 1)[rule]
         made = np.stack([found[used] >> np.uint64(32), found[used] & np.uint64(0xFFFFFFFF)], 1).astype(np.uint32)
         known = np.concatenate(lengths)
         rules.append(made)
         lengths.append(np.where(made < base, 1, known[np.maximum(made.astype(np.int64) - base, 0)] if len(known) else 1).sum(1))
-        seq[at] = top + number
+        seq[at] = (top + number).astype(np.uint64)
         keep = np.ones(len(seq), bool)
         keep[at + 1] = False
         seq = seq[keep]
         top += len(used)
-    return seq, np.concatenate(rules), np.concatenate(lengths)
+    return seq.astype(np.uint32), np.concatenate(rules), np.concatenate(lengths)
+
+
+def _runs(flat: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of ``flat`` that begin at ``starts``, one after the other."""
+    parts = [flat[:0]]
+    for a in range(0, len(starts), WORDS_AT_ONCE):
+        count = counts[a : a + WORDS_AT_ONCE]
+        reach = np.cumsum(count)
+        parts.append(flat[np.repeat(starts[a : a + WORDS_AT_ONCE] - (reach - count), count) + np.arange(reach[-1])])
+    return np.concatenate(parts)
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, lengths: np.ndarray, base: int) -> np.ndarray:
-    """The ids that symbols stand for."""
-    seq = symbols.astype(np.int64)
+    """The ids that symbols stand for. Each rule among them is expanded once."""
+    big = np.flatnonzero(symbols >= base)
+    rule = symbols[big].astype(np.int64) - base
+    used = np.zeros(len(rules), bool)
+    used[rule] = True
+    seq = np.flatnonzero(used) + base
+    counts = np.ones(len(symbols), np.int64)
+    counts[big] = lengths[rule]
+    starts = np.arange(len(symbols))
+    starts[big] = len(symbols) + (np.cumsum(lengths * used) - lengths)[rule]
     while len(seq) and seq.max() >= base:
-        big = seq >= base
-        width = big + 1
+        at = np.flatnonzero(seq >= base)
+        width = np.ones(len(seq), np.int64)
+        width[at] = 2
         first = np.cumsum(width) - width
-        out = np.empty(int(width.sum()), np.int64)
-        out[first] = np.where(big, rules[np.maximum(seq - base, 0), 0], seq)
-        out[first[big] + 1] = rules[seq[big] - base, 1]
+        out = np.empty(len(seq) + len(at), np.int64)
+        out[first] = seq
+        out[first[at]], out[first[at] + 1] = rules[seq[at] - base].T
         seq = out
-    return seq.astype("<u4")
+    return _runs(np.concatenate([symbols.astype("<u4"), seq.astype("<u4")]), starts, counts)
 
 
 def _packed(symbols: np.ndarray, width: int) -> bytes:
