@@ -49,7 +49,7 @@ MIN_SAVING = 0.005
 CACHE_WORDS = 1_200_000
 
 #: Texts of so many bytes, or one, are encoded together.
-ENCODE_BYTES = 1 << 25
+ENCODE_BYTES = 1 << 23
 #: Words whose ids are copied together: arrays of these stay in a core's cache.
 WORDS_AT_ONCE = 1 << 13
 #: Pieces of words that the library encodes in one call.
@@ -88,6 +88,24 @@ def _pieces(joined: bytes) -> np.ndarray:
     return np.flatnonzero(begins)
 
 
+def _distinct(joined: bytes, starts: np.ndarray) -> tuple[np.ndarray, list[bytes]]:
+    """For each piece the number of its bytes, and the distinct pieces. Up to eight bytes are compared as one integer
+    (no piece ends with a zero byte, so zeros can fill it)."""
+    edges = np.append(starts, len(joined))
+    size = np.diff(edges)
+    eight = np.ndarray(len(joined), "<u8", joined + bytes(8), strides=(1,))
+    short, long = np.flatnonzero(size <= 8), np.flatnonzero(size > 8)
+    masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    small = pa.array(eight[starts[short]] & masks[size[short]]).dictionary_encode()
+    pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(joined)])
+    large = pieces.take(pa.array(long)).dictionary_encode()
+    inverse = np.empty(len(starts), np.int64)
+    inverse[short] = small.indices.to_numpy()
+    inverse[long] = large.indices.to_numpy() + np.int64(len(small.dictionary))
+    found = small.dictionary.to_numpy().astype("<u8").view("S8").tolist()
+    return inverse, found + large.dictionary.to_numpy(zero_copy_only=False).tolist()
+
+
 def _odd_spaces(joined: bytes, heads: np.ndarray) -> np.ndarray:
     """Where there is white space other than a single blank or line end
     between two words; texts begin at ``heads``, each with a zero byte, and
@@ -190,16 +208,12 @@ class Encoder:
         out = [b"" if ok else self.whole(t.decode()) for t, ok in zip(texts, by_word, strict=True)]
         joined = b"".join(b"\0" + t for t, ok in zip(texts, by_word, strict=True) if ok)
         if joined:
-            buf = np.frombuffer(joined, np.uint8)
             starts = _pieces(joined)
-            edges = np.append(starts, len(buf)).astype(np.int64)
-            # each distinct piece once, compared by its bytes
-            pieces = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(edges), pa.py_buffer(joined)]).dictionary_encode()
-            inverse = pieces.indices.to_numpy()
-            number = self._numbers(pieces.dictionary.to_numpy(zero_copy_only=False).tolist())
+            inverse, pieces = _distinct(joined, starts)
+            number = self._numbers(pieces)
             count = self._counts[number][inverse]
             found = _runs(self._flat, (np.cumsum(self._counts) - self._counts)[number][inverse], count).tobytes()
-            cuts = [*(4 * (np.cumsum(count) - count)[buf[starts] == 0]).tolist(), len(found)]
+            cuts = [*(4 * (np.cumsum(count) - count)[np.frombuffer(joined, np.uint8)[starts] == 0]).tolist(), len(found)]
             at = 0
             for i, ok in enumerate(by_word):
                 if ok:
